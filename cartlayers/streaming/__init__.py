@@ -1,0 +1 @@
+"""Deliberately empty: every source and table of this engine is batch, so there is no stream to process."""
