@@ -11,11 +11,6 @@ def percent_change(current: Column, previous: Column) -> Column:
     return F.round(F.try_divide(current - previous, previous) * 100, 2)
 
 
-def share_percent(part: Column, whole: Column) -> Column:
-    """`part` of `whole` in percent, two decimals."""
-    return F.round(F.try_divide(part, whole) * 100, 2)
-
-
 def mean_of_totals(total: Column, rows: Column) -> Column:
     """Mean from an integer total and a row count, two decimals; NULL without rows."""
     return F.round(F.try_divide(total, rows), 2)

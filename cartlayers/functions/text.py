@@ -21,5 +21,11 @@ def or_default(name: str, default: str) -> Column:
     return F.coalesce(F.col(name), F.lit(default))
 
 
-def is_null_or_empty(name: str) -> Column:
-    return F.col(name).isNull() | (F.col(name).cast("string") == "")
+def quoted(name: str) -> str:
+    """A column name as an identifier in an SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A text as a literal in an SQL expression."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -188,10 +188,6 @@ def category_set(
     )
 
 
-def union_verdicts(verdicts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, verdicts)
-
-
 def stamp(verdicts: DataFrame, run_id: str) -> DataFrame:
     """Verdicts in the layout of the log."""
     return verdicts.select(

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartlayers.functions.text import literal, quoted
+
 
 def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the listed columns; a value that does not fit its type becomes NULL."""
@@ -20,16 +22,13 @@ def cast_failures(df: DataFrame, table: str, types: Mapping[str, str]) -> DataFr
     result is then turned into one row per column.
     """
     lost = [
-        F.count_if(F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()).alias(name)
-        for name, kind in types.items()
-    ]
-    rows = [
-        F.struct(
-            F.lit(table).alias("tabela"),
-            F.lit(name).alias("coluna"),
-            F.lit(kind).alias("tipo"),
-            F.col(name).alias("falhas"),
-        )
-        for name, kind in types.items()
+        f"count_if({quoted(c)} IS NOT NULL AND try_cast({quoted(c)} AS {kind}) IS NULL) AS lost_{i}"
+        for i, (c, kind) in enumerate(types.items())
     ]
-    return df.agg(*lost).select(F.inline(F.array(*rows)))
+    rows = ", ".join(
+        f"{literal(table)}, {literal(c)}, {literal(kind)}, lost_{i}"
+        for i, (c, kind) in enumerate(types.items())
+    )
+    return df.selectExpr(*lost).selectExpr(
+        f"stack({len(types)}, {rows}) AS (tabela, coluna, tipo, falhas)"
+    )

@@ -25,9 +25,9 @@ from cartlayers.operators.checks import (
     outside,
     row_rules,
     sum_reconciliation,
-    union_verdicts,
     unique_key,
 )
+from cartlayers.operators.combine import union_all
 from cartlayers.operators.rules import FLAG
 from cartlayers.sources.landing import without_audit
 
@@ -257,7 +257,7 @@ def gold_checks(
         return sum_reconciliation(gold[table], column, items, "price", "gold", table)
 
     # Check names and the words of their details, as found in the log.
-    return union_verdicts(
+    return union_all(
         [
             reconciled("receita_mensal", "receita_produtos"),
             rules(

@@ -3,17 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cartlayers.operators.checks import (
-    enforce,
-    log_verdicts,
-    row_count_match,
-    union_verdicts,
-)
+from cartlayers.operators.checks import enforce, log_verdicts, row_count_match
+from cartlayers.operators.combine import union_all
 from cartlayers.operators.typing import cast_failures
 from cartlayers.plans import gold as g
 from cartlayers.plans.silver import clean_all, silver_checks
@@ -67,7 +62,7 @@ def run_bronze(
             source = read_landing(spark, settings.landing_path(spec.file), spec.reader)
         stored = read_table(spark, settings, "bronze", name)
         verdicts.append(row_count_match(source, stored, "bronze", name))
-    log_verdicts(union_verdicts(verdicts), settings, run_id)
+    log_verdicts(union_all(verdicts), settings, run_id)
     if gate:
         enforce(spark.table(settings.log_table), "bronze", run_id)
     return rows
@@ -75,10 +70,9 @@ def run_bronze(
 
 def typing_report(raw: dict[str, DataFrame]) -> DataFrame:
     """Values lost by typing, per column of every table with typed columns."""
-    reports = [
-        cast_failures(raw[name], name, spec.types) for name, spec in TABLES.items() if spec.types
-    ]
-    return reduce(DataFrame.unionByName, reports)
+    return union_all(
+        [cast_failures(raw[name], name, spec.types) for name, spec in TABLES.items() if spec.types]
+    )
 
 
 def dedup_summary(raw: dict[str, DataFrame], stored: dict[str, DataFrame]) -> DataFrame:
@@ -94,7 +88,7 @@ def dedup_summary(raw: dict[str, DataFrame], stored: dict[str, DataFrame]) -> Da
             after = stored[name].agg(F.lit(0).alias("antes"), F.count(F.lit(1)).alias("depois"))
             parts.append(before.union(after).select(F.lit(name).alias("tabela"), "antes", "depois"))
     return (
-        reduce(DataFrame.union, parts)
+        union_all(parts)
         .groupBy("tabela")
         .agg(F.max("antes").alias("antes"), F.max("depois").alias("depois"))
         .withColumn("removidas", F.col("antes") - F.col("depois"))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlayers.functions.text import fold_lower, fold_upper
-from cartlayers.operators.checks import referential_integrity, union_verdicts, unique_key
+from cartlayers.operators.checks import referential_integrity, unique_key
+from cartlayers.operators.combine import union_all
 from cartlayers.operators.dedup import keep_first
 from cartlayers.operators.rules import (
     fill_defaults,
@@ -97,4 +98,4 @@ def silver_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
                     fk.parent,
                 )
             )
-    return union_verdicts(verdicts)
+    return union_all(verdicts)

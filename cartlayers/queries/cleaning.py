@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlayers import registry as r
 from cartlayers.functions.dates import days_between, month_label, month_start
+from cartlayers.operators.combine import union_all
 from cartlayers.operators.dedup import dedup_report, distinct_values, keep_first
-from cartlayers.operators.profile import null_profile
+from cartlayers.operators.profile import profile_tables
 from cartlayers.operators.rules import (
     FLAG,
     fill_defaults,
@@ -175,12 +174,11 @@ DEDUPLICATED = [name for name, spec in r.TABLES.items() if spec.dedup_key and no
 
 
 def _dedup_report(v: Views) -> DataFrame:
-    return reduce(
-        DataFrame.unionByName,
+    return union_all(
         [
             dedup_report(getattr(v, f"raw_{name}")(), name, r.TABLES[name].dedup_key)
             for name in DEDUPLICATED
-        ],
+        ]
     )
 
 
@@ -197,11 +195,6 @@ def _dedup_report_sql() -> str:
     return with_views(" UNION ALL ".join(parts), *[RAW_SQL[n] for n in DEDUPLICATED])
 
 
-def _null_profiles(v: Views) -> DataFrame:
-    profiles = [null_profile(df, name) for name, df in raw_tables(v).items()]
-    return reduce(DataFrame.unionByName, profiles)
-
-
 def _null_profile_sql() -> str:
     parts = []
     for name, columns in RAW_COLUMNS.items():
@@ -398,7 +391,7 @@ QUERIES: dict[str, Query] = {
         ),
     ),
     # Profiling and audit
-    "null_profile": Query(_null_profiles, _null_profile_sql()),
+    "null_profile": Query(lambda v: profile_tables(raw_tables(v)), _null_profile_sql()),
     "bronze_audit_columns": Query(
         _audited,
         with_views(

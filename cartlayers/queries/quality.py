@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartlayers import registry as r
 from cartlayers.operators import checks as c
+from cartlayers.operators.combine import union_all
 from cartlayers.plans import gold as g
 from cartlayers.plans.silver import clean_all, silver_checks
 from cartlayers.queries import business as b
@@ -106,7 +107,7 @@ def _all(*parts: str) -> str:
 
 # Row counts: landed rows against what is left of them after cleaning, so both outcomes occur.
 def _row_counts(v: Views) -> DataFrame:
-    return c.union_verdicts(
+    return union_all(
         [
             c.row_count_match(v.order_items_raw(), v.order_items(), "bronze", "order_items"),
             c.row_count_match(v.raw_customers(), v.customers(), "bronze", "customers"),
@@ -116,7 +117,7 @@ def _row_counts(v: Views) -> DataFrame:
 
 
 def _unique_keys(v: Views) -> DataFrame:
-    return c.union_verdicts(
+    return union_all(
         [
             c.unique_key(v.raw_orders(), "bronze", "orders", "order_id"),
             c.unique_key(v.raw_customers(), "bronze", "customers", "customer_id"),
@@ -138,7 +139,7 @@ def _references(v: Views) -> DataFrame:
         "products": v.products(),
         "sellers": v.sellers(),
     }
-    return c.union_verdicts(
+    return union_all(
         [
             c.referential_integrity(
                 tables[spec.name],
@@ -180,7 +181,7 @@ def _references_sql(sources: dict[str, str]) -> str:
 
 def _reconciliation(v: Views) -> DataFrame:
     items = v.order_items()
-    return c.union_verdicts(
+    return union_all(
         [
             c.sum_reconciliation(
                 b.monthly_revenue(v), "receita_produtos", items, "price", "gold", "receita_mensal"
@@ -205,7 +206,7 @@ def _rules(v: Views, table: str, build, *rules: c.RowRule) -> DataFrame:
 
 
 def _non_negative(v: Views) -> DataFrame:
-    return c.union_verdicts(
+    return union_all(
         [
             _rules(
                 v,
@@ -265,7 +266,7 @@ def _min_orders_sql(minimum: int) -> str:
 
 
 def _ranges(v: Views) -> DataFrame:
-    return c.union_verdicts(
+    return union_all(
         [
             _rules(
                 v,

@@ -2,19 +2,32 @@
 
 Typed views stand for cleaned tables; raw views stand for all-text landing tables and carry the
 defects that the cleaning operators deal with (unparsable values, NULL keys, copies, padding).
-Every view covers its whole source table. `view_sql.py` states the same views in SQL.
+Every view covers its whole source table. `view_sql.py` states the same views for another engine.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartlayers.operators.dedup import keep_first
 from cartlayers.operators.rules import flag_inconsistent_dates
 from cartlayers.registry import MONEY, ORDER_ITEMS
 
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Every tenth review goes to the order of the next one, so some orders have two.
+_REVIEW_ORDER = "event_id + if(event_id % 10 = 0, 1, 0)"
+
+
+def _stamp(moment: str) -> str:
+    return f"date_format({moment}, 'yyyy-MM-dd HH:mm:ss')"
+
+
+def _later(moment: str, days: str) -> str:
+    return f"timestampadd(DAY, int({days}), {moment})"
+
+
+def _money(name: str) -> str:
+    return f"string(cast({name} AS {MONEY}))"
 
 
 class Views:
@@ -23,253 +36,198 @@ class Views:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._scans: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._scans:
+            self._scans[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._scans[name]
 
     # Typed views.
 
     def orders(self) -> DataFrame:
-        shipped = self.table("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-            F.max("l_shipdate").alias("shipped")
-        )
-        bought = F.col("o_orderdate").cast("timestamp")
-        status = (
-            F.when(F.col("o_orderstatus") == "F", "delivered")
-            .when(F.col("o_orderstatus") == "O", "shipped")
-            .otherwise("processing")
+        shipped = (
+            self.table("lineitem")
+            .selectExpr("l_orderkey AS o_orderkey", "l_shipdate")
+            .groupBy("o_orderkey")
+            .agg(F.max("l_shipdate").alias("shipped"))
         )
         rows = self.table("orders").join(shipped, "o_orderkey", "left")
         return flag_inconsistent_dates(
-            rows.select(
-                F.col("o_orderkey").alias("order_id"),
-                F.col("o_custkey").alias("customer_id"),
-                status.alias("order_status"),
-                bought.alias("order_purchase_timestamp"),
-                F.col("shipped").cast("timestamp").alias("order_delivered_customer_date"),
-                F.when(F.col("o_orderkey") % 50 != 0, F.timestamp_add("DAY", F.lit(720), bought)).alias(
-                    "order_estimated_delivery_date"
-                ),
+            rows.selectExpr(
+                "o_orderkey AS order_id",
+                "o_custkey AS customer_id",
+                "CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' "
+                "ELSE 'processing' END AS order_status",
+                "timestamp(o_orderdate) AS order_purchase_timestamp",
+                "timestamp(shipped) AS order_delivered_customer_date",
+                f"CASE WHEN o_orderkey % 50 <> 0 THEN timestamp({_later('o_orderdate', '720')}) END "
+                "AS order_estimated_delivery_date",
             )
         )
 
     def order_items_raw(self) -> DataFrame:
-        return self.table("lineitem").select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").alias("order_item_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_suppkey").alias("seller_id"),
-            F.col("l_shipdate").cast("timestamp").alias("shipping_limit_date"),
-            F.col("l_extendedprice").cast(MONEY).alias("price"),
-            F.col("l_quantity").cast(MONEY).alias("freight_value"),
+        return self.table("lineitem").selectExpr(
+            "l_orderkey AS order_id",
+            "l_linenumber AS order_item_id",
+            "l_partkey AS product_id",
+            "l_suppkey AS seller_id",
+            "timestamp(l_shipdate) AS shipping_limit_date",
+            f"cast(l_extendedprice AS {MONEY}) AS price",
+            f"cast(l_quantity AS {MONEY}) AS freight_value",
         )
 
     def order_items(self) -> DataFrame:
         return keep_first(self.order_items_raw(), ORDER_ITEMS.dedup_key)
 
     def _places(self, table: str, nation_key: str) -> DataFrame:
-        nation = self.table("nation").select(F.col("n_nationkey").alias(nation_key), "n_name")
+        nation = self.table("nation").selectExpr(f"n_nationkey AS {nation_key}", "n_name")
         return self.table(table).join(nation, nation_key)
 
     def customers(self) -> DataFrame:
-        return self._places("customer", "c_nationkey").select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("n_name").alias("customer_state"),
-            F.col("c_mktsegment").alias("customer_city"),
+        return self._places("customer", "c_nationkey").selectExpr(
+            "c_custkey AS customer_id", "n_name AS customer_state", "c_mktsegment AS customer_city"
         )
 
     def sellers(self) -> DataFrame:
-        return self._places("supplier", "s_nationkey").select(
-            F.col("s_suppkey").alias("seller_id"),
-            F.col("n_name").alias("seller_state"),
-            F.col("s_name").alias("seller_city"),
+        return self._places("supplier", "s_nationkey").selectExpr(
+            "s_suppkey AS seller_id", "n_name AS seller_state", "s_name AS seller_city"
         )
 
     def products(self) -> DataFrame:
-        return self.table("part").select(
-            F.col("p_partkey").alias("product_id"),
-            F.when(F.col("p_partkey") % 20 != 0, F.col("p_type")).alias("product_category_name"),
+        return self.table("part").selectExpr(
+            "p_partkey AS product_id",
+            "CASE WHEN p_partkey % 20 <> 0 THEN p_type END AS product_category_name",
         )
 
     def payments(self) -> DataFrame:
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_totalprice").cast(MONEY).alias("payment_value"),
-            (1 + F.col("o_orderkey") % 10).cast("int").alias("payment_installments"),
+        return self.table("orders").selectExpr(
+            "o_orderkey AS order_id",
+            f"cast(o_totalprice AS {MONEY}) AS payment_value",
+            "int(1 + o_orderkey % 10) AS payment_installments",
         )
 
     def reviews(self) -> DataFrame:
-        return self.table("events").select(
-            F.col("event_id").alias("review_id"),
-            _review_order().alias("order_id"),
-            (1 + F.col("user_id") % 5).cast("int").alias("review_score"),
-            F.col("ts").cast("timestamp").alias("review_creation_date"),
+        return self.table("events").selectExpr(
+            "event_id AS review_id",
+            f"{_REVIEW_ORDER} AS order_id",
+            "int(1 + user_id % 5) AS review_score",
+            "timestamp(ts) AS review_creation_date",
         )
 
     # Raw views: every column is text.
 
+    def _with_copies(
+        self, rows: DataFrame, copied: str, column: str, value: str
+    ) -> DataFrame:
+        """The rows plus a second copy of those that satisfy `copied`, with one column changed."""
+        copies = rows.filter(copied).withColumn(column, F.lit(value))
+        return rows.union(copies).drop("k")
+
     def raw_orders(self) -> DataFrame:
-        key, day = F.col("o_orderkey"), F.col("o_orderdate")
-        rows = self.table("orders").select(
-            F.when(key % 1009 != 5, key.cast("string")).alias("order_id"),
-            F.col("o_custkey").cast("string").alias("customer_id"),
-            F.when(F.col("o_orderstatus") == "F", "delivered").otherwise("shipped").alias("order_status"),
-            F.when(key % 97 == 0, "abc")
-            .when(key % 89 == 0, "")
-            .when(key % 83 == 0, "2017-13-01")
-            .otherwise(_stamp(day))
-            .alias("order_purchase_timestamp"),
-            F.when(key % 13 != 0, _stamp(_later(day, F.lit(1)))).alias("order_approved_at"),
-            _stamp(_later(day, F.lit(2))).alias("order_delivered_carrier_date"),
-            F.when(key % 31 != 0, _stamp(_later(day, key % 45 - 4))).alias(
-                "order_delivered_customer_date"
-            ),
-            F.when(key % 50 != 0, _stamp(_later(day, F.lit(20)))).alias(
-                "order_estimated_delivery_date"
-            ),
-            key.alias("_key"),
-        )
-        copies = rows.filter(F.col("_key") % 11 == 0).withColumn("order_status", F.lit("canceled"))
-        return rows.union(copies).drop("_key")
+        rows = self.table("orders").selectExpr(
+            "CASE WHEN o_orderkey % 1009 <> 5 THEN string(o_orderkey) END AS order_id",
+            "string(o_custkey) AS customer_id",
+            "if(o_orderstatus = 'F', 'delivered', 'shipped') AS order_status",
+            "CASE WHEN o_orderkey % 97 = 0 THEN 'abc' WHEN o_orderkey % 89 = 0 THEN '' "
+            "WHEN o_orderkey % 83 = 0 THEN '2017-13-01' "
+            f"ELSE {_stamp('o_orderdate')} END AS order_purchase_timestamp",
+            f"CASE WHEN o_orderkey % 13 <> 0 THEN {_stamp(_later('o_orderdate', '1'))} END "
+            "AS order_approved_at",
+            f"{_stamp(_later('o_orderdate', '2'))} AS order_delivered_carrier_date",
+            "CASE WHEN o_orderkey % 31 <> 0 "
+            f"THEN {_stamp(_later('o_orderdate', 'o_orderkey % 45 - 4'))} END "
+            "AS order_delivered_customer_date",
+            f"CASE WHEN o_orderkey % 50 <> 0 THEN {_stamp(_later('o_orderdate', '20'))} END "
+            "AS order_estimated_delivery_date",
+            "o_orderkey AS k",
+        )
+        return self._with_copies(rows, "k % 11 = 0", "order_status", "canceled")
 
     def raw_order_items(self) -> DataFrame:
-        key = F.col("l_orderkey")
-        return self.table("lineitem").select(
-            key.cast("string").alias("order_id"),
-            F.col("l_linenumber").cast("string").alias("order_item_id"),
-            F.col("l_partkey").cast("string").alias("product_id"),
-            F.col("l_suppkey").cast("string").alias("seller_id"),
-            F.when(key % 97 == 0, "no date").otherwise(_stamp(F.col("l_shipdate"))).alias(
-                "shipping_limit_date"
-            ),
-            F.when(key % 101 == 0, "abc")
-            .when(key % 103 == 0, "1.005")
-            .when(key % 107 == 0, "123456789.12")
-            .otherwise(_money("l_extendedprice"))
-            .alias("price"),
-            F.when(key % 109 == 0, "").otherwise(_money("l_quantity")).alias("freight_value"),
+        return self.table("lineitem").selectExpr(
+            "string(l_orderkey) AS order_id",
+            "string(l_linenumber) AS order_item_id",
+            "string(l_partkey) AS product_id",
+            "string(l_suppkey) AS seller_id",
+            f"if(l_orderkey % 97 = 0, 'no date', {_stamp('l_shipdate')}) AS shipping_limit_date",
+            "CASE WHEN l_orderkey % 101 = 0 THEN 'abc' WHEN l_orderkey % 103 = 0 THEN '1.005' "
+            "WHEN l_orderkey % 107 = 0 THEN '123456789.12' "
+            f"ELSE {_money('l_extendedprice')} END AS price",
+            f"if(l_orderkey % 109 = 0, '', {_money('l_quantity')}) AS freight_value",
         )
 
     def raw_payments(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        return self.table("orders").select(
-            key.cast("string").alias("order_id"),
-            F.when(key % 61 == 0, "n/a")
-            .when(key % 67 == 0, "123456789.12")
-            .otherwise(_money("o_totalprice"))
-            .alias("payment_value"),
-            F.when(key % 71 == 0, "")
-            .when(key % 73 == 0, " 7 ")
-            .otherwise((1 + key % 10).cast("string"))
-            .alias("payment_installments"),
+        return self.table("orders").selectExpr(
+            "string(o_orderkey) AS order_id",
+            "CASE WHEN o_orderkey % 61 = 0 THEN 'n/a' WHEN o_orderkey % 67 = 0 "
+            f"THEN '123456789.12' ELSE {_money('o_totalprice')} END AS payment_value",
+            "CASE WHEN o_orderkey % 71 = 0 THEN '' WHEN o_orderkey % 73 = 0 THEN ' 7 ' "
+            "ELSE string(1 + o_orderkey % 10) END AS payment_installments",
         )
 
     def raw_reviews(self) -> DataFrame:
-        key, day = F.col("event_id"), F.col("ts")
-        rows = self.table("events").select(
-            key.cast("string").alias("review_id"),
-            _review_order().cast("string").alias("order_id"),
-            F.when(key % 41 == 0, "9")
-            .when(key % 43 == 0, "x")
-            .when(key % 47 == 0, "")
-            .otherwise((1 + F.col("user_id") % 5).cast("string"))
-            .alias("review_score"),
-            F.when(key % 53 == 0, "2017-13-01").otherwise(_stamp(day)).alias("review_creation_date"),
-            _stamp(_later(day, F.lit(1))).alias("review_answer_timestamp"),
-            key.alias("_key"),
+        rows = self.table("events").selectExpr(
+            "string(event_id) AS review_id",
+            f"string({_REVIEW_ORDER}) AS order_id",
+            "CASE WHEN event_id % 41 = 0 THEN '9' WHEN event_id % 43 = 0 THEN 'x' "
+            "WHEN event_id % 47 = 0 THEN '' ELSE string(1 + user_id % 5) END AS review_score",
+            f"if(event_id % 53 = 0, '2017-13-01', {_stamp('ts')}) AS review_creation_date",
+            f"{_stamp(_later('ts', '1'))} AS review_answer_timestamp",
+            "event_id AS k",
         )
-        copies = rows.filter(F.col("_key") % 9 == 0).withColumn("review_score", F.lit("1"))
-        return rows.union(copies).drop("_key")
+        return self._with_copies(rows, "k % 9 = 0", "review_score", "1")
 
     def raw_products(self) -> DataFrame:
-        key, size = F.col("p_partkey"), F.col("p_size")
-        rows = self.table("part").select(
-            key.cast("string").alias("product_id"),
-            F.when(key % 20 == 0, F.lit(None))
-            .when(key % 21 == 0, " ")
-            .when(key % 22 == 0, F.concat(F.lit("  "), F.upper("p_type"), F.lit(" ")))
-            .otherwise(F.col("p_type"))
-            .alias("product_category_name"),
-            F.length("p_name").cast("string").alias("product_name_lenght"),
-            F.when(key % 37 == 0, "many").otherwise((size * 10).cast("string")).alias(
-                "product_description_lenght"
-            ),
-            (size % 7).cast("string").alias("product_photos_qty"),
-            F.when(key % 41 == 0, "heavy").otherwise(_money("p_retailprice")).alias(
-                "product_weight_g"
-            ),
-            F.concat(size.cast("string"), F.lit(".5")).alias("product_length_cm"),
-            F.concat((size % 9).cast("string"), F.lit(".25")).alias("product_height_cm"),
-            F.when(key % 43 != 0, size.cast("string")).alias("product_width_cm"),
-            key.alias("_key"),
-        )
-        copies = rows.filter(F.col("_key") % 15 == 0).withColumn(
-            "product_category_name", F.lit("AAA copy")
-        )
-        return rows.union(copies).drop("_key")
+        rows = self.table("part").selectExpr(
+            "string(p_partkey) AS product_id",
+            "CASE WHEN p_partkey % 20 = 0 THEN NULL WHEN p_partkey % 21 = 0 THEN ' ' "
+            "WHEN p_partkey % 22 = 0 THEN concat('  ', upper(p_type), ' ') ELSE p_type END "
+            "AS product_category_name",
+            "string(length(p_name)) AS product_name_lenght",
+            "if(p_partkey % 37 = 0, 'many', string(p_size * 10)) AS product_description_lenght",
+            "string(p_size % 7) AS product_photos_qty",
+            f"if(p_partkey % 41 = 0, 'heavy', {_money('p_retailprice')}) AS product_weight_g",
+            "concat(p_size, '.5') AS product_length_cm",
+            "concat(p_size % 9, '.25') AS product_height_cm",
+            "CASE WHEN p_partkey % 43 <> 0 THEN string(p_size) END AS product_width_cm",
+            "p_partkey AS k",
+        )
+        return self._with_copies(rows, "k % 15 = 0", "product_category_name", "AAA copy")
 
     def raw_customers(self) -> DataFrame:
-        key = F.col("c_custkey")
-        rows = self._places("customer", "c_nationkey").select(
-            key.cast("string").alias("customer_id"),
-            F.col("c_name").alias("customer_unique_id"),
-            F.col("c_nationkey").cast("string").alias("customer_zip_code_prefix"),
-            F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit("  ")).alias("customer_city"),
-            F.concat(F.lower("n_name"), F.lit(" ")).alias("customer_state"),
-            key.alias("_key"),
+        rows = self._places("customer", "c_nationkey").selectExpr(
+            "string(c_custkey) AS customer_id",
+            "c_name AS customer_unique_id",
+            "string(c_nationkey) AS customer_zip_code_prefix",
+            "concat(' ', c_mktsegment, '  ') AS customer_city",
+            "concat(lower(n_name), ' ') AS customer_state",
+            "c_custkey AS k",
         )
-        copies = rows.filter(F.col("_key") % 10 == 0).withColumn("customer_city", F.lit("\tZ copy"))
-        return rows.union(copies).drop("_key")
+        return self._with_copies(rows, "k % 10 = 0", "customer_city", "\tZ copy")
 
     def raw_sellers(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        rows = self._places("supplier", "s_nationkey").select(
-            key.cast("string").alias("seller_id"),
-            F.col("s_nationkey").cast("string").alias("seller_zip_code_prefix"),
-            F.concat(F.lit(" "), F.col("s_name"), F.lit(" ")).alias("seller_city"),
-            F.concat(F.lit(" "), F.lower("n_name")).alias("seller_state"),
-            key.alias("_key"),
+        rows = self._places("supplier", "s_nationkey").selectExpr(
+            "string(s_suppkey) AS seller_id",
+            "string(s_nationkey) AS seller_zip_code_prefix",
+            "concat(' ', s_name, ' ') AS seller_city",
+            "concat(' ', lower(n_name)) AS seller_state",
+            "s_suppkey AS k",
         )
-        copies = rows.filter(F.col("_key") % 4 == 0).withColumn("seller_city", F.lit("São Copy"))
-        return rows.union(copies).drop("_key")
+        return self._with_copies(rows, "k % 4 = 0", "seller_city", "São Copy")
 
     def raw_geolocation(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self.table("customer").select(
-            F.col("c_nationkey").cast("string").alias("geolocation_zip_code_prefix"),
-            F.when(key % 29 == 0, "bad").otherwise(_money("c_acctbal")).alias("geolocation_lat"),
-            _money("c_acctbal").alias("geolocation_lng"),
-            F.when(key % 17 != 0, F.concat(F.col("c_mktsegment"), F.lit(" "))).alias(
-                "geolocation_city"
-            ),
-            F.concat(F.lit(" "), F.lower("c_name")).alias("geolocation_state"),
+        return self.table("customer").selectExpr(
+            "string(c_nationkey) AS geolocation_zip_code_prefix",
+            f"if(c_custkey % 29 = 0, 'bad', {_money('c_acctbal')}) AS geolocation_lat",
+            f"{_money('c_acctbal')} AS geolocation_lng",
+            "CASE WHEN c_custkey % 17 <> 0 THEN concat(c_mktsegment, ' ') END AS geolocation_city",
+            "concat(' ', lower(c_name)) AS geolocation_state",
         )
 
     def raw_category_translation(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return self.table("part").select(
-            F.when(key % 3 == 0, F.concat(F.lit(" "), F.col("p_type")))
-            .when(key % 3 == 1, F.lower("p_type"))
-            .otherwise(F.concat(F.col("p_type"), F.lit("  ")))
-            .alias("product_category_name"),
-            F.concat(F.lit(" "), F.col("p_type"), F.lit(" "), F.col("p_brand")).alias(
-                "product_category_name_english"
-            ),
+        return self.table("part").selectExpr(
+            "CASE p_partkey % 3 WHEN 0 THEN concat(' ', p_type) WHEN 1 THEN lower(p_type) "
+            "ELSE concat(p_type, '  ') END AS product_category_name",
+            "concat(' ', p_type, ' ', p_brand) AS product_category_name_english",
         )
-
-
-def _review_order() -> Column:
-    """Every tenth review goes to the order of the next one, so some orders have two."""
-    return F.col("event_id") + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
-
-
-def _stamp(moment: Column) -> Column:
-    return F.date_format(moment, TS_FORMAT)
-
-
-def _later(moment: Column, days: Column) -> Column:
-    return F.timestamp_add("DAY", days.cast("int"), moment)
-
-
-def _money(name: str) -> Column:
-    return F.col(name).cast(MONEY).cast("string")

@@ -15,6 +15,8 @@ EXECUTION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Recording the call site of every column expression costs several driver round trips each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
