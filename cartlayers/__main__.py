@@ -24,8 +24,17 @@ def main(argv: list[str] | None = None) -> None:
         table_format=args.table_format,
     )
     spark = get_session()
-    run = {"bronze": run_bronze, "silver": run_silver, "gold": run_gold, "all": run_all}[args.layer]
-    run(spark, settings)
+    if args.layer == "bronze":
+        for table, rows in run_bronze(spark, settings).items():
+            print(f"bronze.{table}: {rows} rows")
+    elif args.layer == "silver":
+        report = run_silver(spark, settings)
+        report.typing.filter("falhas > 0").show(truncate=False)
+        report.removed.filter("removidas > 0").show(truncate=False)
+    elif args.layer == "gold":
+        run_gold(spark, settings)
+    else:
+        run_all(spark, settings)
 
 
 if __name__ == "__main__":

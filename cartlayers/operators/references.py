@@ -12,6 +12,18 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -
     return child.join(keys, F.col(column) == F.col("_parent_key"), "left_anti")
 
 
+def with_matches(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left outer join of a table with unique keys and a table of many rows per key.
+
+    Written as the matches plus the left rows without any. Adaptive execution can split a hot key
+    of the right side in an inner join but not in a left outer one, and the second part needs the
+    right side only as distinct keys, which combine on the map side.
+    """
+    matches = left.join(right, key)
+    alone = orphans(left, key, right.select(key).distinct(), key)
+    return matches.unionByName(alone, allowMissingColumns=True)
+
+
 def orphan_count(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """One row: the number of orphans.
 

@@ -15,7 +15,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlayers.functions.dates import days_between, month_label, month_start
-from cartlayers.functions.numbers import mean_of_totals, money_mean, percent_change
+from cartlayers.functions.numbers import (
+    cents,
+    cents_total,
+    mean_of_totals,
+    money_mean,
+    percent_change,
+    wide,
+)
 from cartlayers.operators.checks import (
     RowRule,
     below,
@@ -36,8 +43,6 @@ ON_TIME = "no_prazo"
 LATE = "atrasado"
 MIN_ORDERS = 5
 
-_TOTAL = "decimal(20,2)"
-
 # How each business table is sorted when it is read; stored tables have no order.
 PRESENTATION: dict[str, list[tuple[str, bool]]] = {
     "receita_mensal": [("mes", True)],
@@ -58,10 +63,10 @@ def _rows() -> Column:
 
 
 def order_sales(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per order that has items: month, customer and item totals."""
+    """One row per order that has items: month, customer and item totals in cents."""
     totals = items.groupBy("order_id").agg(
-        F.sum("price").alias("products"),
-        F.sum("freight_value").alias("freight"),
+        F.sum(cents("price")).alias("products"),
+        F.sum(cents("freight_value")).alias("freight"),
         F.count("price").alias("priced_items"),
     )
     heads = orders.select(
@@ -83,8 +88,8 @@ def monthly_revenue_of(sales: DataFrame) -> DataFrame:
     months = (
         sales.groupBy("month")
         .agg(
-            F.sum("products").cast(_TOTAL).alias("receita_produtos"),
-            F.sum("freight").cast(_TOTAL).alias("receita_frete"),
+            cents_total(F.sum(wide(F.col("products")))).alias("receita_produtos"),
+            cents_total(F.sum(wide(F.col("freight")))).alias("receita_frete"),
             _rows().alias("qtd_pedidos"),
         )
         .select(month_label("month").alias("mes"), "receita_produtos", "receita_frete", "qtd_pedidos")
@@ -104,7 +109,7 @@ def monthly_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def revenue_by_state_of(sales: DataFrame, customers: DataFrame) -> DataFrame:
     per_customer = sales.groupBy("customer_id").agg(
-        F.sum("products").alias("products"),
+        F.sum(wide(F.col("products"))).alias("products"),
         F.sum("priced_items").alias("priced_items"),
         _rows().alias("orders"),
     )
@@ -113,9 +118,9 @@ def revenue_by_state_of(sales: DataFrame, customers: DataFrame) -> DataFrame:
         per_customer.join(places, "customer_id")
         .groupBy("estado")
         .agg(
-            F.sum("products").cast(_TOTAL).alias("receita_total"),
+            cents_total(F.sum("products")).alias("receita_total"),
             F.sum("orders").alias("qtd_pedidos"),
-            money_mean(F.sum("products"), F.sum("priced_items")).alias("ticket_medio"),
+            money_mean(cents_total(F.sum("products")), F.sum("priced_items")).alias("ticket_medio"),
         )
     )
 
@@ -215,17 +220,17 @@ def seller_ranking(
     if review_grain not in ("row", "order"):
         raise ValueError(f"unknown review_grain: {review_grain!r}")
     lines = items.groupBy("order_id", "seller_id").agg(
-        F.sum("price").alias("revenue"), _rows().alias("items")
+        F.sum(cents("price")).alias("revenue"), _rows().alias("items")
     )
     heads = orders.select("order_id").join(review_totals(reviews), "order_id", "left")
     facts = lines.join(heads, "order_id")
     if review_grain == "row":
-        revenue = F.col("revenue") * F.coalesce(F.col("reviews"), F.lit(1))
+        revenue = wide(F.col("revenue")) * F.coalesce(F.col("reviews"), F.lit(1))
         score = mean_of_totals(
             F.sum(F.col("items") * F.col("score")), F.sum(F.col("items") * F.col("scored"))
         )
     else:
-        revenue = F.col("revenue")
+        revenue = wide(F.col("revenue"))
         order_mean = F.try_divide(F.col("score"), F.col("scored"))
         score = mean_of_totals(
             F.sum(F.col("items") * order_mean),
@@ -234,7 +239,7 @@ def seller_ranking(
     per_seller = (
         facts.groupBy("seller_id")
         .agg(
-            F.sum(revenue).cast(_TOTAL).alias("receita_total"),
+            cents_total(F.sum(revenue)).alias("receita_total"),
             _rows().alias("qtd_pedidos"),
             score.alias("nota_media"),
         )

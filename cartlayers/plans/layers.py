@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -95,10 +96,18 @@ def dedup_summary(raw: dict[str, DataFrame], stored: dict[str, DataFrame]) -> Da
     )
 
 
+@dataclass(frozen=True)
+class CleaningReport:
+    """What cleaning changed; both reports are computed when they are looked at."""
+
+    typing: DataFrame
+    removed: DataFrame
+
+
 def run_silver(
     spark: SparkSession, settings: Settings, run_id: str | None = None, gate: bool = False
-) -> DataFrame:
-    """Clean and store every table, log the key and reference checks, return the typing report."""
+) -> CleaningReport:
+    """Clean and store every table, log the key and reference checks, report the changes."""
     run_id = run_id or new_run_id()
     create_databases(spark, settings)
     raw = {name: read_table(spark, settings, "bronze", name) for name in TABLES}
@@ -108,7 +117,7 @@ def run_silver(
     log_verdicts(silver_checks(stored), settings, run_id)
     if gate:
         enforce(spark.table(settings.log_table), "silver", run_id)
-    return typing_report(raw)
+    return CleaningReport(typing_report(raw), dedup_summary(raw, stored))
 
 
 def run_gold(
@@ -145,7 +154,9 @@ def run_gold(
     return {name: g.present(name, df) for name, df in stored.items()}
 
 
-def run_all(spark: SparkSession, settings: Settings, gate_layers: tuple[str, ...] = ("gold",)) -> str:
+def run_all(
+    spark: SparkSession, settings: Settings, gate_layers: tuple[str, ...] = ("gold",)
+) -> str:
     """All three layers under one run id, which is returned."""
     run_id = new_run_id()
     run_bronze(spark, settings, run_id, gate="bronze" in gate_layers)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartlayers.functions.dates import month_label
-from cartlayers.operators.references import orphans
+from cartlayers.operators.references import orphans, with_matches
 from cartlayers.plans import gold as g
 from cartlayers.queries.entry import Query
 from cartlayers.queries.view_sql import half_up, money_mean, with_views
@@ -118,9 +118,8 @@ def _inner_items(v: Views):
 
 
 def _left_reviews(v: Views):
-    return v.orders().select("order_id", "order_status").join(
-        v.reviews().select("order_id", "review_id", "review_score"), "order_id", "left"
-    )
+    heads = v.orders().select("order_id", "order_status")
+    return with_matches(heads, v.reviews().select("order_id", "review_id", "review_score"), "order_id")
 
 
 def _orphan_items(v: Views):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from cartlayers.settings import Settings
@@ -37,13 +36,8 @@ def staging_dir(spark: SparkSession) -> str:
     The cluster names it in `spark.checkpoint.dir`. Where that is unset the warehouse is used,
     which every executor can reach because the managed tables live there.
     """
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not shared:
-        try:
-            shared = spark.conf.get("spark.checkpoint.dir")
-        except AnalysisException:
-            shared = None
-    return shared or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return (shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging").rstrip("/")
 
 
 def stage(df: DataFrame, settings: Settings, name: str) -> DataFrame:
@@ -52,6 +46,6 @@ def stage(df: DataFrame, settings: Settings, name: str) -> DataFrame:
     One copy per gold database is kept and replaced by the next run.
     """
     spark = df.sparkSession
-    path = f"{staging_dir(spark).rstrip('/')}/{settings.database('gold')}/{name}"
+    path = f"{staging_dir(spark)}/{settings.database('gold')}/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 from cartlayers.operators import checks as c
 from cartlayers.operators.profile import null_profile
-from cartlayers.operators.references import orphan_count, orphans
+from cartlayers.operators.references import orphan_count, orphans, with_matches
 from cartlayers.operators.rules import outside_range, outside_range_count
 
 
@@ -157,3 +157,11 @@ def test_outside_range_ignores_missing_values(spark):
     df = frame(spark, "v int", (0,), (1,), (5,), (6,), (None,))
     assert [r.v for r in outside_range(df, "v", 1, 5).collect()] == [0, 6]
     assert outside_range_count(df, "v", 1, 5).first()[0] == 2
+
+
+def test_with_matches_is_a_left_outer_join(spark):
+    left = frame(spark, "k string, a int", ("x", 1), ("y", 2), (None, 3))
+    right = frame(spark, "k string, b int", ("x", 10), ("x", 11), ("z", 12), (None, 13))
+    found = sorted(map(tuple, with_matches(left, right, "k").collect()), key=str)
+    assert found == sorted(map(tuple, left.join(right, "k", "left").collect()), key=str)
+    assert len(found) == 4

@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from cartlayers.__main__ import main
 from cartlayers.operators.checks import QualityGateError, enforce, log_summary, record_check
 from cartlayers.plans.layers import (
     dedup_summary,
@@ -19,7 +20,7 @@ from cartlayers.plans.layers import (
 from cartlayers.registry import TABLES
 from cartlayers.settings import Settings
 from cartlayers.sources.landing import read_landing
-from cartlayers.sources.tables import read_table
+from cartlayers.sources.tables import read_table, stage, staging_dir
 from tests.landing import PREFIX, write_landing
 
 
@@ -48,7 +49,7 @@ def dirty_run(spark, tmp_path_factory):
     settings = make_settings(folder, "dirty")
     rows = run_bronze(spark, settings, "run1", recount_source=True, gate=True)
     lost = run_silver(spark, settings, "run1")
-    return settings, rows, {(r.tabela, r.coluna): r.falhas for r in lost.collect()}
+    return settings, rows, {(r.tabela, r.coluna): r.falhas for r in lost.typing.collect()}
 
 
 def rows_of(spark, settings, layer, table, *order):
@@ -307,3 +308,23 @@ def test_record_check_feeds_the_gate(spark, tmp_path):
     with pytest.raises(QualityGateError, match="layer 'silver'"):
         enforce(spark.table(settings.log_table), "silver")
     enforce(spark.table(settings.log_table), "gold")
+
+
+def test_command_line_runs_layer_by_layer(spark, tmp_path, capsys):
+    write_landing(tmp_path, dirty=False)
+    options = ["--raw-path", str(tmp_path), "--file-prefix", PREFIX]
+    for layer in ("bronze", "silver", "gold"):
+        main([layer, *options])
+    shown = capsys.readouterr().out
+    assert "bronze.reviews: 5 rows" in shown
+    assert "payment_value" in shown and "category_translation" in shown
+    assert spark.table("gold.receita_mensal").count() == 4
+
+
+def test_staging_uses_the_folder_the_cluster_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    folder = named or spark.conf.get("spark.sql.warehouse.dir") + "/_staging"
+    assert staging_dir(spark) == folder
+    kept = stage(spark.range(3).toDF("n"), Settings(gold="staging_test"), "numbers")
+    assert kept.count() == 3
+    assert all(f"{folder}/staging_test/numbers/" in f for f in kept.inputFiles())
