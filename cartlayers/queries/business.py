@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlayers.functions.dates import month_label
@@ -80,34 +83,39 @@ ORDER_GRAIN_SQL = f"""
     GROUP BY seller_id, seller_state HAVING count(DISTINCT i.order_id) >= 5"""
 
 
-def monthly_revenue(v: Views):
+def monthly_revenue(v: Views) -> DataFrame:
     return g.monthly_revenue(v.orders(), v.order_items())
 
 
-def revenue_by_state(v: Views):
+def revenue_by_state(v: Views) -> DataFrame:
     return g.revenue_by_state(v.orders(), v.order_items(), v.customers())
 
 
-def delivery_performance(v: Views):
+def delivery_performance(v: Views) -> DataFrame:
     return g.delivery_performance(g.delivered_orders(v.orders()))
 
 
-def delivery_satisfaction(v: Views):
+def delivery_satisfaction(v: Views) -> DataFrame:
     return g.delivery_satisfaction(g.delivered_orders(v.orders()), v.reviews())
 
 
-def seller_ranking(v: Views, **options):
+def seller_ranking(v: Views, **options) -> DataFrame:
     return g.seller_ranking(v.order_items(), v.orders(), v.sellers(), v.reviews(), **options)
 
 
-def _month_lag(v: Views):
+def _shown(table: str, build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
+    """A business table in the order in which it is shown."""
+    return lambda v: g.present(table, build(v))
+
+
+def _month_lag(v: Views) -> DataFrame:
     months = g.monthly_revenue(v.orders(), v.order_items())
     return g.previous_month(months, "receita_produtos", "receita_mes_anterior").select(
         "mes", "receita_produtos", "receita_mes_anterior"
     )
 
 
-def _inner_items(v: Views):
+def _inner_items(v: Views) -> DataFrame:
     return v.order_items().join(v.orders(), "order_id").select(
         "order_id",
         "order_item_id",
@@ -117,12 +125,12 @@ def _inner_items(v: Views):
     )
 
 
-def _left_reviews(v: Views):
+def _left_reviews(v: Views) -> DataFrame:
     heads = v.orders().select("order_id", "order_status")
     return with_matches(heads, v.reviews().select("order_id", "review_id", "review_score"), "order_id")
 
 
-def _orphan_items(v: Views):
+def _orphan_items(v: Views) -> DataFrame:
     settled = v.orders().filter(F.col("order_status") != "processing")
     return orphans(v.order_items(), "order_id", settled, "order_id").select(
         "order_id", "order_item_id", "price"
@@ -169,15 +177,25 @@ QUERIES: dict[str, Query] = {
             "v_sales",
         ),
     ),
-    "monthly_revenue": Query(monthly_revenue, with_views(REVENUE_SQL, "v_sales")),
+    "monthly_revenue": Query(
+        _shown("receita_mensal", monthly_revenue), with_views(REVENUE_SQL, "v_sales")
+    ),
     "revenue_by_state": Query(
-        revenue_by_state, with_views(STATE_SQL, "v_sales", "v_customers")
+        _shown("receita_por_estado", revenue_by_state),
+        with_views(STATE_SQL, "v_sales", "v_customers"),
+    ),
+    "delivery_performance": Query(
+        _shown("performance_entrega_mensal", delivery_performance),
+        with_views(DELIVERY_SQL, "v_delivered"),
     ),
-    "delivery_performance": Query(delivery_performance, with_views(DELIVERY_SQL, "v_delivered")),
     "delivery_satisfaction": Query(
-        delivery_satisfaction, with_views(SATISFACTION_SQL, "v_delivered", "v_reviews")
+        _shown("satisfacao_entrega", delivery_satisfaction),
+        with_views(SATISFACTION_SQL, "v_delivered", "v_reviews"),
+    ),
+    "seller_ranking": Query(
+        _shown("ranking_vendedores", seller_ranking),
+        with_views(ranking_sql(g.MIN_ORDERS), *RANKING_VIEWS),
     ),
-    "seller_ranking": Query(seller_ranking, with_views(ranking_sql(5), *RANKING_VIEWS)),
     "seller_ranking_min_orders": Query(
         lambda v: seller_ranking(v, min_orders=RAISED_MIN_ORDERS),
         with_views(ranking_sql(RAISED_MIN_ORDERS), *RANKING_VIEWS),

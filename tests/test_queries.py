@@ -27,3 +27,9 @@ def test_query_matches_sql(spark, duck, name):
 def test_entry_is_sorted(spark):
     months = [row.mes for row in contract.entry(spark).collect()]
     assert months and months == sorted(months)
+
+
+@pytest.mark.parametrize("name", ["revenue_by_state", "seller_ranking"])
+def test_rankings_are_sorted_by_revenue(spark, name):
+    totals = [row.receita_total for row in contract.queries()[name](spark, FOLDER).collect()]
+    assert totals and totals == sorted(totals, reverse=True)
