@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +16,35 @@ from cartlayers.session import pin_semantics
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return pin_semantics(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with its semantics pinned and this package importable by its Python workers."""
+    context = spark.sparkContext
+    if not getattr(context, "_cartlayers_sent", False):
+        packed = io.BytesIO()
+        root = Path(__file__).resolve().parents[1]
+        with zipfile.ZipFile(packed, "w") as archive:
+            for file in sorted(root.rglob("*.py")):
+                archive.write(file, file.relative_to(root.parent))
+        context.addPyFile(share_file(spark, "cartlayers.zip", packed.getvalue()))
+        context._cartlayers_sent = True
+    return pin_semantics(spark)
+
+
+def share_file(spark: SparkSession, name: str, content: bytes) -> str:
+    """Write a file to the shared folder through Hadoop's file systems; its URI."""
+    java = spark.sparkContext._jvm
+    path = java.org.apache.hadoop.fs.Path(shared_folder(spark), name)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = system.create(path)
+    try:
+        for start in range(0, len(content), 8 << 20):
+            out.write(bytearray(content[start : start + (8 << 20)]))
+    finally:
+        out.close()
+    return system.makeQualified(path).toString()
 
 
 def shared_folder(spark: SparkSession) -> str:
