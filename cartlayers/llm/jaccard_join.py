@@ -36,6 +36,7 @@ from cartlayers.llm.words import HASH_STEP, NOT_SPACE, Words, chunks, expand, mi
 CELLS = 128
 THIRDS = 3
 SIGNATURES_PER_BUCKET = 1_000_000
+SIGNATURES_PER_PACK = 1_500_000
 BLOCK = 400
 
 
@@ -84,7 +85,7 @@ class ShingleSets:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, likeness: Likeness):
         words = Words(data, offsets, NOT_SPACE)
-        shingles, text, _ = runs(words.hashes(), words, likeness.words)
+        shingles, text = runs(words.hashes(), words, likeness.words)
         order = np.argsort(shingles)
         shingles, text = shingles[order], text[order]
         same = shingles[1:] == shingles[:-1]
@@ -195,53 +196,57 @@ def star_pairs(docs: DataFrame, likeness: Likeness, buckets: int) -> DataFrame:
 
     Within a batch, the members of a signature are linked to its leader there, and only that leader
     goes on to the signature's bucket, so a signature that very many classes share adds one entry a
-    batch. A bucket's entries of a batch are one packed row.
+    batch. A bucket's entries of a batch are one packed row, in which 32 bits of a signature are
+    enough: a bucket has about a million, and a false pair only costs a comparison.
     """
-    columns = ["bucket", "signatures", "members", "classes", "pairs"]
+    columns = ["bucket", "signatures", "counts", "classes", "pairs"]
 
-    def emit(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found, keys = [], []
-        for _, _, sets in _sets_of(batch.column(0), likeness):
-            signatures, owner = sets.signatures(likeness)
-            found.append(signatures)
-            keys.append(sets.keys()[0][owner])
-        signatures, keys = np.concatenate(found), np.concatenate(keys)
-        if not len(keys):
-            return
+    def pack(signatures: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
         kept, leader, member = _leaders(signatures, keys)
         signatures, keys = signatures[kept], keys[kept]  # in order of signature
         bucket = ((signatures >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         begin = np.flatnonzero(np.diff(bucket, prepend=-1))
+        short = mix(signatures).astype(np.uint32)
         rows = []
         for a, b in zip(begin, np.append(begin[1:], len(bucket)), strict=True):
-            classes, local = np.unique(keys[a:b], return_inverse=True)
-            width = np.uint16 if len(classes) <= 1 << 16 else np.uint32
-            rows.append((int(bucket[a]), signatures[a:b].tobytes(), local.astype(width).tobytes(), classes.tobytes(), b""))
+            order = np.argsort(keys[a:b])
+            classes, counts = np.unique(keys[a:b], return_counts=True)
+            packed = (short[a:b][order], counts.astype(np.uint32), classes)
+            rows.append((int(bucket[a]), *(x.tobytes() for x in packed), b""))
         if len(leader):
             pairs = np.unique(np.stack([leader, member], axis=1), axis=0)
             rows.append((int(bucket[0]), b"", b"", b"", pairs.tobytes()))
         types = [pa.int64()] + [pa.binary()] * 4
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(values, kind) for values, kind in zip(zip(*rows, strict=True), types, strict=True)], columns
         )
 
+    def emit(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        found, keys, n = [], [], 0
+        for _, last, sets in _sets_of(batch.column(0), likeness):
+            signatures, owner = sets.signatures(likeness)
+            found.append(signatures)
+            keys.append(sets.keys()[0][owner])
+            n += len(signatures)
+            if n and (n >= SIGNATURES_PER_PACK or last == batch.num_rows):
+                yield pack(np.concatenate(found), np.concatenate(keys))
+                found, keys, n = [], [], 0
+
     def meet(rows: pa.Table) -> pa.Table:
-        found, keys, pairs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
+        found, keys, pairs = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], []
         for row in rows.to_batches(max_chunksize=1):
-            signatures, members, classes, local = (row.column(c)[0].as_py() for c in columns[1:])
+            signatures, counts, classes, local = (row.column(c)[0].as_py() for c in columns[1:])
             if local:
                 pairs.append(np.frombuffer(local, np.int64).reshape(-1, 2))
-            elif signatures:
-                width = np.uint16 if len(members) * 4 == len(signatures) else np.uint32
-                found.append(np.frombuffer(signatures, np.uint64))
-                keys.append(np.frombuffer(classes, np.int64)[np.frombuffer(members, width)])
+            found.append(np.frombuffer(signatures, np.uint32))
+            keys.append(np.repeat(np.frombuffer(classes, np.int64), np.frombuffer(counts, np.uint32)))
         _, leader, member = _leaders(np.concatenate(found), np.concatenate(keys))
         pairs.append(np.stack([leader, member], axis=1))
         both = np.unique(np.concatenate(pairs), axis=0)
         return pa.table({"leader": both[:, 0], "member": both[:, 1]})
 
     packed = map_tables(
-        docs.select("text"), emit, "bucket long, signatures binary, members binary, classes binary, pairs binary"
+        docs.select("text"), emit, "bucket long, signatures binary, counts binary, classes binary, pairs binary"
     )
     return packed.groupBy("bucket").applyInArrow(meet, "leader long, member long").distinct()
 

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartlayers.llm.contamination import op10_decontamination
 from cartlayers.llm.jaccard_join import op5_jaccard_join
+from cartlayers.llm.language_id import op1_language_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op5_jaccard_join": op5_jaccard_join,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {}

@@ -7,11 +7,12 @@ a byte is enough to tell whether a character belongs to a word.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 HASH_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -49,7 +50,8 @@ def randoms(n: int, seed: int) -> np.ndarray:
         return mix(start + HASH_STEP * np.arange(1, n + 1, dtype=np.uint64))
 
 
-_BYTE_AT = randoms(64 * 256, 11)
+_BYTE_VALUES = randoms(256, 11)
+_BASE = int(randoms(1, 17)[0]) | 5
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,6 +79,15 @@ def chunks(offsets: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int,
         first = last
 
 
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2 to the 64."""
+    steps = np.full((2, n), _BASE, dtype=np.uint64)
+    steps[1] = pow(_BASE, -1, 1 << 64)
+    steps[:, 0] = 1
+    return tuple(np.cumprod(steps, axis=1))
+
+
 class Words:
     """Words of a range of texts: start and end byte, the text each belongs to, and hashes."""
 
@@ -86,63 +97,52 @@ class Words:
         self.bytes = LOWER[data]
         self.texts = len(offsets) - 1
         inside = in_word[self.bytes]
-        first = inside.copy()
-        if len(inside):
-            first[1:] &= ~inside[:-1]
-            heads = offsets[:-1][offsets[:-1] < len(inside)]
-            first[heads] = inside[heads]
+        first, last = inside.copy(), inside.copy()
+        first[1:] &= ~inside[:-1]
+        last[:-1] &= ~inside[1:]
+        filled = np.flatnonzero(offsets[1:] > offsets[:-1])
+        first[offsets[filled]] = inside[offsets[filled]]
+        last[offsets[filled + 1] - 1] = inside[offsets[filled + 1] - 1]
         self.starts = np.flatnonzero(first)
-        self.inside = inside
-        self.of = np.searchsorted(offsets, self.starts, side="right") - 1
-        self.counts = np.bincount(self.of, minlength=self.texts)
-        self.first = np.concatenate([[0], np.cumsum(self.counts)])
-        self.offsets = offsets
-
-    @property
-    def ends(self) -> np.ndarray:
-        """The byte after each word."""
-        inside = self.inside
-        last = inside.copy()
-        if len(inside):
-            last[:-1] &= ~inside[1:]
-            tails = self.offsets[1:] - 1
-            tails = tails[tails >= 0]
-            last[tails] = inside[tails]
-        return np.flatnonzero(last) + 1
+        self.ends = np.flatnonzero(last) + 1
+        self.first = np.searchsorted(self.starts, offsets)
+        self.counts = np.diff(self.first)
+        self.of = np.repeat(np.arange(self.texts), self.counts)
 
     def hashes(self) -> np.ndarray:
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        begin = np.zeros(len(self.bytes), dtype=np.int32)
-        gaps = np.diff(self.starts, prepend=0)
-        begin[self.starts] = gaps
-        place = np.arange(len(self.bytes), dtype=np.int32) - np.cumsum(begin, dtype=np.int32)
-        values = _BYTE_AT[((place & 63) << 8) | self.bytes]
-        if place.max(initial=0) > 63:
-            far = np.flatnonzero(place > 63)
-            values[far] = mix(values[far] + HASH_STEP * (place[far] >> 6).astype(np.uint64))
-        values[~self.inside] = 0
-        return mix(np.add.reduceat(values, self.starts))
-
-
-def runs(hashes: np.ndarray, words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of every run of `size` words, the text it is in, and how many runs each text has.
-
-    A text of fewer words, but not none, has one run of all its words.
+        """A polynomial of each word's bytes, scrambled: the difference of two prefix sums."""
+        found = np.empty(len(self.starts), dtype=np.uint64)
+        first = 0
+        while first < len(found):
+            base = self.starts[first]
+            last = max(first + 1, int(np.searchsorted(self.ends, base + CHUNK_BYTES, side="right")))
+            part = self.bytes[base : self.ends[last - 1]]
+            power, inverse = _powers(max(CHUNK_BYTES, 1 << (len(part) - 1).bit_length()))
+            sums = np.zeros(len(part) + 1, dtype=np.uint64)
+            np.cumsum(_BYTE_VALUES[part] * power[: len(part)], out=sums[1:])
+            begin = self.starts[first:last] - base
+            found[first:last] = mix((sums[self.ends[first:last] - base] - sums[begin]) * inverse[begin])
+            first = last
+        return found
+
+
+def runs(hashes: np.ndarray, words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every run of `size` words and the text it is in.
+
+    A text of fewer words, but not none, has one run of all its words; such runs come last.
     """
-    counts, first = words.counts, words.first
-    n_runs = np.where(counts >= size, counts - size + 1, (counts > 0).astype(counts.dtype))
-    text = np.repeat(np.arange(words.texts), n_runs)
-    begin = first[:-1][text] + (np.arange(len(text)) - np.repeat(np.cumsum(n_runs) - n_runs, n_runs))
     factors = randoms(size, 23) | np.uint64(1)
-    total = np.zeros(len(begin), dtype=np.uint64)
-    padded = np.concatenate([hashes, np.zeros(size, dtype=np.uint64)])
+    n = max(0, len(hashes) - size + 1)
+    total = np.zeros(n, dtype=np.uint64)
     for j in range(size):
-        part = padded[begin + j]
-        if j:
-            part = np.where(counts[text] > j, part, np.uint64(0))
-        total += part * factors[j]
-    return mix(total), text, n_runs
+        total += hashes[j : n + j] * factors[j]
+    whole = words.of[:n] == words.of[size - 1 : n + size - 1]
+    short = np.flatnonzero((words.counts > 0) & (words.counts < size))
+    rest = np.zeros(len(short), dtype=np.uint64)
+    for j in range(size - 1):
+        have = words.counts[short] > j
+        rest[have] += hashes[words.first[short[have]] + j] * factors[j]
+    return mix(np.concatenate([total[whole], rest])), np.concatenate([words.of[:n][whole], short])
 
 
 def expand(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
