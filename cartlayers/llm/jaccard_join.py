@@ -38,6 +38,7 @@ THIRDS = 3
 SIGNATURES_PER_BUCKET = 1_000_000
 SIGNATURES_PER_PACK = 1_500_000
 BLOCK = 400
+FILTER_BITS = 1 << 26
 
 
 @dataclass(frozen=True)
@@ -328,19 +329,45 @@ def _linked_members(rows: pa.Table, likeness: Likeness) -> list[tuple[int, int]]
     return rows, edges
 
 
+def _id_bits(ids: DataFrame) -> np.ndarray:
+    """A set of ids as FILTER_BITS flags; other ids with the same last bits are in it, too."""
+    bit = F.col("doc_id").bitwiseAND(F.lit(FILTER_BITS - 1))
+    words = (
+        ids.where(F.col("doc_id").isNotNull())
+        .select(F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, int(doc_id & 63))").alias("mask"))
+        .groupBy("word")
+        .agg(F.bit_or("mask").alias("mask"))
+        .toArrow()
+    )
+    flags = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    flags[words.column("word").to_numpy()] = words.column("mask").to_numpy()
+    return flags
+
+
 def links(docs: DataFrame, classes: DataFrame, found: DataFrame, likeness: Likeness) -> DataFrame:
-    """Edges (a, b) between classes that span the linked ones of every group."""
+    """Edges (a, b) between classes that span the linked ones of every group.
+
+    Texts are not shuffled: a fixed number of flags tells most of the documents that are not needed,
+    and only shingles of the others reach the join, which is exact.
+    """
+    needed = stored(found.select("k1", "k2").distinct().join(classes, ["k1", "k2"]).select("k1", "k2", "cells", "rep"))
+    flags = _id_bits(needed.select(F.col("rep").alias("doc_id")))
 
     def fetch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for first, last, sets in _sets_of(batch.column("text"), likeness):
+        ids = batch.column(0)
+        low = ids.fill_null(0).to_numpy() & (FILTER_BITS - 1)
+        use = (flags[low >> 6] >> (low & 63) & 1).astype(bool) | ids.is_null().to_numpy(zero_copy_only=False)
+        batch = batch.filter(pa.array(use))
+        for first, last, sets in _sets_of(batch.column(1), likeness):
             order = np.lexsort((sets.shingles, sets.text))
             cut = np.concatenate([[0], np.cumsum(sets.sizes)])
             inside = sets.shingles[order]
             shingles = pa.array([inside[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())
-            part = batch.slice(first, last - first).select(["k1", "k2", "n_shingles", "cells"])
-            # a repeated doc_id brings several texts; only the one with the class's own set counts
-            own = [a == b.to_numpy() for a, b in zip(sets.keys(), part.columns, strict=False)]
-            yield part.append_column("shingles", shingles).filter(pa.array(own[0] & own[1]))
+            k1, k2 = sets.keys()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(first, last - first), pa.array(k1), pa.array(k2), pa.array(sets.sizes), shingles],
+                ["doc_id", "k1", "k2", "n_shingles", "shingles"],
+            )
 
     def compare(rows: pa.Table) -> pa.Table:
         rows, edges = _linked_members(rows, likeness)
@@ -348,9 +375,14 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame, likeness: Liken
         picked = {f"{k}_{side}": rows.column(k).take(pa.array(ends[:, x])) for x, side in enumerate("ab") for k in ("k1", "k2")}
         return pa.table(picked)
 
-    needed = found.select("k1", "k2").distinct().join(classes, ["k1", "k2"])
-    texts = docs.select("doc_id", "text").join(needed, F.col("doc_id").eqNullSafe(F.col("rep"))).drop("doc_id", "rep")
-    sets = map_tables(texts, fetch, "k1 long, k2 long, n_shingles long, cells binary, shingles binary")
+    fetched = map_tables(
+        docs.select("doc_id", "text"), fetch, "doc_id long, k1 long, k2 long, n_shingles long, shingles binary"
+    )
+    sets = (
+        fetched.join(needed, ["k1", "k2"])
+        .where(F.col("doc_id").eqNullSafe(F.col("rep")))
+        .select("k1", "k2", "n_shingles", "cells", "shingles")
+    )
     edges = (
         found.join(sets, ["k1", "k2"])
         .groupBy("leader", "i", "j")
