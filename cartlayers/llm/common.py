@@ -6,9 +6,12 @@ import io
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +64,26 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@dataclass(frozen=True)
+class SharedArrays:
+    """Arrays that tasks map into memory from files which Spark copies to every executor once."""
+
+    files: dict[str, str]
+
+    @staticmethod
+    def send(spark: SparkSession, **arrays: np.ndarray) -> SharedArrays:
+        files = {}
+        for name, array in arrays.items():
+            content = io.BytesIO()
+            np.save(content, array)
+            files[name] = f"{name}-{uuid.uuid4().hex}.npy"
+            spark.sparkContext.addFile(share_file(spark, files[name], content.getvalue()))
+        return SharedArrays(files)
+
+    def open(self) -> dict[str, np.ndarray]:
+        return {name: np.load(SparkFiles.get(file), mmap_mode="r") for name, file in self.files.items()}
+
+
 def map_tables(df: DataFrame, function: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply `function` to each Arrow batch; it yields batches of `schema`."""
 
