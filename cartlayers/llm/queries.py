@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartlayers.llm.bpe import op8_bpe
 from cartlayers.llm.contamination import op10_decontamination
 from cartlayers.llm.jaccard_join import op5_jaccard_join
 from cartlayers.llm.language_id import op1_language_id
@@ -14,6 +15,7 @@ from cartlayers.llm.lm_scoring import op9_lm_scoring
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op5_jaccard_join": op5_jaccard_join,
+    "op8_bpe": op8_bpe,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_decontamination": op10_decontamination,
 }

@@ -110,20 +110,27 @@ class Words:
         self.of = np.repeat(np.arange(self.texts), self.counts)
 
     def hashes(self) -> np.ndarray:
-        """A polynomial of each word's bytes, scrambled: the difference of two prefix sums."""
-        found = np.empty(len(self.starts), dtype=np.uint64)
-        first = 0
-        while first < len(found):
-            base = self.starts[first]
-            last = max(first + 1, int(np.searchsorted(self.ends, base + CHUNK_BYTES, side="right")))
-            part = self.bytes[base : self.ends[last - 1]]
-            power, inverse = _powers(max(CHUNK_BYTES, 1 << (len(part) - 1).bit_length()))
-            sums = np.zeros(len(part) + 1, dtype=np.uint64)
-            np.cumsum(_BYTE_VALUES[part] * power[: len(part)], out=sums[1:])
-            begin = self.starts[first:last] - base
-            found[first:last] = mix((sums[self.ends[first:last] - base] - sums[begin]) * inverse[begin])
-            first = last
-        return found
+        return slice_hashes(self.bytes, self.starts, self.ends)
+
+
+def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ordered, disjoint slices: polynomials of their bytes, scrambled.
+
+    A polynomial is the difference of two prefix sums.
+    """
+    found = np.empty(len(starts), dtype=np.uint64)
+    first = 0
+    while first < len(found):
+        base = starts[first]
+        last = max(first + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, side="right")))
+        part = data[base : ends[last - 1]]
+        power, inverse = _powers(max(CHUNK_BYTES, 1 << (len(part) - 1).bit_length()))
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_VALUES[part] * power[: len(part)], out=sums[1:])
+        begin = starts[first:last] - base
+        found[first:last] = mix((sums[ends[first:last] - base] - sums[begin]) * inverse[begin])
+        first = last
+    return found
 
 
 def runs(hashes: np.ndarray, words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
