@@ -270,7 +270,7 @@ def encode(docs: DataFrame, encoder: SharedEncoder, tokens: bool = True) -> Data
     `docs`; columns with the names of the new ones are replaced.
     """
     kept = docs.drop("ids", "n_tokens", "ids_sha256", "decoded_sha256")
-    more = "ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    more = "ids array<int>, " * tokens + "n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema = T.StructType(kept.schema.fields + T.StructType.fromDDL(more).fields)
     names = schema.names
 
@@ -287,18 +287,19 @@ def encode(docs: DataFrame, encoder: SharedEncoder, tokens: bool = True) -> Data
                 packed = [ids[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)]
                 texts = [raw[a:b].tobytes().decode("utf-8", "replace").encode() for a, b in zip(ends, ends[1:], strict=False)]
                 added = [
-                    pa.array(packed if tokens else [None] * len(packed), pa.binary()),
                     pa.array(counts),
                     pa.array([hashlib.sha256(x).hexdigest() for x in packed], pa.string()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
                 ]
+                if tokens:
+                    added.insert(0, pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids.view(np.int32))))
                 yield pa.RecordBatch.from_arrays(part.columns + added, names)
 
     return kept.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, encoder: SharedEncoder) -> DataFrame:
-    """`encoded` with `text` made from its `ids` (little-endian unsigned 32-bit); null ids give null."""
+    """`encoded` with `text` made from its `ids`; null ids give null. A `text` it has is replaced."""
     kept = encoded.drop("text")
     schema = T.StructType(kept.schema.fields + T.StructType.fromDDL("text string").fields)
 
@@ -306,7 +307,7 @@ def decode(encoded: DataFrame, encoder: SharedEncoder) -> DataFrame:
         own = encoder.open()
         for batch in batches:
             texts = [
-                None if x is None else own.decode(np.frombuffer(x, np.uint32))[0].tobytes().decode("utf-8", "replace")
+                None if x is None else own.decode(np.array(x, dtype=np.uint32))[0].tobytes().decode("utf-8", "replace")
                 for x in batch.column("ids").to_pylist()
             ]
             yield batch.append_column("text", pa.array(texts, pa.string()))
@@ -317,4 +318,4 @@ def decode(encoded: DataFrame, encoder: SharedEncoder) -> DataFrame:
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     encoder = prepare(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return encode(docs, encoder, tokens=False).drop("text", "ids")
+    return encode(docs, encoder, tokens=False).drop("text")

@@ -26,8 +26,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartlayers.llm.common import map_tables, stored, table
 from cartlayers.llm.components import connected_components
@@ -394,34 +395,64 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame, likeness: Liken
     )
 
 
-def near_duplicates(docs: DataFrame, likeness: Likeness = Likeness()) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of `docs` (doc_id, text).
-
-    component_id is the smallest doc_id among the documents reachable by links. A null or wordless
-    text has an empty set: n_shingles 0, linked with nothing, component_id its own doc_id. Repeated
-    rows give repeated results; a null doc_id stays null and never becomes a component_id unless the
-    whole component has no other. Other columns are ignored. An empty table gives an empty result.
-    """
+def _components(docs: DataFrame, likeness: Likeness) -> tuple[DataFrame, DataFrame]:
+    """Sets of all documents, and of every class its smallest doc_id and the label of its component."""
     sets = stored(shingle_sets(docs, likeness))
     filled = sets.where(F.col("n_shingles") > 0)
     classes = stored(
         filled.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min("cells").alias("cells"))
     )
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
-    buckets = 1 + int(2 * total) // SIGNATURES_PER_BUCKET
+    buckets = 1 + total // SIGNATURES_PER_BUCKET
     stars = stored(star_pairs(docs, likeness, buckets))
     found = stored(candidates(stars, classes, likeness))
     labels = connected_components(links(docs, classes, found, likeness))
     node = F.struct("k1", "k2")
-    of_class = classes.join(labels, node == F.col("node"), "left").select(
+    return sets, classes.join(labels, node == F.col("node"), "left").select(
         "k1", "k2", "rep", F.coalesce("label", node).alias("label")
     )
+
+
+def near_duplicates(docs: DataFrame, likeness: Likeness = Likeness()) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of `docs` (doc_id, text).
+
+    component_id is the smallest doc_id among the documents reachable by links. A null or wordless
+    text has an empty set: n_shingles 0, linked with nothing, component_id its own doc_id. Repeated
+    rows give repeated results; a null doc_id stays null and never becomes a component_id unless the
+    whole component has no other. Other columns are ignored. An empty table gives an empty result.
+    """
+    sets, of_class = _components(docs, likeness)
     component = of_class.groupBy("label").agg(F.min("rep").alias("component_id"))
     to_component = of_class.join(component, "label").select("k1", "k2", "component_id")
+    filled = sets.where(F.col("n_shingles") > 0)
     linked = filled.join(to_component, ["k1", "k2"], "left").select("doc_id", "n_shingles", "component_id")
     alone = sets.where(F.col("n_shingles") == 0).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
 
 
+def one_of_each(docs: DataFrame, likeness: Likeness = Likeness()) -> DataFrame:
+    """The rows of `docs` without near duplicates: of each component the row with the smallest doc_id.
+
+    Of repeated rows one stays. Texts without words are all kept. Columns of `docs` are kept as they are.
+    """
+    _, of_class = _components(docs, likeness)
+    first = F.min(F.struct(F.col("rep").isNull().alias("no_id"), "rep", "k1", "k2")).alias("first")
+    chosen = of_class.groupBy("label").agg(first).select("first.k1", "first.k2", "first.rep")
+    schema = T.StructType(docs.schema.fields + T.StructType.fromDDL("_size long, _k1 long, _k2 long").fields)
+    names = schema.names
+
+    def keyed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for first, last, sets in _sets_of(batch.column("text"), likeness):
+            added = [pa.array(sets.sizes), *(pa.array(k) for k in sets.keys())]
+            yield pa.RecordBatch.from_arrays(batch.slice(first, last - first).columns + added, names)
+
+    rows = map_tables(docs, keyed, schema)
+    own = (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")) & F.col("doc_id").eqNullSafe(F.col("rep"))
+    kept = rows.where("_size > 0").join(chosen, own, "left_semi")
+    order = Window.partitionBy("_k1", "_k2").orderBy("doc_id")
+    kept = kept.withColumn("_nth", F.row_number().over(order)).where("_nth = 1")
+    return kept.select(docs.columns).unionByName(rows.where("_size = 0").select(docs.columns))
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))

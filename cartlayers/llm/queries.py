@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from cartlayers.llm.bpe import op8_bpe
 from cartlayers.llm.contamination import op10_decontamination
 from cartlayers.llm.jaccard_join import op5_jaccard_join
 from cartlayers.llm.language_id import op1_language_id
 from cartlayers.llm.lm_scoring import op9_lm_scoring
+from cartlayers.llm.personal_data import op7_personal_data
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op5_jaccard_join": op5_jaccard_join,
+    "op7_personal_data": op7_personal_data,
     "op8_bpe": op8_bpe,
     "op9_lm_scoring": op9_lm_scoring,
+    "pipeline": corpus_pipeline.run,
     "op10_decontamination": op10_decontamination,
 }
 
