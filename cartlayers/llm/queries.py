@@ -12,10 +12,12 @@ from cartlayers.llm.contamination import op10_decontamination
 from cartlayers.llm.jaccard_join import op5_jaccard_join
 from cartlayers.llm.language_id import op1_language_id
 from cartlayers.llm.lm_scoring import op9_lm_scoring
+from cartlayers.llm.nearest import op2_nearest
 from cartlayers.llm.personal_data import op7_personal_data
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_nearest": op2_nearest,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_personal_data": op7_personal_data,
     "op8_bpe": op8_bpe,
