@@ -309,8 +309,10 @@ def candidates(stars: DataFrame, classes: DataFrame, likeness: Likeness) -> Data
     )
 
 
-def _linked_members(rows: pa.Table, likeness: Likeness) -> list[tuple[int, int]]:
-    """A spanning forest of the links in a group, as positions of its rows, by exact comparison."""
+def _linked_members(rows: pa.Table, likeness: Likeness) -> tuple[pa.Table, list[tuple[int, int]]]:
+    """The classes of a group and a spanning forest of their links, as positions, by exact comparison."""
+    keys = np.stack([rows.column("k1").to_numpy(), rows.column("k2").to_numpy()], axis=1)
+    rows = rows.take(pa.array(np.unique(keys, axis=0, return_index=True)[1]))
     rows, sizes, cells, own = _members(rows)
     sets = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
     root, edges = np.arange(len(sizes)), []
@@ -349,9 +351,9 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame, likeness: Liken
     """Edges (a, b) between classes that span the linked ones of every group.
 
     Texts are not shuffled: a fixed number of flags tells most of the documents that are not needed,
-    and only shingles of the others reach the join, which is exact.
+    and only shingles of the others reach the join, which is exact. A class may come several times.
     """
-    needed = stored(found.select("k1", "k2").distinct().join(classes, ["k1", "k2"]).select("k1", "k2", "cells", "rep"))
+    needed = found.select("k1", "k2").distinct().join(classes, ["k1", "k2"])
     flags = _id_bits(needed.select(F.col("rep").alias("doc_id")))
 
     def fetch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -366,8 +368,8 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame, likeness: Liken
             shingles = pa.array([inside[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())
             k1, k2 = sets.keys()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(first, last - first), pa.array(k1), pa.array(k2), pa.array(sets.sizes), shingles],
-                ["doc_id", "k1", "k2", "n_shingles", "shingles"],
+                [pa.array(k1), pa.array(k2), pa.array(sets.sizes), _binary(sets.cells()), shingles],
+                ["k1", "k2", "n_shingles", "cells", "shingles"],
             )
 
     def compare(rows: pa.Table) -> pa.Table:
@@ -376,13 +378,8 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame, likeness: Liken
         picked = {f"{k}_{side}": rows.column(k).take(pa.array(ends[:, x])) for x, side in enumerate("ab") for k in ("k1", "k2")}
         return pa.table(picked)
 
-    fetched = map_tables(
-        docs.select("doc_id", "text"), fetch, "doc_id long, k1 long, k2 long, n_shingles long, shingles binary"
-    )
-    sets = (
-        fetched.join(needed, ["k1", "k2"])
-        .where(F.col("doc_id").eqNullSafe(F.col("rep")))
-        .select("k1", "k2", "n_shingles", "cells", "shingles")
+    sets = map_tables(
+        docs.select("doc_id", "text"), fetch, "k1 long, k2 long, n_shingles long, cells binary, shingles binary"
     )
     edges = (
         found.join(sets, ["k1", "k2"])
