@@ -11,19 +11,26 @@ from cartlayers.llm.bpe import op8_bpe
 from cartlayers.llm.contamination import op10_decontamination
 from cartlayers.llm.jaccard_join import op5_jaccard_join
 from cartlayers.llm.language_id import op1_language_id
+from cartlayers.llm.license_scan import op3_license_scan
 from cartlayers.llm.lm_scoring import op9_lm_scoring
 from cartlayers.llm.nearest import op2_nearest
 from cartlayers.llm.personal_data import op7_personal_data
+from cartlayers.llm.token_counts import TOKEN_COUNTS_SQL, op6_token_counts
+from cartlayers.llm.warc import WARC_SQL, op4_warc_revisits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_nearest": op2_nearest,
+    "op3_license_scan": op3_license_scan,
+    "op4_warc_revisits": op4_warc_revisits,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_token_counts": op6_token_counts,
     "op7_personal_data": op7_personal_data,
     "op8_bpe": op8_bpe,
     "op9_lm_scoring": op9_lm_scoring,
-    "pipeline": corpus_pipeline.run,
     "op10_decontamination": op10_decontamination,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+#: The others are tested against brute force: SQL cannot express them, or not on whole tables.
+ORACLES: dict[str, str] = {"op4_warc_revisits": WARC_SQL, "op6_token_counts": TOKEN_COUNTS_SQL}
