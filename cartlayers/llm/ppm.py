@@ -99,13 +99,15 @@ class Model:
                 taken = np.bincount(up_of, weights=counts[same], minlength=len(up_context))
                 arrays[f"free_{order + 1}"] = total[parent] - taken
                 arrays[f"kinds_{order + 1}"] = distinct[parent] - np.bincount(up_of, minlength=len(up_context))
-            arrays |= {f"codes_{order}": codes, f"counts_{order}": counts, f"contexts_{order}": context}
-            arrays |= {f"total_{order}": total, f"distinct_{order}": distinct}
-            if order == ORDER and len(codes):
+            arrays |= {f"contexts_{order}": context, f"total_{order}": total, f"distinct_{order}": distinct}
+            if order < ORDER:
+                arrays |= {f"codes_{order}": codes, f"counts_{order}": counts}
+            elif len(codes):
                 value = np.log10(counts / (total + distinct)[of])
                 arrays["places"], arrays["values"] = hash_table(codes, value)
             longer = (codes, context, of)
-        return arrays
+        whole = {k: a for k, a in arrays.items() if a.dtype == np.int64}
+        return arrays | {k: a.astype(np.min_scalar_type(int(a.max(initial=0)))) for k, a in whole.items()}
 
     def log10(self, codes: np.ndarray) -> np.ndarray:
         """Log probability of the last byte of each gram after the others."""
@@ -129,16 +131,18 @@ class Model:
         kinds = np.zeros(len(codes))
         for order in range(ORDER, -1, -1):
             own = codes[open_] & np.uint64((1 << 8 * (order + 1)) - 1)
-            context, symbol_at = own >> _BYTE, np.searchsorted(a[f"codes_{order}"], own)
+            context = own >> _BYTE
             at = np.minimum(np.searchsorted(a[f"contexts_{order}"], context), len(a[f"contexts_{order}"]) - 1)
             there = a[f"contexts_{order}"][at] == context
-            symbol_at = np.minimum(symbol_at, len(a[f"codes_{order}"]) - 1)
-            hit = a[f"codes_{order}"][symbol_at] == own
+            hit, count = np.zeros(len(own), dtype=bool), np.zeros(len(own))
+            if order < ORDER:
+                symbol_at = np.minimum(np.searchsorted(a[f"codes_{order}"], own), len(a[f"codes_{order}"]) - 1)
+                hit, count = a[f"codes_{order}"][symbol_at] == own, a[f"counts_{order}"][symbol_at].astype(np.float64)
             first = np.isnan(free[open_])
-            left = np.where(first, a[f"total_{order}"][at], free[open_])
-            sorts = np.where(first, a[f"distinct_{order}"][at], kinds[open_])
+            left = np.where(first, a[f"total_{order}"][at].astype(np.float64), free[open_])
+            sorts = np.where(first, a[f"distinct_{order}"][at].astype(np.float64), kinds[open_])
             with np.errstate(divide="ignore", invalid="ignore"):
-                score[open_] += np.where(hit, np.log10(a[f"counts_{order}"][symbol_at] / (left + sorts)), 0.0)
+                score[open_] += np.where(hit, np.log10(count / (left + sorts)), 0.0)
                 gone = there & ~hit & (sorts > 0)
                 score[open_] += np.where(gone, np.log10(sorts / (left + sorts)), 0.0)
             if order:

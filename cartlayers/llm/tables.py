@@ -13,8 +13,8 @@ EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def hash_table(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Open addressing with at most a third of the places used; keys must be distinct, none EMPTY."""
-    size = 1 << (3 * len(keys) + 8).bit_length()
+    """Open addressing with at most two thirds of the places used; keys must be distinct, none EMPTY."""
+    size = 1 << (3 * len(keys) // 2 + 8).bit_length()
     places = np.full(size, EMPTY, dtype=np.uint64)
     stored = np.zeros(size, dtype=values.dtype)
     at = (mix(keys) & np.uint64(size - 1)).astype(np.int64)
