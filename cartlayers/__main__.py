@@ -4,19 +4,49 @@ from __future__ import annotations
 
 import argparse
 
-from cartlayers.plans.layers import run_all, run_bronze, run_gold, run_silver
+from cartlayers.plans.gold import MIN_ORDERS
+from cartlayers.plans.layers import (
+    CleaningReport,
+    profile,
+    run_all,
+    run_bronze,
+    run_gold,
+    run_silver,
+)
 from cartlayers.session import get_session
 from cartlayers.settings import Settings
 
+LAYERS = ("bronze", "silver", "gold")
+
+
+def _show_rows(rows: dict[str, int]) -> None:
+    for table, n in rows.items():
+        print(f"bronze.{table}: {n} rows")
+
+
+def _show_cleaning(report: CleaningReport) -> None:
+    report.typing.filter("falhas > 0").show(truncate=False)
+    report.removed.filter("removidas > 0 OR descartadas > 0").show(truncate=False)
+
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="cartlayers", description=__doc__)
-    parser.add_argument("layer", choices=["bronze", "silver", "gold", "all"])
+    parser.add_argument("layer", choices=[*LAYERS, "all", "profile"])
     parser.add_argument("--raw-path", default=Settings.raw_path)
     parser.add_argument("--file-prefix", default=Settings.file_prefix)
     parser.add_argument("--catalog", default=None)
     parser.add_argument("--format", dest="table_format", default=Settings.table_format)
+    parser.add_argument("--run-id", default=None, help="one id for layers that run separately")
+    parser.add_argument(
+        "--gate", default="gold", help="layers that failed checks stop, comma-separated, or none"
+    )
+    parser.add_argument("--observed-count", action="store_true", help="do not recount landing files")
+    parser.add_argument("--review-grain", choices=["row", "order"], default="row")
+    parser.add_argument("--min-orders", type=int, default=MIN_ORDERS)
     args = parser.parse_args(argv)
+    gates = tuple(g for g in args.gate.split(",") if g and g != "none")
+    if not set(gates) <= set(LAYERS):
+        parser.error(f"--gate takes {', '.join(LAYERS)} or none")
     settings = Settings(
         raw_path=args.raw_path,
         file_prefix=args.file_prefix,
@@ -24,17 +54,26 @@ def main(argv: list[str] | None = None) -> None:
         table_format=args.table_format,
     )
     spark = get_session()
+    recount, gated = not args.observed_count, args.layer in gates
     if args.layer == "bronze":
-        for table, rows in run_bronze(spark, settings).items():
-            print(f"bronze.{table}: {rows} rows")
+        _show_rows(run_bronze(spark, settings, args.run_id, recount, gated))
     elif args.layer == "silver":
-        report = run_silver(spark, settings)
-        report.typing.filter("falhas > 0").show(truncate=False)
-        report.removed.filter("removidas > 0").show(truncate=False)
+        _show_cleaning(run_silver(spark, settings, args.run_id, gated))
     elif args.layer == "gold":
-        run_gold(spark, settings)
+        run_gold(spark, settings, args.run_id, gated, args.review_grain, args.min_orders)
+    elif args.layer == "all":
+        report = run_all(
+            spark, settings, gates, args.run_id, recount, args.review_grain, args.min_orders
+        )
+        print(f"run {report.run_id}")
+        _show_rows(report.rows)
+        _show_cleaning(report.cleaning)
     else:
-        run_all(spark, settings)
+        found = profile(spark, settings)
+        for nulls in found.nulls.values():
+            nulls.show(truncate=False)
+        for frame in (found.scores_outside, found.inconsistent_dates, found.log):
+            frame.show(truncate=False)
 
 
 if __name__ == "__main__":

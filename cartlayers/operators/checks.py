@@ -6,13 +6,14 @@ driver. A layer unions its verdicts and appends them to the log in one write.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartlayers.operators.combine import union_all
 from cartlayers.operators.dedup import key_counts
 from cartlayers.operators.references import orphan_count
 from cartlayers.settings import LOG_TABLE, Settings
@@ -29,11 +30,9 @@ class QualityGateError(RuntimeError):
     """Raised when a gated layer has failed checks."""
 
 
-def _verdict(
-    measures: DataFrame, layer: str, table: str, check: str, ok: Column, detail: Column
-) -> DataFrame:
+def _entry(layer: str, table: str, check: str, ok: Column, detail: Column) -> Column:
     # A measure that is NULL proves nothing, so it fails.
-    return measures.select(
+    return F.struct(
         F.lit(layer).alias("camada"),
         F.lit(table).alias("tabela"),
         F.lit(check).alias("checagem"),
@@ -42,6 +41,12 @@ def _verdict(
     )
 
 
+def _verdict(
+    measures: DataFrame, layer: str, table: str, check: str, ok: Column, detail: Column
+) -> DataFrame:
+    return measures.select(_entry(layer, table, check, ok, detail).alias("v")).select("v.*")
+
+
 def _text(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("None"))
 
@@ -49,7 +54,7 @@ def _text(name: str) -> Column:
 def _beside(left: DataFrame, right: DataFrame) -> DataFrame:
     """Put the columns of two one-row frames into one row without a join."""
     both = left.unionByName(right, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return both.agg(*[F.max(f"`{c}`").alias(c) for c in both.columns])
 
 
 def row_count_match(
@@ -103,6 +108,74 @@ def referential_integrity(
     )
 
 
+@dataclass(frozen=True)
+class KeyCheck:
+    """`column` of `table` holds keys of the domain `parent.parent_key`; its own, if it is unique there."""
+
+    table: str
+    column: str
+    parent: str
+    parent_key: str
+
+
+def key_verdicts(
+    tables: Mapping[str, DataFrame],
+    layer: str,
+    unique: Sequence[KeyCheck],
+    references: Sequence[KeyCheck],
+) -> DataFrame:
+    """Verdicts of `unique_key` and `referential_integrity` for many tables, without a join.
+
+    Every table is read once and emits each of its keys with the domain it belongs to and which check
+    it counts for. Grouped by domain and value, which combines on the map side, a value has its copies
+    as a key and its rows per reference side by side. A missing key equals no other, so it is an
+    orphan as a reference. The parent of a reference must be among the unique keys.
+    """
+    checks = [*unique, *references]
+    emitted: dict[str, list[Column]] = {}
+    for number, check in enumerate(checks):
+        entry = F.struct(
+            F.lit(f"{check.parent}.{check.parent_key}").alias("domain"),
+            F.col(check.column).cast("string").alias("value"),
+            F.lit(number).alias("check"),
+        )
+        emitted.setdefault(check.table, []).append(entry)
+    keys = union_all([tables[t].select(F.inline(F.array(*entries))) for t, entries in emitted.items()])
+    rows = [F.count_if(F.col("check") == n).alias(f"rows_{n}") for n in range(len(checks))]
+    values = keys.groupBy("domain", "value").agg(*rows)
+    measures = []
+    for n, check in enumerate(unique):
+        measures += [
+            F.coalesce(F.sum(f"rows_{n}"), F.lit(0)).alias(f"a_{n}"),
+            F.count_if(F.col(f"rows_{n}") > 0).alias(f"b_{n}"),
+        ]
+    owner = {(c.parent, c.parent_key): n for n, c in enumerate(unique)}
+    for n, check in enumerate(references, start=len(unique)):
+        copies = F.col(f"rows_{owner[check.parent, check.parent_key]}")
+        alone = F.when(F.col("value").isNull() | (copies == 0), F.col(f"rows_{n}")).otherwise(0)
+        measures.append(F.coalesce(F.sum(alone), F.lit(0)).alias(f"a_{n}"))
+    verdicts = [
+        _entry(
+            layer,
+            check.table,
+            f"chave_unica_{check.column}",
+            F.col(f"a_{n}") == F.col(f"b_{n}"),
+            F.concat(_text(f"a_{n}"), F.lit(" vs "), _text(f"b_{n}")),
+        )
+        for n, check in enumerate(unique)
+    ] + [
+        _entry(
+            layer,
+            check.table,
+            f"integridade_{check.column}_para_{check.parent}",
+            F.col(f"a_{n}") == 0,
+            F.concat(_text(f"a_{n}"), F.lit(" órfãos")),
+        )
+        for n, check in enumerate(references, start=len(unique))
+    ]
+    return values.agg(*measures).select(F.inline(F.array(*verdicts)))
+
+
 def sum_reconciliation(
     gold: DataFrame,
     gold_column: str,
@@ -113,17 +186,8 @@ def sum_reconciliation(
     check: str = "reconciliacao_com_silver",
 ) -> DataFrame:
     """Totals of two layers differ by less than one cent, compared as decimals."""
-    totals = _beside(
-        gold.agg(F.sum(gold_column).alias("gold")), silver.agg(F.sum(silver_column).alias("silver"))
-    )
-    return _verdict(
-        totals,
-        layer,
-        table,
-        check,
-        F.abs(F.col("gold") - F.col("silver")) < F.lit("0.01").cast("decimal(3,2)"),
-        F.concat(F.lit("gold="), _text("gold"), F.lit(", silver="), _text("silver")),
-    )
+    total = silver.agg(F.sum(silver_column).alias("silver"))
+    return verdicts_of([sum_check(table, gold_column, "silver", check)], {table: gold}, layer, total)
 
 
 @dataclass(frozen=True)
@@ -151,41 +215,81 @@ def below(column: str, minimum: int) -> Column:
     return F.col(column) < minimum
 
 
+@dataclass(frozen=True)
+class Check:
+    """A check as aggregates over one frame; `ok` and `detail` refer to the measures by their names."""
+
+    table: str
+    name: str
+    measures: Mapping[str, Column]
+    ok: Column
+    detail: Column
+
+
+def rule_check(table: str, rule: RowRule) -> Check:
+    broken = f"{table}.{rule.check}"
+    return Check(
+        table,
+        rule.check,
+        {broken: F.count_if(rule.broken)},
+        F.col(f"`{broken}`") == 0,
+        F.concat(_text(f"`{broken}`"), F.lit(f" {rule.noun}")),
+    )
+
+
+def category_check(table: str, column: str, expected: Sequence[str]) -> Check:
+    value, name = F.col(column), f"{table}.{column}"
+    found = [f"{name}.{i}" for i in range(len(expected))]
+    measures = {f: F.count_if(value == c) for f, c in zip(found, expected, strict=True)}
+    measures[f"{name}.besides"] = F.count_if(value.isNull() | ~value.isin(*expected))
+    besides = f"`{name}.besides`"
+    there = [F.col(f"`{f}`") > 0 for f in found]
+    listed = F.concat_ws(", ", *[F.when(t, F.lit(c)) for t, c in zip(there, expected, strict=True)])
+    return Check(
+        table,
+        "categorias_esperadas",
+        measures,
+        reduce(lambda a, b: a & b, there, F.col(besides) == 0),
+        F.concat(F.lit("["), listed, F.lit("] fora da lista: "), _text(besides)),
+    )
+
+
+def sum_check(table: str, column: str, other: str, name: str = "reconciliacao_com_silver") -> Check:
+    """The sum of a column against the measure `other` of another frame."""
+    total = f"{table}.{column}.sum"
+    return Check(
+        table,
+        name,
+        {total: F.sum(column)},
+        F.abs(F.col(f"`{total}`") - F.col(f"`{other}`")) < F.lit("0.01").cast("decimal(3,2)"),
+        F.concat(F.lit("gold="), _text(f"`{total}`"), F.lit(", silver="), _text(f"`{other}`")),
+    )
+
+
+def verdicts_of(
+    checks: Sequence[Check], frames: Mapping[str, DataFrame], layer: str, *others: DataFrame
+) -> DataFrame:
+    """Verdicts of all checks: one aggregate per frame; `others` are one-row frames of further measures."""
+    rows = list(others)
+    for table in dict.fromkeys(c.table for c in checks):
+        measures = {n: m for c in checks if c.table == table for n, m in c.measures.items()}
+        if measures:
+            rows.append(frames[table].agg(*[m.alias(n) for n, m in measures.items()]))
+    together = reduce(_beside, rows)
+    entries = [_entry(layer, c.table, c.name, c.ok, c.detail) for c in checks]
+    return together.select(F.inline(F.array(*entries)))
+
+
 def row_rules(df: DataFrame, layer: str, table: str, rules: Sequence[RowRule]) -> DataFrame:
     """Verdicts of all row rules of a table from a single aggregate."""
-    counts = df.agg(*[F.count_if(r.broken).alias(f"broken_{i}") for i, r in enumerate(rules)])
-    verdicts = [
-        F.struct(
-            F.lit(layer).alias("camada"),
-            F.lit(table).alias("tabela"),
-            F.lit(r.check).alias("checagem"),
-            F.when(F.col(f"broken_{i}") == 0, F.lit(PASSED)).otherwise(F.lit(FAILED)).alias("status"),
-            F.concat(_text(f"broken_{i}"), F.lit(f" {r.noun}")).alias("detalhe"),
-        )
-        for i, r in enumerate(rules)
-    ]
-    return counts.select(F.inline(F.array(*verdicts)))
+    return verdicts_of([rule_check(table, r) for r in rules], {table: df}, layer)
 
 
 def category_set(
     df: DataFrame, column: str, expected: Sequence[str], layer: str, table: str
 ) -> DataFrame:
     """Exactly the expected categories occur: none missing, none besides, no NULL."""
-    value = F.col(column)
-    counts = df.agg(
-        *[F.count_if(value == c).alias(f"found_{i}") for i, c in enumerate(expected)],
-        F.count_if(value.isNull() | ~value.isin(*expected)).alias("besides"),
-    )
-    found = [F.col(f"found_{i}") > 0 for i in range(len(expected))]
-    listed = F.concat_ws(", ", *[F.when(f, F.lit(c)) for f, c in zip(found, expected)])
-    return _verdict(
-        counts,
-        layer,
-        table,
-        "categorias_esperadas",
-        reduce(lambda a, b: a & b, found, F.col("besides") == 0),
-        F.concat(F.lit("["), listed, F.lit("]"), F.lit(" fora da lista: "), _text("besides")),
-    )
+    return verdicts_of([category_check(table, column, expected)], {table: df}, layer)
 
 
 def stamp(verdicts: DataFrame, run_id: str) -> DataFrame:
@@ -230,9 +334,13 @@ def _log_rows(log: DataFrame, layer: str | None, run_id: str | None) -> DataFram
 def enforce(log: DataFrame, layer: str | None = None, run_id: str | None = None) -> None:
     """Stop the caller when the log holds a failed check.
 
-    Without `run_id` the whole history counts, so one old failure keeps blocking.
+    Without `run_id` the whole history counts, so one old failure keeps blocking. With one, a log
+    without any verdict of it proves nothing and stops the caller as well.
     """
-    failed = _log_rows(log, layer, run_id).filter(F.col("status") == FAILED).count()
+    rows = _log_rows(log, layer, run_id)
+    checked, failed = rows.agg(F.count(F.lit(1)), F.count_if(F.col("status") == FAILED)).first()
+    if run_id is not None and not checked:
+        raise QualityGateError(f"run '{run_id}' has no verdicts in layer '{layer or 'all'}'")
     if failed:
         raise QualityGateError(f"{failed} quality check(s) failed in layer '{layer or 'all'}'")
 

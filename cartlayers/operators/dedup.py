@@ -13,12 +13,13 @@ _RANK = "_row_in_key"
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the smallest under `order`, by default all other columns left to right.
 
+    A missing value comes after every present one, so of two copies the fuller one tends to stay.
     NULL is a key value like any other. The filter on the first row number lets Spark cut every
     key to one row per map task before the shuffle, so a key that holds a large share of the
     table reaches the reducer as one row per task.
     """
     ranking = list(order or [c for c in df.columns if c not in key]) or list(key)
-    window = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_first() for c in ranking])
+    window = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_last() for c in ranking])
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 

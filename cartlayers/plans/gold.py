@@ -24,17 +24,17 @@ from cartlayers.functions.numbers import (
     wide,
 )
 from cartlayers.operators.checks import (
+    Check,
     RowRule,
     below,
-    category_set,
+    category_check,
     missing,
     negative,
     outside,
-    row_rules,
-    sum_reconciliation,
-    unique_key,
+    rule_check,
+    sum_check,
+    verdicts_of,
 )
-from cartlayers.operators.combine import union_all
 from cartlayers.operators.rules import FLAG
 from cartlayers.sources.landing import without_audit
 
@@ -253,56 +253,54 @@ def seller_ranking(
 def gold_checks(
     gold: Mapping[str, DataFrame], items: DataFrame, min_orders: int = MIN_ORDERS
 ) -> DataFrame:
-    """Verdicts of all business tables, read back from storage."""
-
-    def rules(table: str, *checks: RowRule) -> DataFrame:
-        return row_rules(gold[table], "gold", table, checks)
-
-    def reconciled(table: str, column: str) -> DataFrame:
-        return sum_reconciliation(gold[table], column, items, "price", "gold", table)
-
+    """Verdicts of all business tables, read back from storage: one aggregate of each and of the items."""
+    silver = items.agg(F.sum("price").alias("silver"))
+    # One row per seller: how often it is listed, and whether below the minimum.
+    sellers = gold["ranking_vendedores"].groupBy("seller_id").agg(
+        _rows().alias("copies"), F.count_if(below("qtd_pedidos", min_orders)).alias("few")
+    )
+    frames = {**gold, "ranking_vendedores": sellers}
     # Check names and the words of their details, as found in the log.
-    return union_all(
-        [
-            reconciled("receita_mensal", "receita_produtos"),
-            rules(
-                "receita_mensal",
-                RowRule("sem_valores_negativos", negative("receita_produtos"), "negativos"),
-            ),
-            reconciled("receita_por_estado", "receita_total"),
-            rules("receita_por_estado", RowRule("sem_estado_nulo", missing("estado"), "nulos")),
-            rules(
-                "performance_entrega_mensal",
-                RowRule(
-                    "percentual_no_intervalo_0_100",
-                    outside("pct_entregas_no_prazo", 0, 100),
-                    "fora do intervalo",
-                ),
-                RowRule(
-                    "tempo_entrega_nao_negativo", negative("tempo_medio_entrega_dias"), "negativos"
-                ),
-            ),
-            rules(
-                "satisfacao_entrega",
-                RowRule(
-                    "nota_media_no_intervalo_1_5", outside("nota_media", 1, 5), "fora do intervalo"
-                ),
-            ),
-            category_set(
-                gold["satisfacao_entrega"],
-                "status_entrega",
-                (ON_TIME, LATE),
-                "gold",
-                "satisfacao_entrega",
-            ),
-            unique_key(gold["ranking_vendedores"], "gold", "ranking_vendedores", "seller_id"),
-            rules(
-                "ranking_vendedores",
-                RowRule(
-                    "filtro_minimo_pedidos_respeitado",
-                    below("qtd_pedidos", min_orders),
-                    "abaixo do mínimo",
-                ),
-            ),
-        ]
+    listed = Check(
+        "ranking_vendedores",
+        "chave_unica_seller_id",
+        {"linhas": F.coalesce(F.sum("copies"), F.lit(0)), "chaves": _rows()},
+        F.col("linhas") == F.col("chaves"),
+        F.concat(F.col("linhas").cast("string"), F.lit(" vs "), F.col("chaves").cast("string")),
+    )
+    few = Check(
+        "ranking_vendedores",
+        "filtro_minimo_pedidos_respeitado",
+        {"few": F.coalesce(F.sum("few"), F.lit(0))},
+        F.col("few") == 0,
+        F.concat(F.col("few").cast("string"), F.lit(" abaixo do mínimo")),
     )
+    checks = [
+        sum_check("receita_mensal", "receita_produtos", "silver"),
+        rule_check(
+            "receita_mensal",
+            RowRule("sem_valores_negativos", negative("receita_produtos"), "negativos"),
+        ),
+        sum_check("receita_por_estado", "receita_total", "silver"),
+        rule_check("receita_por_estado", RowRule("sem_estado_nulo", missing("estado"), "nulos")),
+        rule_check(
+            "performance_entrega_mensal",
+            RowRule(
+                "percentual_no_intervalo_0_100",
+                outside("pct_entregas_no_prazo", 0, 100),
+                "fora do intervalo",
+            ),
+        ),
+        rule_check(
+            "performance_entrega_mensal",
+            RowRule("tempo_entrega_nao_negativo", negative("tempo_medio_entrega_dias"), "negativos"),
+        ),
+        rule_check(
+            "satisfacao_entrega",
+            RowRule("nota_media_no_intervalo_1_5", outside("nota_media", 1, 5), "fora do intervalo"),
+        ),
+        category_check("satisfacao_entrega", "status_entrega", (ON_TIME, LATE)),
+        listed,
+        few,
+    ]
+    return verdicts_of(checks, frames, "gold", silver)

@@ -4,21 +4,28 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cartlayers.operators.checks import enforce, log_verdicts, row_count_match
+from cartlayers.operators.checks import enforce, log_summary, log_verdicts, row_count_match
 from cartlayers.operators.combine import union_all
+from cartlayers.operators.profile import null_profile
+from cartlayers.operators.rules import inconsistent_date_count, outside_range_count
 from cartlayers.operators.typing import cast_failures
 from cartlayers.plans import gold as g
 from cartlayers.plans.silver import clean_all, silver_checks
 from cartlayers.registry import TABLES, TableSpec
+from cartlayers.session import pinned
 from cartlayers.settings import Settings
 from cartlayers.sources.landing import read_landing, with_audit
 from cartlayers.sources.tables import (
     create_databases,
+    drop_tables,
     overwrite_table,
+    publish,
     read_table,
     stage,
 )
@@ -46,27 +53,37 @@ def run_bronze(
     spark: SparkSession,
     settings: Settings,
     run_id: str | None = None,
-    recount_source: bool = False,
+    recount_source: bool = True,
     gate: bool = False,
 ) -> dict[str, int]:
     """Ingest every declared table, log one row-count check each and return the rows read.
 
-    `recount_source` parses each file a second time for a count that is independent of the write.
+    The source is parsed a second time for a count that is independent of the write, so rows lost in
+    reading are seen. `recount_source=False` saves that pass and compares with the rows observed while
+    they were written.
     """
     run_id = run_id or new_run_id()
-    create_databases(spark, settings)
-    rows = {name: ingest(spark, settings, spec) for name, spec in TABLES.items()}
+    with pinned(spark):
+        create_databases(spark, settings)
+        rows = {name: ingest(spark, settings, spec) for name, spec in TABLES.items()}
+        log_verdicts(bronze_checks(spark, settings, None if recount_source else rows), settings, run_id)
+        if gate:
+            enforce(spark.table(settings.log_table), "bronze", run_id)
+    return rows
+
+
+def bronze_checks(
+    spark: SparkSession, settings: Settings, observed: dict[str, int] | None = None
+) -> DataFrame:
+    """Rows of every stored table against its landing file, or against counts already known."""
     verdicts = []
     for name, spec in TABLES.items():
-        source = rows[name]
-        if recount_source:
+        source = observed[name] if observed else None
+        if source is None:
             source = read_landing(spark, settings.landing_path(spec.file), spec.reader)
         stored = read_table(spark, settings, "bronze", name)
         verdicts.append(row_count_match(source, stored, "bronze", name))
-    log_verdicts(union_all(verdicts), settings, run_id)
-    if gate:
-        enforce(spark.table(settings.log_table), "bronze", run_id)
-    return rows
+    return union_all(verdicts)
 
 
 def typing_report(raw: dict[str, DataFrame]) -> DataFrame:
@@ -77,47 +94,67 @@ def typing_report(raw: dict[str, DataFrame]) -> DataFrame:
 
 
 def dedup_summary(raw: dict[str, DataFrame], stored: dict[str, DataFrame]) -> DataFrame:
-    """Rows before and after cleaning of every deduplicated table.
+    """Rows before and after cleaning of every deduplicated table: removed copies and dropped rows.
 
-    Both counts come from stored tables, whose file footers hold them. The difference includes the
-    row without a key that a table with required columns drops.
+    Counts of whole tables come from stored ones, whose file footers hold them. Dropped are keys that
+    lack a required column, of which deduplication had left one row each.
     """
     parts = []
     for name, spec in TABLES.items():
         if spec.dedup_key:
-            before = raw[name].agg(F.count(F.lit(1)).alias("antes"), F.lit(0).alias("depois"))
-            after = stored[name].agg(F.lit(0).alias("antes"), F.count(F.lit(1)).alias("depois"))
-            parts.append(before.union(after).select(F.lit(name).alias("tabela"), "antes", "depois"))
+            none = {"antes": F.lit(0), "depois": F.lit(0), "descartadas": F.lit(0)}
+            counted = F.count(F.lit(1))
+            parts += [
+                _counts(raw[name], name, none | {"antes": counted}),
+                _counts(stored[name], name, none | {"depois": counted}),
+            ]
+            if spec.required:
+                lacking = reduce(or_, [F.col(c).isNull() for c in spec.required])
+                keys = raw[name].filter(lacking).select(*spec.dedup_key).distinct()
+                parts.append(_counts(keys, name, none | {"descartadas": counted}))
+    columns = ["antes", "depois", "descartadas"]
     return (
         union_all(parts)
         .groupBy("tabela")
-        .agg(F.max("antes").alias("antes"), F.max("depois").alias("depois"))
-        .withColumn("removidas", F.col("antes") - F.col("depois"))
+        .agg(*[F.max(c).alias(c) for c in columns])
+        .withColumn("removidas", F.col("antes") - F.col("depois") - F.col("descartadas"))
     )
 
 
+def _counts(df: DataFrame, name: str, measures: dict[str, Column]) -> DataFrame:
+    counts = df.agg(*[m.cast("bigint").alias(c) for c, m in measures.items()])
+    return counts.select(F.lit(name).alias("tabela"), *measures)
+
+
 @dataclass(frozen=True)
 class CleaningReport:
-    """What cleaning changed; both reports are computed when they are looked at."""
+    """What cleaning changed: a row per typed column, and a row per deduplicated table."""
 
     typing: DataFrame
     removed: DataFrame
 
 
+def _fetched(report: DataFrame) -> DataFrame:
+    """A report of a few rows, computed now and under the settings of the run."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)
+
+
 def run_silver(
     spark: SparkSession, settings: Settings, run_id: str | None = None, gate: bool = False
 ) -> CleaningReport:
     """Clean and store every table, log the key and reference checks, report the changes."""
     run_id = run_id or new_run_id()
-    create_databases(spark, settings)
-    raw = {name: read_table(spark, settings, "bronze", name) for name in TABLES}
-    for name, df in clean_all(raw).items():
-        overwrite_table(df, settings, "silver", name, replace_schema=True)
-    stored = {name: read_table(spark, settings, "silver", name) for name in TABLES}
-    log_verdicts(silver_checks(stored), settings, run_id)
-    if gate:
-        enforce(spark.table(settings.log_table), "silver", run_id)
-    return CleaningReport(typing_report(raw), dedup_summary(raw, stored))
+    with pinned(spark):
+        create_databases(spark, settings)
+        raw = {name: read_table(spark, settings, "bronze", name) for name in TABLES}
+        for name, df in clean_all(raw).items():
+            overwrite_table(df, settings, "silver", name, replace_schema=True)
+        stored = {name: read_table(spark, settings, "silver", name) for name in TABLES}
+        log_verdicts(silver_checks(stored), settings, run_id)
+        report = CleaningReport(_fetched(typing_report(raw)), _fetched(dedup_summary(raw, stored)))
+        if gate:
+            enforce(spark.table(settings.log_table), "silver", run_id)
+    return report
 
 
 def run_gold(
@@ -126,40 +163,87 @@ def run_gold(
     run_id: str | None = None,
     gate: bool = True,
     review_grain: str = "row",
+    min_orders: int = g.MIN_ORDERS,
 ) -> dict[str, DataFrame]:
-    """Build and store the business tables, log their checks and stop when one failed."""
+    """Build the business tables, log their checks, stop when one failed, publish the tables.
+
+    Until they are published the tables carry the run's id in their names. A gated run that fails
+    leaves the former tables in place, and no run leaves its own behind.
+    """
     run_id = run_id or new_run_id()
-    create_databases(spark, settings)
-    silver = {name: read_table(spark, settings, "silver", name) for name in TABLES}
-    orders, items, reviews = silver["orders"], silver["order_items"], silver["reviews"]
-
-    # Two business tables start from the join of orders and items; it is computed once.
-    sales = stage(g.order_sales(orders, items), settings, "order_sales")
-    delivered = g.delivered_orders(orders)
-    tables = {
-        "receita_mensal": g.monthly_revenue_of(sales),
-        "receita_por_estado": g.revenue_by_state_of(sales, silver["customers"]),
-        "performance_entrega_mensal": g.delivery_performance(delivered),
-        "satisfacao_entrega": g.delivery_satisfaction(delivered, reviews),
-        "ranking_vendedores": g.seller_ranking(
-            items, orders, silver["sellers"], reviews, review_grain=review_grain
-        ),
-    }
-    for name, df in tables.items():
-        overwrite_table(df, settings, "gold", name, replace_schema=True)
+    with pinned(spark):
+        create_databases(spark, settings)
+        silver = {name: read_table(spark, settings, "silver", name) for name in TABLES}
+        orders, items, reviews = silver["orders"], silver["order_items"], silver["reviews"]
+        try:
+            # Two business tables start from the join of orders and items; it is computed once.
+            sales = stage(g.order_sales(orders, items), settings, "order_sales", run_id)
+            delivered = g.delivered_orders(orders)
+            tables = {
+                "receita_mensal": g.monthly_revenue_of(sales),
+                "receita_por_estado": g.revenue_by_state_of(sales, silver["customers"]),
+                "performance_entrega_mensal": g.delivery_performance(delivered),
+                "satisfacao_entrega": g.delivery_satisfaction(delivered, reviews),
+                "ranking_vendedores": g.seller_ranking(
+                    items, orders, silver["sellers"], reviews, min_orders, review_grain
+                ),
+            }
+            own = {name: stage(df, settings, name, run_id) for name, df in tables.items()}
+            log_verdicts(g.gold_checks(own, items, min_orders), settings, run_id)
+            if gate:
+                enforce(spark.table(settings.log_table), "gold", run_id)
+            for name in tables:
+                publish(spark, settings, "gold", name, run_id)
+        finally:
+            drop_tables(spark, settings, "gold", ["order_sales", *g.PRESENTATION], run_id)
     stored = {name: read_table(spark, settings, "gold", name) for name in tables}
-    log_verdicts(g.gold_checks(stored, items), settings, run_id)
-    if gate:
-        enforce(spark.table(settings.log_table), "gold", run_id)
     return {name: g.present(name, df) for name, df in stored.items()}
 
 
+@dataclass(frozen=True)
+class RunReport:
+    """What a full run did."""
+
+    run_id: str
+    rows: dict[str, int]
+    cleaning: CleaningReport
+    gold: dict[str, DataFrame]
+
+
 def run_all(
-    spark: SparkSession, settings: Settings, gate_layers: tuple[str, ...] = ("gold",)
-) -> str:
-    """All three layers under one run id, which is returned."""
-    run_id = new_run_id()
-    run_bronze(spark, settings, run_id, gate="bronze" in gate_layers)
-    run_silver(spark, settings, run_id, gate="silver" in gate_layers)
-    run_gold(spark, settings, run_id, gate="gold" in gate_layers)
-    return run_id
+    spark: SparkSession,
+    settings: Settings,
+    gate_layers: tuple[str, ...] = ("gold",),
+    run_id: str | None = None,
+    recount_source: bool = True,
+    review_grain: str = "row",
+    min_orders: int = g.MIN_ORDERS,
+) -> RunReport:
+    """All three layers under one run id."""
+    run_id = run_id or new_run_id()
+    rows = run_bronze(spark, settings, run_id, recount_source, gate="bronze" in gate_layers)
+    cleaning = run_silver(spark, settings, run_id, gate="silver" in gate_layers)
+    gold = run_gold(spark, settings, run_id, "gold" in gate_layers, review_grain, min_orders)
+    return RunReport(run_id, rows, cleaning, gold)
+
+
+@dataclass(frozen=True)
+class Profile:
+    """Diagnostics of stored tables, computed when they are looked at."""
+
+    nulls: dict[str, DataFrame]
+    scores_outside: DataFrame
+    inconsistent_dates: DataFrame
+    log: DataFrame
+
+
+def profile(spark: SparkSession, settings: Settings, layer: str = "silver") -> Profile:
+    """Missing values per raw column, scores outside their domain, inconsistent dates, the log's summary."""
+    reviews = read_table(spark, settings, "silver", "reviews")
+    orders = read_table(spark, settings, "silver", "orders")
+    return Profile(
+        {n: null_profile(read_table(spark, settings, "bronze", n), n) for n in TABLES},
+        outside_range_count(reviews, "review_score", 1, 5),
+        inconsistent_date_count(orders),
+        log_summary(spark.table(settings.log_table), layer),
+    )

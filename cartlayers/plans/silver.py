@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlayers.functions.text import fold_lower, fold_upper
-from cartlayers.operators.checks import referential_integrity, unique_key
-from cartlayers.operators.combine import union_all
+from cartlayers.operators.checks import KeyCheck, key_verdicts
 from cartlayers.operators.dedup import keep_first
 from cartlayers.operators.rules import (
     fill_defaults,
@@ -18,30 +17,30 @@ from cartlayers.operators.rules import (
     require,
 )
 from cartlayers.operators.typing import apply_types
-from cartlayers.registry import GEOLOCATION, ORDERS, TABLES, TableSpec
+from cartlayers.registry import TABLES, TableSpec
 
 
 def clean(spec: TableSpec, raw: DataFrame) -> DataFrame:
     """The cleaned table of one declaration, from its raw all-text table."""
-    if spec.name == GEOLOCATION.name:
-        return centroids(apply_types(raw, spec.types))
     df = apply_types(raw, spec.types)
+    if spec.points:
+        return centroids(df)
     if spec.text_first:
         df = normalize_text(df, spec.lower, spec.upper)
     if spec.dedup_key:
-        df = keep_first(df, spec.dedup_key)
+        df = keep_first(df, spec.dedup_key, spec.dedup_order)
     df = fill_defaults(require(df, spec.required), spec.defaults)
     if not spec.text_first:
         df = normalize_text(df, spec.lower, spec.upper)
-    return flag_inconsistent_dates(df) if spec.name == ORDERS.name else df
+    return flag_inconsistent_dates(df) if spec.dated else df
 
 
 def centroids(points: DataFrame) -> DataFrame:
     """Mean position and one place name per zip code prefix.
 
-    Points are totalled per prefix and place name first: that grouping runs as a hash aggregate
-    and shrinks the data to one row per name before any shuffle. The name kept is the smallest
-    pair of city and state found together, a present name going before a missing one.
+    Points are totalled per prefix and place name first, which combines equal names on the map side;
+    the second grouping gets one row per prefix and name. The name kept is a pair of city and state
+    found together: a complete pair before others, then the most frequent, then the smallest.
     """
     prefix = "geolocation_zip_code_prefix"
     per_place = points.groupBy(prefix, "geolocation_city", "geolocation_state").agg(
@@ -49,8 +48,11 @@ def centroids(points: DataFrame) -> DataFrame:
         F.count("geolocation_lat").alias("lat_n"),
         F.sum("geolocation_lng").alias("lng_sum"),
         F.count("geolocation_lng").alias("lng_n"),
+        F.count(F.lit(1)).alias("points"),
     )
     place = F.struct(
+        F.col("geolocation_city").isNull() | F.col("geolocation_state").isNull(),
+        -F.col("points"),
         F.col("geolocation_city").isNull(),
         F.col("geolocation_city").alias("city"),
         F.col("geolocation_state").isNull(),
@@ -79,23 +81,9 @@ def clean_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def silver_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Key and reference verdicts of all cleaned tables."""
-    verdicts = [
-        unique_key(tables[spec.name], "silver", spec.name, spec.unique)
-        for spec in TABLES.values()
-        if spec.unique
+    """Key and reference verdicts of all cleaned tables, each of which is read once."""
+    unique = [KeyCheck(s.name, s.unique, s.name, s.unique) for s in TABLES.values() if s.unique]
+    references = [
+        KeyCheck(s.name, fk.column, fk.parent, fk.parent_key) for s in TABLES.values() for fk in s.parents
     ]
-    for spec in TABLES.values():
-        for fk in spec.parents:
-            verdicts.append(
-                referential_integrity(
-                    tables[spec.name],
-                    fk.column,
-                    tables[fk.parent],
-                    fk.parent_key,
-                    "silver",
-                    spec.name,
-                    fk.parent,
-                )
-            )
-    return union_all(verdicts)
+    return key_verdicts(tables, "silver", unique, references)

@@ -131,8 +131,8 @@ def _left_reviews(v: Views) -> DataFrame:
 
 
 def _orphan_items(v: Views) -> DataFrame:
-    settled = v.orders().filter(F.col("order_status") != "processing")
-    return orphans(v.order_items(), "order_id", settled, "order_id").select(
+    landed = v.raw_orders().select(F.col("order_id").cast("bigint").alias("order_id"))
+    return orphans(v.order_items(), "order_id", landed, "order_id").select(
         "order_id", "order_item_id", "price"
     )
 
@@ -162,10 +162,10 @@ QUERIES: dict[str, Query] = {
         _orphan_items,
         with_views(
             """SELECT order_id, order_item_id, CAST(price AS DOUBLE) AS price FROM v_items i
-               WHERE NOT EXISTS (SELECT 1 FROM v_orders o WHERE o.order_id = i.order_id
-                                 AND order_status <> 'processing')""",
+               WHERE NOT EXISTS (SELECT 1 FROM r_orders o
+                                 WHERE CAST(o.order_id AS BIGINT) = i.order_id)""",
             "v_items",
-            "v_orders",
+            "r_orders",
         ),
     ),
     "month_lag": Query(

@@ -97,7 +97,7 @@ def typed_sql(table: str) -> str:
 
 def first_sql(source: str, key: tuple[str, ...], columns: list[str]) -> str:
     """One row per key: the smallest under the other columns, NULL first."""
-    order = ", ".join(f"{c} NULLS FIRST" for c in columns if c not in key)
+    order = ", ".join(f"{c} NULLS LAST" for c in columns if c not in key)
     return (
         f"SELECT * FROM {source} QUALIFY row_number() OVER "
         f"(PARTITION BY {', '.join(key)} ORDER BY {order}) = 1"
@@ -382,9 +382,12 @@ QUERIES: dict[str, Query] = {
                              round(avg(geolocation_lat), 6) AS latitude,
                              round(avg(geolocation_lng), 6) AS longitude
                       FROM typed GROUP BY ALL) t
-                JOIN (SELECT * FROM typed QUALIFY row_number() OVER (
+                JOIN (SELECT geolocation_zip_code_prefix, geolocation_city, geolocation_state
+                      FROM typed GROUP BY ALL QUALIFY row_number() OVER (
                         PARTITION BY geolocation_zip_code_prefix
-                        ORDER BY geolocation_city NULLS LAST, geolocation_state NULLS LAST) = 1) p
+                        ORDER BY geolocation_city IS NULL OR geolocation_state IS NULL,
+                          count(*) DESC, geolocation_city NULLS LAST,
+                          geolocation_state NULLS LAST) = 1) p
                   ON p.geolocation_zip_code_prefix = t.geolocation_zip_code_prefix""",
             "r_geolocation",
             typed=typed_sql("geolocation"),

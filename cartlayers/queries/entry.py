@@ -19,6 +19,7 @@ class Query:
     sql: str
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
+        """The lazy result. The session keeps the pinned settings, which the rows depend on."""
         return plain(self.build(Views(pin_semantics(spark), folder)))
 
 

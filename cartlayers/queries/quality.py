@@ -105,15 +105,12 @@ def _all(*parts: str) -> str:
     return " UNION ALL ".join(parts)
 
 
-# Row counts: landed rows against what is left of them after cleaning, so both outcomes occur.
+# Row counts: landed rows of every table against what is left of them after cleaning, so both
+# outcomes occur.
 def _row_counts(v: Views) -> DataFrame:
-    return union_all(
-        [
-            c.row_count_match(v.order_items_raw(), v.order_items(), "bronze", "order_items"),
-            c.row_count_match(v.raw_customers(), v.customers(), "bronze", "customers"),
-            c.row_count_match(v.raw_payments(), v.payments(), "bronze", "payments"),
-        ]
-    )
+    raw = raw_tables(v)
+    stored = clean_all(raw)
+    return union_all([c.row_count_match(raw[n], stored[n], "bronze", n) for n in r.TABLES])
 
 
 def _unique_keys(v: Views) -> DataFrame:
@@ -127,24 +124,27 @@ def _unique_keys(v: Views) -> DataFrame:
     )
 
 
-# Orders still being processed are left out as parents, so that there are orphans to find.
+# The parents of order references are the landed orders, some of which lost their key, so that there
+# are orphans to find. All rows of every table are children.
 def _references(v: Views) -> DataFrame:
-    settled = v.orders().filter(F.col("order_status") != "processing")
-    tables = {
-        "orders": settled,
-        "customers": v.customers(),
+    children = {
+        "orders": v.orders(),
         "order_items": v.order_items(),
         "payments": v.payments(),
         "reviews": v.reviews(),
+    }
+    parents = {
+        "orders": v.raw_orders().select(F.col("order_id").cast("bigint").alias("order_id")),
+        "customers": v.customers(),
         "products": v.products(),
         "sellers": v.sellers(),
     }
     return union_all(
         [
             c.referential_integrity(
-                tables[spec.name],
+                children[spec.name],
                 fk.column,
-                tables[fk.parent],
+                parents[fk.parent],
                 fk.parent_key,
                 "silver",
                 spec.name,
@@ -156,22 +156,25 @@ def _references(v: Views) -> DataFrame:
     )
 
 
-_REFERENCE_SOURCES = {
-    "orders": "(SELECT * FROM v_orders WHERE order_status <> 'processing')",
-    "customers": "v_customers",
+_CHILD_SOURCES = {
+    "orders": "v_orders",
     "order_items": "v_items",
     "payments": "v_payments",
     "reviews": "v_reviews",
+}
+_PARENT_SOURCES = {
+    "orders": "(SELECT CAST(order_id AS BIGINT) AS order_id FROM r_orders)",
+    "customers": "v_customers",
     "products": "v_products",
     "sellers": "v_sellers",
 }
 
 
-def _references_sql(sources: dict[str, str]) -> str:
+def _references_sql(children: dict[str, str], parents: dict[str, str]) -> str:
     return _all(
         *[
             reference_sql(
-                spec.name, fk.column, fk.parent, fk.parent_key, sources[spec.name], sources[fk.parent]
+                spec.name, fk.column, fk.parent, fk.parent_key, children[spec.name], parents[fk.parent]
             )
             for spec in r.TABLES.values()
             for fk in spec.parents
@@ -180,17 +183,12 @@ def _references_sql(sources: dict[str, str]) -> str:
 
 
 def _reconciliation(v: Views) -> DataFrame:
-    items = v.order_items()
-    return union_all(
-        [
-            c.sum_reconciliation(
-                b.monthly_revenue(v), "receita_produtos", items, "price", "gold", "receita_mensal"
-            ),
-            c.sum_reconciliation(
-                b.revenue_by_state(v), "receita_total", items, "price", "gold", "receita_por_estado"
-            ),
-        ]
-    )
+    checks = [
+        c.sum_check("receita_mensal", "receita_produtos", "silver"),
+        c.sum_check("receita_por_estado", "receita_total", "silver"),
+    ]
+    total = v.order_items().agg(F.sum("price").alias("silver"))
+    return c.verdicts_of(checks, _gold_tables(v), "gold", total)
 
 
 _RECONCILIATION_SQL = _all(
@@ -291,9 +289,10 @@ def _ranges(v: Views) -> DataFrame:
 
 
 def _gold_tables(v: Views) -> dict[str, DataFrame]:
+    sales = g.order_sales(v.orders(), v.order_items())
     return {
-        "receita_mensal": b.monthly_revenue(v),
-        "receita_por_estado": b.revenue_by_state(v),
+        "receita_mensal": g.monthly_revenue_of(sales),
+        "receita_por_estado": g.revenue_by_state_of(sales, v.customers()),
         "performance_entrega_mensal": b.delivery_performance(v),
         "satisfacao_entrega": b.delivery_satisfaction(v),
         "ranking_vendedores": b.seller_ranking(v),
@@ -339,7 +338,7 @@ def _silver_sql(select: str) -> str:
             for name, spec in r.TABLES.items()
             if spec.unique
         ],
-        _references_sql(_SILVER_NAMES),
+        _references_sql(_SILVER_NAMES, _SILVER_NAMES),
     )
     return with_views(
         select.format(verdicts=f"({verdicts})"), *RAW_SQL.values(), **_SILVER_TABLES
@@ -355,15 +354,10 @@ QUERIES: dict[str, Query] = {
         _row_counts,
         with_views(
             _all(
-                row_count_sql("order_items", "v_items_raw", "v_items"),
-                row_count_sql("customers", "r_customers", "v_customers"),
-                row_count_sql("payments", "r_payments", "v_payments"),
+                *[row_count_sql(n, RAW_SQL[n], _SILVER_NAMES[n]) for n in r.TABLES],
             ),
-            "v_items",
-            "r_customers",
-            "v_customers",
-            "r_payments",
-            "v_payments",
+            *RAW_SQL.values(),
+            **_SILVER_TABLES,
         ),
     ),
     "quality_unique_key": Query(
@@ -385,7 +379,8 @@ QUERIES: dict[str, Query] = {
     "quality_referential_integrity": Query(
         _references,
         with_views(
-            _references_sql(_REFERENCE_SOURCES),
+            _references_sql(_CHILD_SOURCES, _PARENT_SOURCES),
+            "r_orders",
             "v_orders",
             "v_customers",
             "v_items",

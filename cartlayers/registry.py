@@ -22,7 +22,9 @@ class TableSpec:
     """Everything the engine knows about one data set.
 
     `types` maps a raw text column to the type it is safely cast to; other columns stay text.
-    `dedup_key` is empty for tables that keep all rows. `lower` and `upper` list the columns whose
+    `dedup_key` is empty for tables that keep all rows; `dedup_order` names the columns whose smallest
+    values stay, by default all others. `points` are reduced to their centroids, `dated` tables get the
+    date-consistency flag. `lower` and `upper` list the columns whose
     text is trimmed and case-folded, before deduplication when `text_first` is set, else after it.
     """
 
@@ -31,6 +33,9 @@ class TableSpec:
     types: Mapping[str, str] = field(default_factory=dict)
     reader: Mapping[str, str] = field(default_factory=dict)
     dedup_key: tuple[str, ...] = ()
+    dedup_order: tuple[str, ...] = ()
+    points: bool = False
+    dated: bool = False
     required: tuple[str, ...] = ()
     defaults: Mapping[str, str] = field(default_factory=dict)
     lower: tuple[str, ...] = ()
@@ -53,6 +58,7 @@ ORDERS = TableSpec(
         "order_estimated_delivery_date": "timestamp",
     },
     dedup_key=("order_id",),
+    dated=True,
     required=("order_id",),
     unique="order_id",
     parents=(ForeignKey("customer_id", "customers", "customer_id"),),
@@ -139,6 +145,7 @@ GEOLOCATION = TableSpec(
         "geolocation_city": "string",
         "geolocation_state": "string",
     },
+    points=True,
     unique="geolocation_zip_code_prefix",
 )
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Settings that change results. They are pinned on whatever session is used.
@@ -20,6 +23,21 @@ EXECUTION_SETTINGS = {
 }
 
 
+@contextmanager
+def pinned(spark: SparkSession) -> Iterator[SparkSession]:
+    """Hold the result-changing settings during an eager run and give back the caller's values."""
+    before = {key: spark.conf.get(key, None) for key in SEMANTIC_SETTINGS}
+    pin_semantics(spark)
+    try:
+        yield spark
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def pin_semantics(spark: SparkSession) -> SparkSession:
     """Set the result-changing settings on an existing session and return it."""
     for key, value in SEMANTIC_SETTINGS.items():

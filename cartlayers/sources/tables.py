@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cartlayers.settings import Settings
@@ -30,22 +32,28 @@ def append_table(df: DataFrame, settings: Settings, layer: str, name: str) -> No
     df.write.format(settings.table_format).mode("append").saveAsTable(settings.table(layer, name))
 
 
-def staging_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate results.
+def run_name(name: str, run_id: str) -> str:
+    """Name of a table that belongs to one run until it is published."""
+    return f"{name}__{''.join(c if c.isalnum() else '_' for c in run_id)}"
+
+
+def stage(df: DataFrame, settings: Settings, name: str, run_id: str) -> DataFrame:
+    """Write a shared intermediate result of a run once and scan it back, which also cuts its lineage.
 
-    The cluster names it in `spark.checkpoint.dir`. Where that is unset the warehouse is used,
-    which every executor can reach because the managed tables live there.
+    It is a table beside the gold tables, on the same shared storage; `drop_tables` removes it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return (shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging").rstrip("/")
+    overwrite_table(df, settings, "gold", run_name(name, run_id))
+    return read_table(df.sparkSession, settings, "gold", run_name(name, run_id))
 
 
-def stage(df: DataFrame, settings: Settings, name: str) -> DataFrame:
-    """Write a shared intermediate result once and scan it back, which also cuts its lineage.
+def publish(spark: SparkSession, settings: Settings, layer: str, name: str, run_id: str) -> None:
+    """Put the table of a run in the place of the former one, by name only."""
+    spark.sql(f"DROP TABLE IF EXISTS {settings.table(layer, name)}")
+    own, final = settings.table(layer, run_name(name, run_id)), settings.table(layer, name)
+    spark.sql(f"ALTER TABLE {own} RENAME TO {final}")
 
-    One copy per gold database is kept and replaced by the next run.
-    """
-    spark = df.sparkSession
-    path = f"{staging_dir(spark)}/{settings.database('gold')}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+
+def drop_tables(spark: SparkSession, settings: Settings, layer: str, names: Iterable[str], run_id: str) -> None:
+    """Drop what is left of a run's tables."""
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {settings.table(layer, run_name(name, run_id))}")

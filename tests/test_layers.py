@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from cartlayers.__main__ import main
 from cartlayers.operators.checks import QualityGateError, enforce, log_summary, record_check
+from cartlayers.plans.gold import PRESENTATION
 from cartlayers.plans.layers import (
+    bronze_checks,
     dedup_summary,
     run_all,
     run_bronze,
@@ -18,9 +20,10 @@ from cartlayers.plans.layers import (
     run_silver,
 )
 from cartlayers.registry import TABLES
+from cartlayers.session import pinned
 from cartlayers.settings import Settings
 from cartlayers.sources.landing import read_landing
-from cartlayers.sources.tables import read_table, stage, staging_dir
+from cartlayers.sources.tables import drop_tables, overwrite_table, publish, read_table, stage
 from tests.landing import PREFIX, write_landing
 
 
@@ -39,7 +42,7 @@ def clean_run(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("clean")
     write_landing(folder, dirty=False)
     settings = make_settings(folder, "clean")
-    return settings, run_all(spark, settings, gate_layers=("bronze", "silver", "gold"))
+    return settings, run_all(spark, settings, gate_layers=("bronze", "silver", "gold")).run_id
 
 
 @pytest.fixture(scope="module")
@@ -47,7 +50,7 @@ def dirty_run(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("dirty")
     write_landing(folder, dirty=True)
     settings = make_settings(folder, "dirty")
-    rows = run_bronze(spark, settings, "run1", recount_source=True, gate=True)
+    rows = run_bronze(spark, settings, "run1", gate=True)
     lost = run_silver(spark, settings, "run1")
     return settings, rows, {(r.tabela, r.coluna): r.falhas for r in lost.typing.collect()}
 
@@ -90,8 +93,8 @@ def test_bronze_checks_pass_and_count_the_stored_table(spark, dirty_run):
 def test_observed_and_recounted_rows_agree(spark, clean_run, tmp_path):
     write_landing(tmp_path, dirty=False)
     settings = make_settings(tmp_path, "recount")
-    run_bronze(spark, settings, "a")
-    run_bronze(spark, settings, "b", recount_source=True)
+    run_bronze(spark, settings, "a", recount_source=False)
+    run_bronze(spark, settings, "b")
     details = [
         {(r.tabela, r.detalhe) for r in spark.table(settings.log_table).filter(f"run_id = '{i}'").collect()}
         for i in ("a", "b")
@@ -195,9 +198,11 @@ def test_dedup_summary(spark, dirty_run):
     settings, _, _ = dirty_run
     raw = {n: read_table(spark, settings, "bronze", n) for n in TABLES}
     stored = {n: read_table(spark, settings, "silver", n) for n in TABLES}
-    removed = {r.tabela: r.removidas for r in dedup_summary(raw, stored).collect()}
-    assert removed == {
-        "orders": 3,
+    found = dedup_summary(raw, stored).collect()
+    # One of the three missing orders has no key: it is dropped, not a copy.
+    assert {r.tabela: r.descartadas for r in found if r.descartadas} == {"orders": 1}
+    assert {r.tabela: r.removidas for r in found} == {
+        "orders": 2,
         "customers": 1,
         "order_items": 1,
         "reviews": 1,
@@ -217,10 +222,14 @@ def test_gold_gate_stops_the_dirty_run(spark, dirty_run):
         ("receita_por_estado", "reconciliacao_com_silver"): "gold=140.01, silver=147.01",
     }
     log = spark.table(settings.log_table)
-    enforce(log, "gold", "another run")
     enforce(log, "bronze", "run1")
+    with pytest.raises(QualityGateError, match="no verdicts"):
+        enforce(log, "gold", "another run")
     with pytest.raises(QualityGateError):
         enforce(log)
+    # Nothing was published and nothing of the run is left.
+    assert {t.name for t in spark.catalog.listTables(settings.gold)} == {"quality_log"}
+    run_gold(spark, settings, "run2", gate=False)
     # A month that is missing sorts first and is the previous row of the first real month.
     months = rows_of(spark, settings, "gold", "receita_mensal", F.col("mes").asc_nulls_first())
     assert months[0] == (None, None, Decimal("1.00"), 1, None)
@@ -308,6 +317,74 @@ def test_record_check_feeds_the_gate(spark, tmp_path):
     with pytest.raises(QualityGateError, match="layer 'silver'"):
         enforce(spark.table(settings.log_table), "silver")
     enforce(spark.table(settings.log_table), "gold")
+    with pytest.raises(QualityGateError, match="no verdicts"):
+        enforce(spark.table(settings.log_table), "gold", "m")
+
+
+def test_lost_rows_fail_the_row_count(spark, tmp_path):
+    write_landing(tmp_path, dirty=False)
+    settings = make_settings(tmp_path, "lost")
+    run_bronze(spark, settings, "a", gate=True)
+    kept = read_table(spark, settings, "bronze", "customers").limit(2).collect()
+    schema = read_table(spark, settings, "bronze", "customers").schema
+    overwrite_table(spark.createDataFrame(kept, schema), settings, "bronze", "customers")
+    failed = bronze_checks(spark, settings).filter("status = 'FALHOU'").collect()
+    assert [r.tabela for r in failed] == ["customers"]
+
+
+def test_runs_do_not_depend_on_the_session(spark, tmp_path, clean_run):
+    expected, _ = clean_run
+    write_landing(tmp_path, dirty=False)
+    settings = make_settings(tmp_path, "session")
+    own = {"spark.sql.ansi.enabled": "false", "spark.sql.session.timeZone": "America/Sao_Paulo"}
+    before = {key: spark.conf.get(key) for key in own}
+    try:
+        for key, value in own.items():
+            spark.conf.set(key, value)
+        run_all(spark, settings)
+        assert {key: spark.conf.get(key) for key in own} == own
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    for name, (column, _) in {n: o[0] for n, o in PRESENTATION.items()}.items():
+        assert rows_of(spark, settings, "gold", name, column) == rows_of(spark, expected, "gold", name, column)
+
+
+def test_a_pinned_sum_overflows_loudly(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pinned(spark), pytest.raises(Exception, match="overflow"):
+            spark.range(2).selectExpr("sum(9223372036854775807 + id - id)").collect()
+        assert spark.conf.get("spark.sql.ansi.enabled") == "false"
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_a_failed_gate_leaves_the_former_tables(spark, tmp_path):
+    write_landing(tmp_path, dirty=False)
+    settings = make_settings(tmp_path, "gate")
+    run_all(spark, settings)
+    former = rows_of(spark, settings, "gold", "receita_mensal", "mes")
+    items = read_table(spark, settings, "silver", "order_items")
+    orphan = items.limit(1).withColumn("order_id", F.lit("nowhere"))
+    overwrite_table(stage(items.union(orphan), settings, "more", "x"), settings, "silver", "order_items")
+    drop_tables(spark, settings, "gold", ["more"], "x")
+    with pytest.raises(QualityGateError):
+        run_gold(spark, settings, "bad")
+    assert rows_of(spark, settings, "gold", "receita_mensal", "mes") == former
+    assert not [t.name for t in spark.catalog.listTables(settings.gold) if "__" in t.name]
+
+
+def test_runs_stage_apart_from_each_other(spark, tmp_path):
+    settings = make_settings(tmp_path, "apart")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {settings.gold}")
+    first = stage(spark.range(3).toDF("n"), settings, "numbers", "run-1")
+    second = stage(spark.range(5).toDF("n"), settings, "numbers", "run-2")
+    assert (first.count(), second.count()) == (3, 5)
+    publish(spark, settings, "gold", "numbers", "run-2")
+    drop_tables(spark, settings, "gold", ["numbers"], "run-1")
+    assert [t.name for t in spark.catalog.listTables(settings.gold)] == ["numbers"]
+    assert read_table(spark, settings, "gold", "numbers").count() == 5
 
 
 def test_command_line_runs_layer_by_layer(spark, tmp_path, capsys):
@@ -321,10 +398,15 @@ def test_command_line_runs_layer_by_layer(spark, tmp_path, capsys):
     assert spark.table("gold.receita_mensal").count() == 4
 
 
-def test_staging_uses_the_folder_the_cluster_names(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    folder = named or spark.conf.get("spark.sql.warehouse.dir") + "/_staging"
-    assert staging_dir(spark) == folder
-    kept = stage(spark.range(3).toDF("n"), Settings(gold="staging_test"), "numbers")
-    assert kept.count() == 3
-    assert all(f"{folder}/staging_test/numbers/" in f for f in kept.inputFiles())
+def test_command_line_of_a_full_run_and_profile(spark, tmp_path, capsys):
+    write_landing(tmp_path, dirty=False)
+    options = ["--raw-path", str(tmp_path), "--file-prefix", PREFIX, "--run-id", "cli", "--gate", "silver,gold"]
+    main(["all", *options, "--observed-count", "--review-grain", "order", "--min-orders", "1"])
+    shown = capsys.readouterr().out
+    assert "run cli" in shown and "bronze.reviews: 5 rows" in shown and "payment_value" in shown
+    assert spark.table("gold.ranking_vendedores").count() > 1
+    main(["profile"])
+    shown = capsys.readouterr().out
+    assert "pct_nulos" in shown and "PASSOU" in shown
+    with pytest.raises(SystemExit):
+        main(["gold", "--gate", "lead"])

@@ -217,9 +217,9 @@ def test_dedup_is_stable_unique_and_idempotent(spark):
     assert (report.linhas, report.chaves, report.removidas) == (200, len(expected), 200 - len(expected))
 
 
-def test_dedup_keeps_null_before_values_and_obeys_a_given_order(spark):
+def test_dedup_keeps_values_before_null_and_obeys_a_given_order(spark):
     df = spark.createDataFrame([("a", 2, "x"), ("a", None, "z"), ("a", 1, "y")], "k string, v int, w string")
-    assert keep_first(df, ["k"]).first().w == "z"
+    assert keep_first(df, ["k"]).first().w == "y"
     assert keep_first(df, ["k"], ["w"]).first().v == 2
     assert keep_first(df.select("k"), ["k"]).count() == 1
 

@@ -16,10 +16,10 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.OWN_QUERIES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.OWN_QUERIES))
 def test_query_matches_sql(spark, duck, name):
     assert mismatch(contract.queries()[name](spark, FOLDER), duck, contract.oracle_sql()[name]) is None
 
