@@ -434,7 +434,9 @@ def one_of_each(docs: DataFrame, likeness: Likeness = Likeness()) -> DataFrame:
     """
     _, of_class = _components(docs, likeness)
     first = F.min(F.struct(F.col("rep").isNull().alias("no_id"), "rep", "k1", "k2")).alias("first")
-    chosen = of_class.groupBy("label").agg(first).select("first.k1", "first.k2", "first.rep")
+    chosen = of_class.groupBy("label").agg(first).select(
+        F.col("first.k1").alias("_own1"), F.col("first.k2").alias("_own2"), F.col("first.rep").alias("_rep")
+    )
     schema = T.StructType(docs.schema.fields + T.StructType.fromDDL("_size long, _k1 long, _k2 long").fields)
     names = schema.names
 
@@ -444,7 +446,7 @@ def one_of_each(docs: DataFrame, likeness: Likeness = Likeness()) -> DataFrame:
             yield pa.RecordBatch.from_arrays(batch.slice(first, last - first).columns + added, names)
 
     rows = map_tables(docs, keyed, schema)
-    own = (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")) & F.col("doc_id").eqNullSafe(F.col("rep"))
+    own = (F.col("_k1") == F.col("_own1")) & (F.col("_k2") == F.col("_own2")) & F.col("doc_id").eqNullSafe(F.col("_rep"))
     kept = rows.where("_size > 0").join(chosen, own, "left_semi")
     order = Window.partitionBy("_k1", "_k2").orderBy("doc_id")
     kept = kept.withColumn("_nth", F.row_number().over(order)).where("_nth = 1")
