@@ -309,14 +309,25 @@ def candidates(stars: DataFrame, classes: DataFrame, likeness: Likeness) -> Data
     )
 
 
-def _linked_members(rows: pa.Table, likeness: Likeness) -> tuple[pa.Table, list[tuple[int, int]]]:
-    """The classes of a group and a spanning forest of their links, as positions, by exact comparison."""
-    keys = np.stack([rows.column("k1").to_numpy(), rows.column("k2").to_numpy()], axis=1)
-    rows = rows.take(pa.array(np.unique(keys, axis=0, return_index=True)[1]))
-    rows, sizes, cells, own = _members(rows)
-    sets = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
-    root, edges = np.arange(len(sizes)), []
-    for at in range(len(sizes) - 1):
+def _linked_members(rows: pa.Table, likeness: Likeness) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The class keys of a group and a spanning forest of their links, as positions, by exact comparison."""
+    shingles, sizes, cells, keys = [], [], [], []
+    for _, _, found in _sets_of(rows.column("text"), likeness):
+        order = np.lexsort((found.shingles, found.text))
+        shingles += np.split(found.shingles[order], np.cumsum(found.sizes)[:-1])
+        sizes.append(found.sizes)
+        cells.append(found.cells())
+        keys.append(np.stack(found.keys(), axis=1))
+    sizes, cells, keys = np.concatenate(sizes), np.concatenate(cells), np.concatenate(keys)
+    wanted = np.stack([rows.column("k1").to_numpy(), rows.column("k2").to_numpy()], axis=1)
+    own = rows.column("own").to_numpy()
+    # a repeated doc_id brings several texts; only one with the class's own set counts
+    right = np.flatnonzero((keys == wanted).all(axis=1))
+    right = right[np.unique(keys[right], axis=0, return_index=True)[1]]
+    right = right[np.lexsort((sizes[right], own[right]))]
+    sets, sizes, cells, own = [shingles[i] for i in right], sizes[right], cells[right], own[right]
+    root, edges = np.arange(len(right)), []
+    for at in range(len(right) - 1):
         fit = _fitting(at, sizes, cells, own, likeness)
         fit = fit[root[fit] != root[at]]
         if not len(fit):
@@ -329,7 +340,7 @@ def _linked_members(rows: pa.Table, likeness: Likeness) -> tuple[pa.Table, list[
             if root[j] != root[at]:
                 root[root == root[j]] = root[at]
                 edges.append((at, int(j)))
-    return rows, edges
+    return keys[right], edges
 
 
 def _id_bits(ids: DataFrame) -> np.ndarray:
@@ -350,39 +361,26 @@ def _id_bits(ids: DataFrame) -> np.ndarray:
 def links(docs: DataFrame, classes: DataFrame, found: DataFrame, likeness: Likeness) -> DataFrame:
     """Edges (a, b) between classes that span the linked ones of every group.
 
-    Texts are not shuffled: a fixed number of flags tells most of the documents that are not needed,
-    and only shingles of the others reach the join, which is exact. A class may come several times.
+    A fixed number of flags tells most of the documents that are not needed, so that only texts of the
+    others are shuffled to their groups; the join on doc_id is exact.
     """
-    needed = found.select("k1", "k2").distinct().join(classes, ["k1", "k2"])
-    flags = _id_bits(needed.select(F.col("rep").alias("doc_id")))
+    asked = stored(found.join(classes, ["k1", "k2"]).select("leader", "i", "j", "own", "k1", "k2", "rep"))
+    flags = _id_bits(asked.select(F.col("rep").alias("doc_id")))
 
-    def fetch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids = batch.column(0)
-        low = ids.fill_null(0).to_numpy() & (FILTER_BITS - 1)
-        use = (flags[low >> 6] >> (low & 63) & 1).astype(bool) | ids.is_null().to_numpy(zero_copy_only=False)
-        batch = batch.filter(pa.array(use))
-        for first, last, sets in _sets_of(batch.column(1), likeness):
-            order = np.lexsort((sets.shingles, sets.text))
-            cut = np.concatenate([[0], np.cumsum(sets.sizes)])
-            inside = sets.shingles[order]
-            shingles = pa.array([inside[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())
-            k1, k2 = sets.keys()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k1), pa.array(k2), pa.array(sets.sizes), _binary(sets.cells()), shingles],
-                ["k1", "k2", "n_shingles", "cells", "shingles"],
-            )
+    def keep(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        low = batch.column(0).fill_null(0).to_numpy() & (FILTER_BITS - 1)
+        use = (flags[low >> 6] >> (low & 63) & 1).astype(bool) | batch.column(0).is_null().to_numpy(zero_copy_only=False)
+        yield batch.filter(pa.array(use))
 
     def compare(rows: pa.Table) -> pa.Table:
-        rows, edges = _linked_members(rows, likeness)
+        keys, edges = _linked_members(rows, likeness)
         ends = np.array(edges, dtype=np.int64).reshape(-1, 2)
-        picked = {f"{k}_{side}": rows.column(k).take(pa.array(ends[:, x])) for x, side in enumerate("ab") for k in ("k1", "k2")}
-        return pa.table(picked)
+        return pa.table({f"k{k + 1}_{side}": keys[ends[:, x], k] for x, side in enumerate("ab") for k in range(2)})
 
-    sets = map_tables(
-        docs.select("doc_id", "text"), fetch, "k1 long, k2 long, n_shingles long, cells binary, shingles binary"
-    )
+    texts = map_tables(docs.select("doc_id", "text"), keep, "doc_id long, text string")
     edges = (
-        found.join(sets, ["k1", "k2"])
+        texts.join(asked, F.col("doc_id").eqNullSafe(F.col("rep")))
+        .select("leader", "i", "j", "own", "k1", "k2", "text")
         .groupBy("leader", "i", "j")
         .applyInArrow(compare, "k1_a long, k2_a long, k1_b long, k2_b long")
     )
