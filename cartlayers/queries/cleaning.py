@@ -383,7 +383,9 @@ QUERIES: dict[str, Query] = {
                              round(avg(geolocation_lng), 6) AS longitude
                       FROM typed GROUP BY ALL) t
                 JOIN (SELECT geolocation_zip_code_prefix, geolocation_city, geolocation_state
-                      FROM typed GROUP BY ALL QUALIFY row_number() OVER (
+                      FROM typed
+                      GROUP BY geolocation_zip_code_prefix, geolocation_city, geolocation_state
+                      QUALIFY row_number() OVER (
                         PARTITION BY geolocation_zip_code_prefix
                         ORDER BY geolocation_city IS NULL OR geolocation_state IS NULL,
                           count(*) DESC, geolocation_city NULLS LAST,
