@@ -1,6 +1,6 @@
 """Benchmark passages in training texts, found by backward search in an FM-index per shard of texts.
 
-A task cuts its texts into shards of about a million words, indexes each (fm_index.py) and looks for
+A task cuts its texts into shards of about 300,000 words, indexes each (fm_index.py) and looks for
 all benchmark windows at once. Occurrences are located by sampled suffix positions, mark the words
 they cover, and the marks are merged into spans. Windows are held by every task, in blocks of bounded
 number; further blocks are further passes over the texts.
@@ -22,7 +22,7 @@ from cartlayers.llm.fm_index import FMIndex
 from cartlayers.llm.words import ALPHANUMERIC, Words, chunks, expand, text_bytes
 
 WINDOW = 13
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 300_000
 WINDOWS_PER_BLOCK = 200_000
 SPANS = "array<struct<begin:int,end:int>>"
 ADDED = f"n_words long, word_spans {SPANS}, items array<string>"
