@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from cartlayers.session import pin_semantics
 
 
+#: Rows of a batch that Python workers get; texts are long, and a batch is held several times.
+BATCH_ROWS = 2000
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -33,6 +37,7 @@ def prepared(spark: SparkSession) -> SparkSession:
                 archive.write(file, file.relative_to(root.parent))
         context.addPyFile(share_file(spark, "cartlayers.zip", packed.getvalue()))
         context._cartlayers_sent = True
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return pin_semantics(spark)
 
 
@@ -91,6 +96,7 @@ def map_tables(df: DataFrame, function: Callable[[pa.Table], Iterator[pa.RecordB
         for batch in batches:
             if batch.num_rows:
                 yield from function(batch)
+                pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
