@@ -167,17 +167,17 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(part.drop_columns(["text"]).columns + added, columns)
 
-    more = "_row long, n_tokens long, n_known long, base_score double, score double, _rare array<long>"
+    more = "_score_row long, n_tokens long, n_known long, base_score double, score double, _score_rare array<long>"
     schema = kept.drop("text").schema
     schema = T.StructType(schema.fields + T.StructType.fromDDL(more).fields)
     columns = schema.names
     first = stored(kept.mapInArrow(measure, schema))
-    rare = first.select("_row", F.explode("_rare").alias("key")).groupBy("_row", "key").agg(F.count("*").alias("times"))
-    found = rare.join(scorer.words, "key", "left").groupBy("_row").agg(
+    rare = first.select("_score_row", F.explode("_score_rare").alias("key")).groupBy("_score_row", "key").agg(F.count("*").alias("times"))
+    found = rare.join(scorer.words, "key", "left").groupBy("_score_row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("_known"),
         F.sum(F.col("times") * scorer.log10(F.coalesce("n", F.lit(0)))).alias("_base"),
     )
-    return first.join(found, "_row", "left").select(
+    return first.join(found, "_score_row", "left").select(
         *[c for c in kept.columns if c != "text"],
         "n_tokens",
         (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),

@@ -43,7 +43,8 @@ def test_odd_texts(spark):
     assert len(rows) == docs.count()
     undetermined = {r.text for r in rows if r.lang_pred == "und"}
     assert undetermined == {None, "", " \t\n ", "!!! ???", "12"}
-    assert all(0 <= r.score <= 1 and (r.score == 0) == (r.lang_pred == "und") for r in rows if r.text != "中文 字 \U0001f389")
+    # A negative cosine counts as 0, so a determined text may have that score, too.
+    assert all(0 <= r.score <= 1 and (r.lang_pred != "und" or r.score == 0) for r in rows)
 
 
 def test_nothing_to_learn_from(spark):
