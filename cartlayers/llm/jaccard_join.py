@@ -11,8 +11,8 @@ Pairs of thirds without elements would be alike for very many sets. A set leaves
 it has more parts without an empty pair than differences could spoil; the rare others emit them too.
 
 Copies (same shingle set) are one class. Signatures are packed per bucket, deduplicated in each
-batch, and give stars: the smallest class with a signature leads it. Two classes that share a
-signature share its leader, so all candidate pairs meet within the group of a leader. Groups are
+batch, and give stars: the smallest class of all batches with a signature leads it. Two classes that
+share a signature share its leader, so all candidate pairs meet within the group of a leader. Groups are
 first thinned by sizes and by cell counts, a lower bound of the difference, then compared exactly.
 Large groups are compared block against block. Only a spanning forest leaves a group.
 """
@@ -182,43 +182,46 @@ def shingle_sets(docs: DataFrame, likeness: Likeness) -> DataFrame:
     )
 
 
-def _leaders(signatures: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where each signature's smallest key stands, and the (leader, member) keys of the others."""
+def _leaders(signatures: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct signatures in order with the smallest key of each, and every (signature, key) of the others, once."""
     order = np.lexsort((keys, signatures))
     signatures, keys = signatures[order], keys[order]
     new = np.ones(len(signatures), dtype=bool)
     new[1:] = signatures[1:] != signatures[:-1]
-    leader = keys[np.flatnonzero(new)][np.cumsum(new) - 1]
-    other = leader != keys
-    return order[new], leader[other], keys[other]
+    again = np.zeros(len(signatures), dtype=bool)
+    again[1:] = ~new[1:] & (keys[1:] == keys[:-1])
+    other = ~new & ~again
+    return signatures[new], keys[new], signatures[other], keys[other]
 
 
 def star_pairs(docs: DataFrame, likeness: Likeness, buckets: int) -> DataFrame:
     """(leader, member) first keys of classes that share a signature, each pair once.
 
-    Within a batch, the members of a signature are linked to its leader there, and only that leader
-    goes on to the signature's bucket, so a signature that very many classes share adds one entry a
-    batch. A bucket's entries of a batch are one packed row, in which 32 bits of a signature are
-    enough: a bucket has about a million, and a false pair only costs a comparison.
+    A batch sends the smallest class of each of its signatures to the signature's bucket as a leader row,
+    the other classes as a follower row. A bucket reads its leader rows first and takes the smallest class
+    of each signature; follower rows then pass one by one and get that leader. So a signature that very
+    many classes share adds one entry a batch to what a bucket holds, and all its classes one leader. The
+    entries of a batch are packed, and 32 bits of a signature are enough: a bucket has about a million,
+    and a false pair only costs a comparison.
     """
-    columns = ["bucket", "signatures", "counts", "classes", "pairs"]
+    columns = ["bucket", "follows", "signatures", "counts", "classes"]
 
-    def pack(signatures: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
-        kept, leader, member = _leaders(signatures, keys)
-        signatures, keys = signatures[kept], keys[kept]  # in order of signature
+    def packed_rows(follows: bool, signatures: np.ndarray, keys: np.ndarray) -> Iterator[tuple]:
         bucket = ((signatures >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        begin = np.flatnonzero(np.diff(bucket, prepend=-1))
+        begin = np.flatnonzero(np.diff(bucket, prepend=-1))  # signatures are in order
         short = mix(signatures).astype(np.uint32)
-        rows = []
         for a, b in zip(begin, np.append(begin[1:], len(bucket)), strict=True):
             order = np.argsort(keys[a:b])
             classes, counts = np.unique(keys[a:b], return_counts=True)
             packed = (short[a:b][order], counts.astype(np.uint32), classes)
-            rows.append((int(bucket[a]), *(x.tobytes() for x in packed), b""))
-        if len(leader):
-            pairs = np.unique(np.stack([leader, member], axis=1), axis=0)
-            rows.append((int(bucket[0]), b"", b"", b"", pairs.tobytes()))
-        types = [pa.int64()] + [pa.binary()] * 4
+            yield int(bucket[a]), follows, *(x.tobytes() for x in packed)
+
+    def pack(signatures: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+        head, leader, signatures, keys = _leaders(signatures, keys)
+        rows = [*packed_rows(False, head, leader)]
+        if len(keys):
+            rows += packed_rows(True, signatures, keys)
+        types = [pa.int64(), pa.bool_()] + [pa.binary()] * 3
         return pa.RecordBatch.from_arrays(
             [pa.array(values, kind) for values, kind in zip(zip(*rows, strict=True), types, strict=True)], columns
         )
@@ -234,23 +237,47 @@ def star_pairs(docs: DataFrame, likeness: Likeness, buckets: int) -> DataFrame:
                 yield pack(np.concatenate(found), np.concatenate(keys))
                 found, keys, n = [], [], 0
 
-    def meet(rows: pa.Table) -> pa.Table:
-        found, keys, pairs = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], []
-        for row in rows.to_batches(max_chunksize=1):
-            signatures, counts, classes, local = (row.column(c)[0].as_py() for c in columns[1:])
-            if local:
-                pairs.append(np.frombuffer(local, np.int64).reshape(-1, 2))
-            found.append(np.frombuffer(signatures, np.uint32))
-            keys.append(np.repeat(np.frombuffer(classes, np.int64), np.frombuffer(counts, np.uint32)))
-        _, leader, member = _leaders(np.concatenate(found), np.concatenate(keys))
-        pairs.append(np.stack([leader, member], axis=1))
-        both = np.unique(np.concatenate(pairs), axis=0)
-        return pa.table({"leader": both[:, 0], "member": both[:, 1]})
+    def pairs_of(leader: np.ndarray, member: np.ndarray) -> pa.RecordBatch:
+        both = np.unique(np.stack([leader, member], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["leader", "member"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, keys, held = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], None
+
+        def led() -> tuple[np.ndarray, np.ndarray, pa.RecordBatch]:
+            head, leader, signatures, members = _leaders(np.concatenate(found), np.concatenate(keys))
+            return head, leader, pairs_of(leader[np.searchsorted(head, signatures)], members)
+
+        for batch in batches:
+            leaders, members = [], []
+            for i in range(batch.num_rows):
+                follows, signatures, counts, classes = (batch.column(c)[i].as_py() for c in columns[1:])
+                signatures = np.frombuffer(signatures, np.uint32)
+                classes = np.repeat(np.frombuffer(classes, np.int64), np.frombuffer(counts, np.uint32))
+                if not follows:
+                    if held is not None:
+                        raise RuntimeError("a leader row came after a follower row")
+                    found.append(signatures)
+                    keys.append(classes)
+                    continue
+                if held is None:
+                    *held, pairs = led()
+                    found, keys = [], []
+                    yield pairs
+                leader = held[1][np.searchsorted(held[0], signatures)]
+                other = leader != classes
+                leaders.append(leader[other])
+                members.append(classes[other])
+            if leaders:
+                yield pairs_of(np.concatenate(leaders), np.concatenate(members))
+        if held is None:
+            yield led()[2]
 
     packed = map_tables(
-        docs.select("text"), emit, "bucket long, signatures binary, counts binary, classes binary, pairs binary"
+        docs.select("text"), emit, "bucket long, follows boolean, signatures binary, counts binary, classes binary"
     )
-    return packed.groupBy("bucket").applyInArrow(meet, "leader long, member long").distinct()
+    ordered = packed.repartition("bucket").sortWithinPartitions("bucket", "follows")
+    return ordered.groupBy("bucket").applyInArrow(meet, "leader long, member long").distinct()
 
 
 def _grouped(members: DataFrame) -> DataFrame:

@@ -116,3 +116,32 @@ def test_a_chain_is_one_component(spark):
     texts = [" ".join(w[:100]), " ".join([*w[8:100], *(f"a{i}" for i in range(8))]), " ".join([*w[16:100], *(f"a{i}" for i in range(16))])]
     assert not np.diff([r.component_id for r in m.near_duplicates(documents(spark, texts)).collect()]).any()
     check(m.near_duplicates(documents(spark, texts)), dict(enumerate(texts)))
+
+
+def test_classes_of_different_batches_share_the_leader_of_a_signature(spark):
+    rng, base = random.Random(8), prose(77, 120).split()
+    texts = []
+    for _ in range(300):
+        copy = list(base)
+        for _ in range(rng.randint(1, 3)):
+            copy[rng.randrange(len(copy))] = f"x{rng.random()}"
+        texts.append(" ".join(copy))
+    likeness = m.Likeness()
+    import pyarrow as pa
+
+    data, offsets = text_bytes(pa.array(texts))
+    sets = m.ShingleSets(data, offsets, likeness)
+    found, owner = sets.signatures(likeness)
+    keys = sets.keys()[0]
+    leader: dict = {}
+    for s, o in zip(found, owner, strict=True):
+        leader[s] = min(leader.get(s, keys[o]), keys[o])
+    want = {(int(leader[s]), int(keys[o])) for s, o in zip(found, owner, strict=True) if leader[s] != keys[o]}
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20)
+    try:
+        docs = documents(spark, texts).repartition(4)
+        assert {(r.leader, r.member) for r in m.star_pairs(docs, likeness, 3).collect()} >= want
+        check(m.near_duplicates(docs), dict(enumerate(texts)))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
