@@ -1,10 +1,11 @@
 """Language-model scores of documents: a byte-context trie (ppm.py) beside a smoothed unigram model.
 
 Both learn from the same texts in one pass that counts words and byte grams per task and adds them up
-in one shuffle. The trie codes the lower-cased words, one blank between them, and an end. Its counts are
-sent to every task as arrays; TRIE_LEAVES bounds them, keeping the most frequent longest contexts with
-their symbols. Word counts stay a table: the HEAD_WORDS most frequent are sent to every task, the
-others are joined, so any vocabulary is scored exactly.
+in one shuffle. The trie codes the lower-cased words, one blank between them, and an end. Up to
+TRIE_LEAVES distinct grams, the whole trie is sent to every task as arrays. Beyond, counts of all orders
+stay tables: the TRIE_LEAVES most frequent grams are sent with their final values, the other grams of
+the scored texts are joined. Word counts stay a table, too: the HEAD_WORDS most frequent are sent to
+every task, the others are joined. So any vocabulary and any number of grams is scored exactly.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartlayers.llm.common import SharedArrays, key_text, map_tables, stored, table
-from cartlayers.llm.ppm import EDGE, ORDER, ByteTrie, Model, grams
+from cartlayers.llm.ppm import EDGE, ORDER, SYMBOLS, ByteTrie, Model, grams
 from cartlayers.llm.tables import Tally, hash_table, look_up
 from cartlayers.llm.words import NOT_SPACE, Words, chunks, expand, text_bytes
 
@@ -95,14 +96,96 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
     return found.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
+#: Orders of at most 65,536 symbols in context, kept apart from the longer ones.
+SHORT_ORDER = 1
+
+
+def _low_bits(column, bits: int):
+    return column.bitwiseAND(F.lit((1 << bits) - 1))
+
+
+@dataclass(frozen=True)
+class TrieTables:
+    """The whole trie as tables, by order: (order, code, n) and (order, context, total, distinct, free, kinds).
+
+    `free` and `kinds` are what a context leaves of the next shorter one once its symbols are excluded.
+    """
+
+    codes: DataFrame
+    contexts: DataFrame
+    symbols: int
+
+    @staticmethod
+    def build(leaves: DataFrame) -> TrieTables:
+        """From (key, n) of all distinct grams."""
+        order = F.explode(F.array(*[F.struct(F.lit(o).alias("order"), _low_bits(F.col("key"), 8 * (o + 1)).alias("code")) for o in range(ORDER + 1)]))
+        codes = leaves.select(order.alias("c"), "n").groupBy("c.order", "c.code").agg(F.sum("n").alias("n"))
+        codes = stored(codes)
+        kept = F.element_at(F.array(*[F.lit((1 << 8 * o) - 1) for o in range(ORDER + 1)]), F.col("order") + 1)
+        shorter = codes.select((F.col("order") + 1).alias("order"), F.col("code").alias("lower"), F.col("n").alias("taken"))
+        own = codes.withColumn("lower", F.col("code").bitwiseAND(kept)).join(shorter, ["order", "lower"], "left")
+        sums = stored(
+            own.groupBy("order", F.shiftright("code", 8).alias("context")).agg(
+                F.sum("n").alias("total"), F.count("*").alias("distinct"), F.sum("taken").alias("taken")
+            )
+        )
+        above = F.element_at(F.array(F.lit(0), *[F.lit((1 << 8 * o) - 1) for o in range(ORDER)]), F.col("order") + 1)
+        parents = sums.select(
+            (F.col("order") + 1).alias("order"), F.col("context").alias("parent"),
+            F.col("total").alias("all"), F.col("distinct").alias("sorts"),
+        )
+        contexts = sums.withColumn("parent", F.col("context").bitwiseAND(above)).join(parents, ["order", "parent"], "left")
+        contexts = contexts.select(
+            "order", "context", "total", "distinct",
+            (F.col("all") - F.col("taken")).alias("free"), (F.col("sorts") - F.col("distinct")).alias("kinds"),
+        )
+        return TrieTables(codes, stored(contexts), codes.where("order = 0").count())
+
+    def frequent(self, most: int) -> DataFrame:
+        """(key, value): the log10 probability of the most frequent grams."""
+        head = self.codes.where(F.col("order") == ORDER).orderBy(F.desc("n"), "code").limit(most)
+        longest = self.contexts.where(F.col("order") == ORDER).select("context", "total", "distinct")
+        value = F.log10(F.col("n") / (F.col("total") + F.col("distinct")))
+        return head.withColumn("context", F.shiftright("code", 8)).join(longest, "context").select(F.col("code").alias("key"), value.alias("value"))
+
+    def values(self, asked: DataFrame) -> DataFrame:
+        """(key, value): the log10 probability of each distinct gram `key`, as Model.log10 gives it."""
+        order = F.explode(F.array(*[F.struct(F.lit(o).alias("order"), _low_bits(F.col("key"), 8 * (o + 1)).alias("code")) for o in range(ORDER + 1)]))
+        rows = asked.select("key", order.alias("c")).select("key", "c.order", "c.code", F.shiftright("c.code", 8).alias("context"))
+        parts = []
+        # few short contexts are shared by all grams: apart, their tables are small
+        for of_length in (F.col("order") <= SHORT_ORDER, F.col("order") > SHORT_ORDER):
+            codes, contexts = stored(self.codes.where(of_length)), stored(self.contexts.where(of_length))
+            parts.append(rows.where(of_length).join(codes, ["order", "code"], "left").join(contexts, ["order", "context"], "left"))
+        found = F.struct("n", "total", "distinct", "free", "kinds")
+        wide = parts[0].unionByName(parts[1]).groupBy("key").agg(
+            *[F.max(F.when(F.col("order") == o, found)).alias(f"o{o}") for o in range(ORDER + 1)]
+        )
+        value = F.lit(0.0)
+        for o in range(ORDER, -1, -1):
+            left, sorts = F.col(f"o{o}.total"), F.col(f"o{o}.distinct")
+            longer = F.lit(False)
+            if o < ORDER:
+                left, sorts = F.coalesce(f"o{o + 1}.free", left), F.coalesce(f"o{o + 1}.kinds", sorts)
+                longer = F.col(f"o{o + 1}.n").isNotNull()
+            term = F.when(longer, 0.0).when(F.col(f"o{o}.n").isNotNull(), F.log10(F.col(f"o{o}.n") / (left + sorts)))
+            value = value + term.when(sorts > 0, F.log10(sorts / (left + sorts))).otherwise(0.0)
+        never = F.lit(math.log10(max(1, SYMBOLS - self.symbols)))
+        return wide.select("key", (value - F.when(F.col("o0.n").isNull(), never).otherwise(0.0)).alias("value"))
+
+
 @dataclass(frozen=True)
 class Scorer:
-    """A learned model: word counts as a table, their head and the trie as arrays for tasks."""
+    """A learned model: word counts as a table, their head and the trie as arrays for tasks.
+
+    `trie` is given if the trie is larger; the arrays then hold its most frequent grams only.
+    """
 
     words: DataFrame
     train_tokens: int
     vocabulary: int
     arrays: SharedArrays
+    trie: TrieTables | None = None
 
     def log10(self, count):
         """Smoothed log probability of a token that occurs `count` times, for a Column."""
@@ -128,11 +211,17 @@ def learn(texts: DataFrame) -> Scorer:
     whole = tokens + SMOOTHING * (vocabulary + 1)
     keys, n = _arrow_keys(words.orderBy(F.desc("n"), "key").limit(HEAD_WORDS).toArrow())
     places, values = hash_table(keys, np.log10((n + SMOOTHING) / whole))
-    leaves = counts.where("kind = 'g'").orderBy(F.desc("n"), "key").limit(TRIE_LEAVES).select("key", "n")
-    trie = Model.build(*_arrow_keys(leaves.toArrow()))
+    leaves, tables = counts.where("kind = 'g'").select("key", "n"), None
+    if sums.get("g", (0, 0))[1] <= TRIE_LEAVES:
+        trie = Model.build(*_arrow_keys(leaves.toArrow()))
+    else:
+        tables = TrieTables.build(leaves)
+        head = tables.frequent(TRIE_LEAVES).toArrow()
+        places_of, values_of = hash_table(head.column("key").to_numpy().view(np.uint64), head.column("value").to_numpy())
+        trie = {"places": places_of, "values": values_of}
     end = np.array([math.log10((n_texts + SMOOTHING) / whole), float(n_texts > 0)])
     arrays = SharedArrays.send(spark, head_places=places, head_values=values, end=end, **trie)
-    return Scorer(words, tokens, vocabulary, arrays)
+    return Scorer(words, tokens, vocabulary, arrays, tables)
 
 
 def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
@@ -143,7 +232,7 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
     1/256. Columns with these names are replaced.
     """
     names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    kept, shared = docs.drop(*names), scorer.arrays
+    kept, shared, whole = docs.drop(*names), scorer.arrays, scorer.trie is None
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = shared.open()
@@ -153,6 +242,12 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
                 hashes = words.hashes()
                 value, known = look_up(arrays["head_places"], arrays["head_values"], hashes)
                 codes, text = _text_grams(words)
+                if whole:
+                    logs, open_ = model.log10(codes), np.zeros(0, dtype=np.int64)
+                else:
+                    logs, there = look_up(arrays["places"], arrays["values"], codes)
+                    logs, open_ = np.where(there, logs, 0.0), np.flatnonzero(~there)
+                by_gram = np.concatenate([[0], np.cumsum(np.bincount(text[open_], minlength=words.texts))])
                 rare = np.flatnonzero(~known)
                 by_text = np.concatenate([[0], np.cumsum(np.bincount(words.of[rare], minlength=words.texts))])
                 added = [
@@ -160,14 +255,15 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
                     pa.array(words.counts + 1),
                     pa.array(np.bincount(words.of[known], minlength=words.texts) + int(arrays["end"][1])),
                     pa.array(np.bincount(words.of[known], weights=value[known], minlength=words.texts) + arrays["end"][0]),
-                    pa.array(np.bincount(text, weights=model.log10(codes), minlength=words.texts)),
+                    pa.array(np.bincount(text, weights=logs, minlength=words.texts)),
                     pa.ListArray.from_arrays(pa.array(by_text.astype(np.int32)), pa.array(hashes[rare].view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(by_gram.astype(np.int32)), pa.array(codes[open_].view(np.int64))),
                 ]
                 n += words.texts
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(part.drop_columns(["text"]).columns + added, columns)
 
-    more = "_score_row long, n_tokens long, n_known long, base_score double, score double, _score_rare array<long>"
+    more = "_score_row long, n_tokens long, n_known long, base_score double, score double, _score_rare array<long>, _score_open array<long>"
     schema = kept.drop("text").schema
     schema = T.StructType(schema.fields + T.StructType.fromDDL(more).fields)
     columns = schema.names
@@ -177,13 +273,21 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("_known"),
         F.sum(F.col("times") * scorer.log10(F.coalesce("n", F.lit(0)))).alias("_base"),
     )
-    return first.join(found, "_score_row", "left").select(
+    first = first.join(found, "_score_row", "left")
+    value = F.col("score")
+    if not whole:
+        asked = first.select("_score_row", F.explode("_score_open").alias("key")).groupBy("_score_row", "key").agg(F.count("*").alias("times"))
+        values = scorer.trie.values(asked.select("key").distinct())
+        logs = asked.join(values, "key").groupBy("_score_row").agg(F.sum(F.col("times") * F.col("value")).alias("_open"))
+        first = first.join(logs, "_score_row", "left")
+        value = value + F.coalesce("_open", F.lit(0.0))
+    return first.select(
         *[c for c in kept.columns if c != "text"],
         "n_tokens",
         (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
         F.lit(scorer.train_tokens).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("_base", F.lit(0.0))).alias("base_score"),
-        "score",
+        value.alias("score"),
     )
 
 

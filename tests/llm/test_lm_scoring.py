@@ -94,3 +94,12 @@ def test_adaptive_scores(spark):
     rows = m.adaptive_scores(documents(spark, ["aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "qwertyuiopasdfghjklzxcvbnm123456", None])).collect()
     repeated, varied, empty = (r.score for r in sorted(rows, key=lambda r: r.doc_id))
     assert varied < repeated < empty < 0
+
+
+@pytest.mark.parametrize("leaves", [1, 25])
+def test_more_grams_than_tasks_hold_are_scored_exactly(spark, monkeypatch, leaves):
+    monkeypatch.setattr(m, "TRIE_LEAVES", leaves)
+    train = ["the cat sat on the mat", "the dog sat", "a  CAT\tand a dog", None, "", "the the the", "зверь"]
+    texts = [*train, "unseen words here", "the zebra \U0001f389 sat", "x" * 300, "звезда"]
+    scorer = m.learn(documents(spark, train))
+    check(m.score(documents(spark, texts), scorer).collect(), train, texts)
