@@ -6,8 +6,9 @@ the templates below and from a bounded sample of the texts' own paragraphs. Its
 calibrated by a temperature on variants it has not seen; a family below LEAST_PROBABILITY is unknown.
 A predicted family counts as confirmed if the paragraph shares enough n-grams with one of its templates.
 
-Scanning is one projection without a shuffle: paragraphs (lines) without an anchor, a word that only
-licence notices have, are "none"; for the others the model is a constant of the expression.
+Scanning is one projection without a shuffle; the model is a constant of the expression. Paragraphs
+(lines) without a telling word are "none" without scoring: those words are chosen after training so that
+the n-grams of all other words together cannot lift any family above "none". The gate so only saves time.
 """
 
 from __future__ import annotations
@@ -29,25 +30,30 @@ TEMPLATES = {
     "agpl-3.0": ["Licensed under the GNU Affero General Public License, version 3."],
     "all-rights-reserved": ["All rights reserved.", "Copyright by the author. All rights reserved."],
     "apache-2.0": [
+        "Released under Apache 2.0.",
+        "SPDX-License-Identifier: Apache-2.0",
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
     ],
     "bsd-3-clause": [
         "Released under the BSD 3-Clause License.",
+        "SPDX-License-Identifier: BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
     ],
     "cc-by-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "cc-by-nc-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "cc-by-sa-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "cc0-1.0": ["Dedicated to the public domain under CC0 1.0."],
-    "gpl-2.0": ["This program is licensed under the GNU General Public License, version 2."],
+    "gpl-2.0": ["This program is licensed under the GNU General Public License, version 2.", "GNU GPLv2 or later"],
     "gpl-3.0": [
+        "GNU GPLv3 or later",
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it under the terms of the GNU General Public License, version 3.",
     ],
     "lgpl-3.0": ["Licensed under the GNU Lesser General Public License, version 3."],
     "mit": [
         "Released under the MIT License.",
+        "SPDX-License-Identifier: MIT",
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software, to deal in the software without restriction.",
     ],
@@ -73,13 +79,22 @@ def words_of(paragraph: Column) -> Column:
     return F.regexp_extract_all(F.lower(paragraph), F.lit(WORD), F.lit(0))
 
 
+def _bound(value: Column, function) -> Column:
+    """function(value), with the value computed once however often the function names it."""
+    return F.element_at(F.transform(F.array(value), function), 1)
+
+
 def ngrams_of(words: Column) -> Column:
     """Distinct words and pairs of neighbours."""
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.size(words) - 1),
-        lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)),
-    )
-    return F.array_distinct(F.concat(words, F.when(F.size(words) > 1, pairs).otherwise(F.expr("cast(array() as array<string>)"))))
+
+    def both(own: Column) -> Column:
+        pairs = F.transform(
+            F.sequence(F.lit(1), F.size(own) - 1),
+            lambda i: F.concat_ws(" ", F.element_at(own, i), F.element_at(own, i + 1)),
+        )
+        return F.array_distinct(F.concat(own, F.when(F.size(own) > 1, pairs).otherwise(F.expr("cast(array() as array<string>)"))))
+
+    return _bound(words, both)
 
 
 def _plain_ngrams(text: str) -> list[str]:
@@ -106,13 +121,32 @@ def _variants(spark: SparkSession) -> DataFrame:
     return left_out.unionByName(amid).where(F.size("words") > 0)
 
 
-def _anchors() -> list[str]:
-    """Words of which every notice has one; names that are also ordinary words (mit, apache) do not count."""
-    return sorted({"license", "licensed", "licence", "licenced", "copyright", "rights", "permission", "redistribution",
-                   "redistribute", "gpl", "lgpl", "agpl", "mpl", "cc0", "domain"})
+#: Lines that are no ordinary paragraphs to learn from: they may be notices.
+NOTICE = (
+    r"(?i)(?<![a-z0-9])(?:licen[cs]\w*|copyright|rights|permission|redistribut\w*|[al]?gpl\w*|mpl|cc0|domain|gnu|bsd|mozilla|spdx"
+    r"|creative commons|cc[ -]by|apache[ -][0-9]|under (?:the )?(?:mit|apache))(?![a-z0-9])"
+)
 
+def telling_words(weights: dict[str, list[float]], intercepts: list[float], none: int, common: list[str]) -> list[str]:
+    """Vocabulary words of which every paragraph has one that is not "none".
 
-ANCHOR = r"(?i)(?<![a-z0-9])(?:" + "|".join(_anchors()) + r")(?![a-z0-9])"
+    Words are left out, the most common first, as long as all n-grams of left-out words together, each
+    counted where it helps a family against "none", keep every family below "none". Empty if even no
+    n-gram at all is not "none", as it is without ordinary paragraphs to learn from.
+    """
+    words = {g for g in weights if " " not in g}
+    ahead = [b - intercepts[none] for i, b in enumerate(intercepts) if i != none]
+    if max(ahead) >= 0:
+        return []
+    helps = {g: [max(0.0, x - w[none]) for i, x in enumerate(w) if i != none] for g, w in weights.items()}
+    left_out: set[str] = set()
+    for word in common:
+        more = [g for g in weights if word in g.split() and left_out.issuperset(set(g.split()) - {word})]
+        tried = [a + sum(helps[g][i] for g in more) for i, a in enumerate(ahead)]
+        if max(tried) < -1e-6:
+            ahead = tried
+            left_out.add(word)
+    return sorted(words - left_out)
 
 
 @dataclass(frozen=True)
@@ -122,6 +156,15 @@ class Classifier:
     weights: dict[str, list[float]]
     intercepts: list[float]
     temperature: float
+    #: Every paragraph that is not "none" has one of these words; if empty, NOTICE decides what is scored.
+    telling: list[str]
+
+    @property
+    def gate(self) -> str:
+        """Finds paragraphs with a telling word, also where it is a part of a longer word."""
+        if not self.telling:
+            return NOTICE
+        return r"(?i)(?<![a-z0-9])(?:" + "|".join(map(re.escape, self.telling)) + r")(?![a-z0-9])"
 
 
 def train(docs: DataFrame) -> Classifier:
@@ -129,7 +172,7 @@ def train(docs: DataFrame) -> Classifier:
     spark = docs.sparkSession
     sampled = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
     sampled = sampled.orderBy(F.xxhash64(F.col("doc_id").cast("string")), F.xxhash64("text")).limit(MOST_ORDINARY)
-    lines = sampled.select(F.explode(F.split("text", "\n")).alias("line")).where(~F.col("line").rlike(ANCHOR)).distinct()
+    lines = sampled.select(F.explode(F.split("text", "\n")).alias("line")).where(~F.col("line").rlike(NOTICE)).distinct()
     ordinary = lines.orderBy(F.xxhash64("line"), "line").limit(MOST_ORDINARY)
     ordinary = ordinary.select(F.lit(NONE).alias("label"), words_of(F.col("line")).alias("words"), F.lit(False).alias("held"))
     labels = [*TEMPLATES, UNKNOWN, NONE]
@@ -157,7 +200,11 @@ def train(docs: DataFrame) -> Classifier:
     rows.unpersist()
     best = min(range(len(TEMPERATURES)), key=lambda i: losses[i])
     weights = {g: [float(x) for x in matrix[:, i]] for i, g in enumerate(vocabulary)}
-    return Classifier(labels, weights, [float(x) for x in model.interceptVector.toArray()], TEMPERATURES[best])
+    intercepts = [float(x) for x in model.interceptVector.toArray()]
+    seen = ordinary.select(F.explode(F.array_distinct("words")).alias("word")).where(F.col("word").isin([g for g in vocabulary if " " not in g]))
+    common = [r.word for r in seen.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").collect()]
+    telling = telling_words(weights, intercepts, labels.index(NONE), common)
+    return Classifier(labels, weights, intercepts, TEMPERATURES[best], telling)
 
 
 def _constant(value, schema: str) -> Column:
@@ -178,14 +225,14 @@ def scan(docs: DataFrame, classifier: Classifier) -> DataFrame:
     templates = _constant(grams, "map<string,array<array<string>>>")
 
     def scored(line: Column) -> Column:
-        ngrams = ngrams_of(words_of(line.text))
-
         def add(total: Column, gram: Column) -> Column:
             more = F.try_element_at(weights, gram)
             return F.when(more.isNull(), total).otherwise(F.zip_with(total, more, lambda a, b: a + b))
 
-        raw = F.aggregate(ngrams, intercepts, add)
-        return F.struct(line.at.alias("at"), ngrams.alias("ngrams"), raw.alias("raw"))
+        def summed(ngrams: Column) -> Column:
+            return F.struct(line.at.alias("at"), ngrams.alias("ngrams"), F.aggregate(ngrams, intercepts, add).alias("raw"))
+
+        return _bound(ngrams_of(words_of(line.text)), summed)
 
     def judged(line: Column) -> Column:
         top = F.array_max(line.raw)
@@ -208,10 +255,10 @@ def scan(docs: DataFrame, classifier: Classifier) -> DataFrame:
         )
 
     lines = F.transform(F.split("text", "\n"), lambda line, i: F.struct(i.alias("at"), line.alias("text")))
-    anchored = F.filter(lines, lambda line: line.text.rlike(ANCHOR))
-    found = F.filter(F.transform(F.transform(anchored, scored), judged), lambda n: n.family != NONE)
+    passed = F.filter(lines, lambda line: line.text.rlike(classifier.gate))
+    found = F.filter(F.transform(F.transform(passed, scored), judged), lambda n: n.family != NONE)
     none = F.expr("cast(array() as array<struct<paragraph:int,family:string,probability:double,similarity:double,confirmed:boolean>>)")
-    return docs.withColumn("notices", F.when(F.col("text").rlike(ANCHOR), found).otherwise(none))
+    return docs.withColumn("notices", F.when(F.col("text").rlike(classifier.gate), found).otherwise(none))
 
 
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -54,3 +54,32 @@ def test_no_python_in_the_plan(spark):
     docs = documents(spark, TEXTS)
     plan = m.scan(docs, m.train(docs))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+SHORT = {
+    "Released under Apache 2.0.": "apache-2.0",
+    "Distributed under CC BY-SA 4.0.": "cc-by-sa-4.0",
+    "Released under the BSD 3-Clause.": "bsd-3-clause",
+    "Creative Commons Attribution-NonCommercial 4.0": "cc-by-nc-4.0",
+    "GNU GPLv3 or later": "gpl-3.0",
+    "Apache-2.0": "apache-2.0",
+    "SPDX: MIT": "mit",
+}
+
+
+def test_short_notices_are_not_lost(spark):
+    docs = documents(spark, [*SHORT, *(prose(i, 30) for i in range(30))])
+    found = {r.text: [n.family for n in r.notices] for r in m.scan(docs, m.train(docs)).collect()}
+    assert {t: found[t] for t in SHORT} == {t: [f] for t, f in SHORT.items()}
+
+
+def test_the_gate_changes_nothing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    classifier = m.train(docs)
+    words = sorted({g for g in classifier.weights if " " not in g})
+    assert len(classifier.telling) < len(words)
+    lines = [*SHORT, *TEXTS, " ".join(w for w in words if w not in classifier.telling)]
+    every = docs.unionByName(documents(spark, lines).select("doc_id", "text"))
+    whole = m.Classifier(classifier.labels, classifier.weights, classifier.intercepts, classifier.temperature, words)
+    of = lambda c: sorted((r.doc_id, r.text or "", r.notices) for r in m.scan(every, c).collect())
+    assert of(classifier) == of(whole)
