@@ -15,16 +15,12 @@ from pyspark.sql import functions as F
 from cartlayers.llm import bpe, contamination, jaccard_join, language_id, personal_data
 from cartlayers.llm.common import prepared, stored, table
 
-#: A text is rejected without a letter, or if its best cosine is not above noise (1024 dimensions).
-LEAST_LANGUAGE_SCORE = 0.02
-
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; those without a letter or unlike every language go."""
+    """Documents with a letter; only undetermined ones go, however unlike the learned languages a text is."""
     prepared(spark)
     found = language_id.identify(docs, language_id.profiles_of(docs))
-    sure = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return found.where(sure).select(docs.columns)
+    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

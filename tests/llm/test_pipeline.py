@@ -70,3 +70,10 @@ def test_connected_components(spark):
     want = {i: 0 for i in [*range(41), 100]} | {200: 200, 201: 200} | {i: 500 for i in range(500, 530)}
     assert got == want
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_unlike_every_language_stay(spark, folder):
+    odd = ["".join(chr(0x4E00 + (i * 7919 + j * 104729) % 20000) for j in range(12)) for i in range(60)]
+    docs = documents(spark, [*TEXTS, *odd])
+    kept = {r.text for r in p.keep_languages(spark, docs, folder).collect()}
+    assert kept >= set(odd) and "?! 12" not in kept
