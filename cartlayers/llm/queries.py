@@ -13,6 +13,7 @@ from cartlayers.llm.jaccard_join import op5_jaccard_join
 from cartlayers.llm.language_id import op1_language_id
 from cartlayers.llm.license_scan import op3_license_scan
 from cartlayers.llm.lm_scoring import op9_lm_scoring
+from cartlayers.llm.merkle import MERKLE_SQL, op12_merkle
 from cartlayers.llm.nearest import op2_nearest
 from cartlayers.llm.personal_data import op7_personal_data
 from cartlayers.llm.token_counts import TOKEN_COUNTS_SQL, op6_token_counts
@@ -29,8 +30,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_decontamination": op10_decontamination,
+    "op12_merkle": op12_merkle,
     "pipeline": corpus_pipeline.run,
 }
 
 #: The others are tested against brute force: SQL cannot express them, or not on whole tables.
-ORACLES: dict[str, str] = {"op4_warc_revisits": WARC_SQL, "op6_token_counts": TOKEN_COUNTS_SQL}
+ORACLES: dict[str, str] = {"op4_warc_revisits": WARC_SQL, "op6_token_counts": TOKEN_COUNTS_SQL, "op12_merkle": MERKLE_SQL}
