@@ -16,6 +16,7 @@ from cartlayers.llm.lm_scoring import op9_lm_scoring
 from cartlayers.llm.merkle import MERKLE_SQL, op12_merkle
 from cartlayers.llm.nearest import op2_nearest
 from cartlayers.llm.personal_data import op7_personal_data
+from cartlayers.llm.token_files import op11_token_files
 from cartlayers.llm.token_counts import TOKEN_COUNTS_SQL, op6_token_counts
 from cartlayers.llm.warc import WARC_SQL, op4_warc_revisits
 
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_decontamination": op10_decontamination,
+    "op11_token_files": op11_token_files,
     "op12_merkle": op12_merkle,
     "pipeline": corpus_pipeline.run,
 }
