@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from cartlayers.llm.bpe import op8_bpe
 from cartlayers.llm.contamination import op10_decontamination
+from cartlayers.llm.hard_negatives import HARD_NEGATIVES_SQL, op13_hard_negatives
 from cartlayers.llm.jaccard_join import op5_jaccard_join
 from cartlayers.llm.language_id import op1_language_id
 from cartlayers.llm.license_scan import op3_license_scan
@@ -33,8 +34,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
     "op11_token_files": op11_token_files,
     "op12_merkle": op12_merkle,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
 #: The others are tested against brute force: SQL cannot express them, or not on whole tables.
-ORACLES: dict[str, str] = {"op4_warc_revisits": WARC_SQL, "op6_token_counts": TOKEN_COUNTS_SQL, "op12_merkle": MERKLE_SQL}
+ORACLES: dict[str, str] = {
+    "op4_warc_revisits": WARC_SQL,
+    "op6_token_counts": TOKEN_COUNTS_SQL,
+    "op12_merkle": MERKLE_SQL,
+    "op13_hard_negatives": HARD_NEGATIVES_SQL,
+}
