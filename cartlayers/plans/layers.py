@@ -22,11 +22,11 @@ from cartlayers.session import pinned
 from cartlayers.settings import Settings
 from cartlayers.sources.landing import read_landing, with_audit
 from cartlayers.sources.tables import (
+    Pending,
     create_databases,
     drop_tables,
-    overwrite_table,
-    publish,
     read_table,
+    read_tables,
     stage,
 )
 
@@ -35,8 +35,8 @@ def new_run_id() -> str:
     return uuid.uuid4().hex
 
 
-def ingest(spark: SparkSession, settings: Settings, spec: TableSpec) -> int:
-    """Store one landing file as a raw table and return how many rows were read from it.
+def ingest(spark: SparkSession, settings: Settings, spec: TableSpec, pending: Pending) -> int:
+    """Store one landing file as a raw table of the run and return how many rows were read from it.
 
     The count is observed while the rows are written, so the text is parsed once. The write is a
     single stage without a shuffle, whose tasks report their count once however often they run.
@@ -45,7 +45,7 @@ def ingest(spark: SparkSession, settings: Settings, spec: TableSpec) -> int:
     seen = Observation()
     counted = source.observe(seen, F.count(F.lit(1)).alias("rows"))
     audited = with_audit(counted, settings.landing_file(spec.file))
-    overwrite_table(audited, settings, "bronze", spec.name)
+    pending.write(spec.name, audited)
     return seen.get["rows"]
 
 
@@ -65,7 +65,9 @@ def run_bronze(
     run_id = run_id or new_run_id()
     with pinned(spark):
         create_databases(spark, settings)
-        rows = {name: ingest(spark, settings, spec) for name, spec in TABLES.items()}
+        with Pending(spark, settings, "bronze", run_id) as pending:
+            rows = {name: ingest(spark, settings, spec, pending) for name, spec in TABLES.items()}
+            pending.publish()
         log_verdicts(bronze_checks(spark, settings, None if recount_source else rows), settings, run_id)
         if gate:
             enforce(spark.table(settings.log_table), "bronze", run_id)
@@ -77,12 +79,12 @@ def bronze_checks(
 ) -> DataFrame:
     """Rows of every stored table against its landing file, or against counts already known."""
     verdicts = []
+    loaded = read_tables(spark, settings, "bronze", TABLES)
     for name, spec in TABLES.items():
         source = observed[name] if observed else None
         if source is None:
             source = read_landing(spark, settings.landing_path(spec.file), spec.reader)
-        stored = read_table(spark, settings, "bronze", name)
-        verdicts.append(row_count_match(source, stored, "bronze", name))
+        verdicts.append(row_count_match(source, loaded[name], "bronze", name))
     return union_all(verdicts)
 
 
@@ -142,18 +144,21 @@ def _fetched(report: DataFrame) -> DataFrame:
 def run_silver(
     spark: SparkSession, settings: Settings, run_id: str | None = None, gate: bool = False
 ) -> CleaningReport:
-    """Clean and store every table, log the key and reference checks, report the changes."""
+    """Clean and store every table, log the key and reference checks, report the changes.
+
+    All tables become visible together, once they are checked; a gated run that fails changes none.
+    """
     run_id = run_id or new_run_id()
     with pinned(spark):
         create_databases(spark, settings)
-        raw = {name: read_table(spark, settings, "bronze", name) for name in TABLES}
-        for name, df in clean_all(raw).items():
-            overwrite_table(df, settings, "silver", name, replace_schema=True)
-        stored = {name: read_table(spark, settings, "silver", name) for name in TABLES}
-        log_verdicts(silver_checks(stored), settings, run_id)
-        report = CleaningReport(_fetched(typing_report(raw)), _fetched(dedup_summary(raw, stored)))
-        if gate:
-            enforce(spark.table(settings.log_table), "silver", run_id)
+        raw = read_tables(spark, settings, "bronze", TABLES)
+        with Pending(spark, settings, "silver", run_id) as pending:
+            stored = {name: pending.write(name, df) for name, df in clean_all(raw).items()}
+            log_verdicts(silver_checks(stored), settings, run_id)
+            report = CleaningReport(_fetched(typing_report(raw)), _fetched(dedup_summary(raw, stored)))
+            if gate:
+                enforce(spark.table(settings.log_table), "silver", run_id)
+            pending.publish()
     return report
 
 
@@ -167,37 +172,36 @@ def run_gold(
 ) -> dict[str, DataFrame]:
     """Build the business tables, log their checks, stop when one failed, publish the tables.
 
-    Until they are published the tables carry the run's id in their names. A gated run that fails
-    leaves the former tables in place, and no run leaves its own behind.
+    Readers see all new tables at once or, when a gated run fails or breaks off, none; no run leaves its
+    own behind.
     """
     run_id = run_id or new_run_id()
     with pinned(spark):
         create_databases(spark, settings)
-        silver = {name: read_table(spark, settings, "silver", name) for name in TABLES}
+        silver = read_tables(spark, settings, "silver", TABLES)
         orders, items, reviews = silver["orders"], silver["order_items"], silver["reviews"]
-        try:
-            # Two business tables start from the join of orders and items; it is computed once.
-            sales = stage(g.order_sales(orders, items), settings, "order_sales", run_id)
-            delivered = g.delivered_orders(orders)
-            tables = {
-                "receita_mensal": g.monthly_revenue_of(sales),
-                "receita_por_estado": g.revenue_by_state_of(sales, silver["customers"]),
-                "performance_entrega_mensal": g.delivery_performance(delivered),
-                "satisfacao_entrega": g.delivery_satisfaction(delivered, reviews),
-                "ranking_vendedores": g.seller_ranking(
-                    items, orders, silver["sellers"], reviews, min_orders, review_grain
-                ),
-            }
-            own = {name: stage(df, settings, name, run_id) for name, df in tables.items()}
+        with Pending(spark, settings, "gold", run_id) as pending:
+            try:
+                # Two business tables start from the join of orders and items; it is computed once.
+                sales = stage(g.order_sales(orders, items), settings, "order_sales", run_id)
+                delivered = g.delivered_orders(orders)
+                tables = {
+                    "receita_mensal": g.monthly_revenue_of(sales),
+                    "receita_por_estado": g.revenue_by_state_of(sales, silver["customers"]),
+                    "performance_entrega_mensal": g.delivery_performance(delivered),
+                    "satisfacao_entrega": g.delivery_satisfaction(delivered, reviews),
+                    "ranking_vendedores": g.seller_ranking(
+                        items, orders, silver["sellers"], reviews, min_orders, review_grain
+                    ),
+                }
+                own = {name: pending.write(name, df) for name, df in tables.items()}
+            finally:
+                drop_tables(spark, settings, "gold", ["order_sales"], run_id)
             log_verdicts(g.gold_checks(own, items, min_orders), settings, run_id)
             if gate:
                 enforce(spark.table(settings.log_table), "gold", run_id)
-            for name in tables:
-                publish(spark, settings, "gold", name, run_id)
-        finally:
-            drop_tables(spark, settings, "gold", ["order_sales", *g.PRESENTATION], run_id)
-    stored = {name: read_table(spark, settings, "gold", name) for name in tables}
-    return {name: g.present(name, df) for name, df in stored.items()}
+            pending.publish()
+    return {name: g.present(name, df) for name, df in read_tables(spark, settings, "gold", tables).items()}
 
 
 @dataclass(frozen=True)
@@ -242,7 +246,7 @@ def profile(spark: SparkSession, settings: Settings, layer: str = "silver") -> P
     reviews = read_table(spark, settings, "silver", "reviews")
     orders = read_table(spark, settings, "silver", "orders")
     return Profile(
-        {n: null_profile(read_table(spark, settings, "bronze", n), n) for n in TABLES},
+        {n: null_profile(df, n) for n, df in read_tables(spark, settings, "bronze", TABLES).items()},
         outside_range_count(reviews, "review_score", 1, 5),
         inconsistent_date_count(orders),
         log_summary(spark.table(settings.log_table), layer),

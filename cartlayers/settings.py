@@ -13,6 +13,7 @@ class Settings:
 
     `catalog` is optional: without it the three layers are databases of the session catalog.
     `file_prefix` goes in front of the landing file names that carry the data set's own prefix.
+    `storage_path` holds the files of all layers; without it each layer's are in its database's folder.
     """
 
     raw_path: str = "raw_files"
@@ -22,6 +23,7 @@ class Settings:
     silver: str = "silver"
     gold: str = "gold"
     table_format: str = "parquet"
+    storage_path: str | None = None
 
     def database(self, layer: str) -> str:
         name = {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}[layer]

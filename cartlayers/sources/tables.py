@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cartlayers.settings import Settings
+from cartlayers.sources.releases import Release, ReleaseStore, Stored, expose
 
 
 def create_databases(spark: SparkSession, settings: Settings) -> None:
@@ -14,18 +15,102 @@ def create_databases(spark: SparkSession, settings: Settings) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {settings.database(layer)}")
 
 
+def transactional(settings: Settings) -> bool:
+    """Whether the write format replaces a table in one step by itself."""
+    return settings.table_format == "delta"
+
+
 def read_table(spark: SparkSession, settings: Settings, layer: str, name: str) -> DataFrame:
-    return spark.table(settings.table(layer, name))
+    """A table as the current release has it, or as the catalog has it if no release does."""
+    return read_tables(spark, settings, layer, [name])[name]
+
+
+def read_tables(spark: SparkSession, settings: Settings, layer: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """Tables of one and the same release."""
+    release = store = None
+    if not transactional(settings):
+        store = ReleaseStore.of(spark, settings, layer)
+        release = store.current()
+    return {
+        n: store.open(release.tables[n]) if release and n in release.tables else spark.table(settings.table(layer, n))
+        for n in names
+    }
 
 
 def overwrite_table(
     df: DataFrame, settings: Settings, layer: str, name: str, replace_schema: bool = False
 ) -> None:
-    """Replace a managed table. Parquet replaces the schema too; Delta has to be told."""
-    writer = df.write.format(settings.table_format).mode("overwrite")
-    if replace_schema and settings.table_format == "delta":
-        writer = writer.option("overwriteSchema", "true")
-    writer.saveAsTable(settings.table(layer, name))
+    """Replace a table; its readers see the former rows until the new ones are complete.
+
+    Delta replaces the rows itself and has to be told to replace the schema too.
+    """
+    spark = df.sparkSession
+    if transactional(settings):
+        writer = df.write.format(settings.table_format).mode("overwrite")
+        if replace_schema:
+            writer = writer.option("overwriteSchema", "true")
+        writer.saveAsTable(settings.table(layer, name))
+        return
+    store = ReleaseStore.of(spark, settings, layer)
+    publish(spark, settings, layer, {name: store.write(df, name)})
+
+
+def publish(
+    spark: SparkSession, settings: Settings, layer: str, tables: Mapping[str, Stored], run_id: str = "", based_on: Release | None = None
+) -> Release:
+    """Release written tables together, then let the catalog follow."""
+    store = ReleaseStore.of(spark, settings, layer)
+    release = store.commit(tables, run_id, based_on)
+    expose(spark, settings, layer, store, Release(release.version, run_id, {n: release.tables[n] for n in tables}))
+    return release
+
+
+class Pending:
+    """Tables of a layer that a run writes, reads back and checks before anyone else sees them.
+
+    Use it in a `with` statement: what was not published when it ends is deleted.
+    """
+
+    def __init__(self, spark: SparkSession, settings: Settings, layer: str, run_id: str):
+        self.spark, self.settings, self.layer, self.run_id = spark, settings, layer, run_id
+        self.written: dict[str, Stored] = {}
+        self.drafts: dict[str, DataFrame] = {}
+        self.store = None if transactional(settings) else ReleaseStore.of(spark, settings, layer)
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Store a table and return its stored rows."""
+        if self.store is None:
+            table = self.settings.table(self.layer, run_name(name, self.run_id))
+            df.write.format(self.settings.table_format).mode("overwrite").saveAsTable(table)
+            self.drafts[name] = self.spark.table(table)
+        else:
+            self.written[name] = self.store.write(df, name)
+            self.drafts[name] = self.store.open(self.written[name])
+        return self.drafts[name]
+
+    def publish(self) -> None:
+        """Let readers see all tables; at once, if the layer has releases."""
+        if self.store is None:
+            for name, draft in self.drafts.items():
+                overwrite_table(draft, self.settings, self.layer, name, replace_schema=True)
+            return
+        written, self.written = self.written, {}
+        publish(self.spark, self.settings, self.layer, written, self.run_id)
+
+    def __enter__(self) -> Pending:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        if self.store is None:
+            drop_tables(self.spark, self.settings, self.layer, self.drafts, self.run_id)
+        else:
+            self.store.discard(self.written.values())
+
+
+def repair_catalog(spark: SparkSession, settings: Settings, layer: str) -> None:
+    """Point the catalog's tables at the current release, after a run that broke off while doing so."""
+    store = ReleaseStore.of(spark, settings, layer)
+    expose(spark, settings, layer, store, store.current())
 
 
 def append_table(df: DataFrame, settings: Settings, layer: str, name: str) -> None:
@@ -42,15 +127,9 @@ def stage(df: DataFrame, settings: Settings, name: str, run_id: str) -> DataFram
 
     It is a table beside the gold tables, on the same shared storage; `drop_tables` removes it.
     """
-    overwrite_table(df, settings, "gold", run_name(name, run_id))
-    return read_table(df.sparkSession, settings, "gold", run_name(name, run_id))
-
-
-def publish(spark: SparkSession, settings: Settings, layer: str, name: str, run_id: str) -> None:
-    """Put the table of a run in the place of the former one, by name only."""
-    spark.sql(f"DROP TABLE IF EXISTS {settings.table(layer, name)}")
-    own, final = settings.table(layer, run_name(name, run_id)), settings.table(layer, name)
-    spark.sql(f"ALTER TABLE {own} RENAME TO {final}")
+    table = settings.table("gold", run_name(name, run_id))
+    df.write.format(settings.table_format).mode("overwrite").saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
 def drop_tables(spark: SparkSession, settings: Settings, layer: str, names: Iterable[str], run_id: str) -> None:

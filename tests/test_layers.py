@@ -23,7 +23,7 @@ from cartlayers.registry import TABLES
 from cartlayers.session import pinned
 from cartlayers.settings import Settings
 from cartlayers.sources.landing import read_landing
-from cartlayers.sources.tables import drop_tables, overwrite_table, publish, read_table, stage
+from cartlayers.sources.tables import drop_tables, overwrite_table, read_table, stage
 from tests.landing import PREFIX, write_landing
 
 
@@ -381,8 +381,9 @@ def test_runs_stage_apart_from_each_other(spark, tmp_path):
     first = stage(spark.range(3).toDF("n"), settings, "numbers", "run-1")
     second = stage(spark.range(5).toDF("n"), settings, "numbers", "run-2")
     assert (first.count(), second.count()) == (3, 5)
-    publish(spark, settings, "gold", "numbers", "run-2")
-    drop_tables(spark, settings, "gold", ["numbers"], "run-1")
+    overwrite_table(second, settings, "gold", "numbers")
+    for run_id in ("run-1", "run-2"):
+        drop_tables(spark, settings, "gold", ["numbers"], run_id)
     assert [t.name for t in spark.catalog.listTables(settings.gold)] == ["numbers"]
     assert read_table(spark, settings, "gold", "numbers").count() == 5
 
