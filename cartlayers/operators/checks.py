@@ -1,7 +1,7 @@
 """Quality checks.
 
 A check is a one-row (or few-row) DataFrame of verdicts, computed in Spark and not fetched to the
-driver. A layer unions its verdicts and appends them to the log in one write.
+driver. A layer unions its verdicts and puts them into the log in one write.
 """
 
 from __future__ import annotations
@@ -17,12 +17,15 @@ from cartlayers.operators.combine import union_all
 from cartlayers.operators.dedup import key_counts
 from cartlayers.operators.references import orphan_count
 from cartlayers.settings import LOG_TABLE, Settings
-from cartlayers.sources.tables import append_table
+from cartlayers.sources.tables import replace_batch
 
 # The two states a check can have in the log.
 PASSED = "PASSOU"
 FAILED = "FALHOU"
 
+#: Run of checks that were recorded outside of any.
+NO_RUN = "-"
+
 VERDICT_COLUMNS = ("camada", "tabela", "checagem", "status", "detalhe")
 
 
@@ -297,13 +300,21 @@ def stamp(verdicts: DataFrame, run_id: str) -> DataFrame:
     return verdicts.select(
         *VERDICT_COLUMNS,
         F.current_timestamp().alias("timestamp"),
-        F.lit(run_id).alias("run_id"),
+        F.lit(run_id or NO_RUN).alias("run_id"),
     )
 
 
-def log_verdicts(verdicts: DataFrame, settings: Settings, run_id: str) -> None:
-    """Append the verdicts of a layer to the log as one small file."""
-    append_table(stamp(verdicts, run_id).coalesce(1), settings, "gold", LOG_TABLE)
+def log_verdicts(
+    verdicts: DataFrame, settings: Settings, run_id: str, layer: str, batch: str | None = None
+) -> None:
+    """Put the verdicts of a layer into the log as one small file.
+
+    The log is partitioned by run and batch (the layer, unless named otherwise), and a batch is replaced as
+    a whole: a run that is repeated under its id leaves one set of verdicts, not two.
+    """
+    replace_batch(
+        stamp(verdicts, run_id).coalesce(1), settings, "gold", LOG_TABLE, run_id=run_id or NO_RUN, lote=batch or layer
+    )
 
 
 def record_check(
@@ -316,18 +327,18 @@ def record_check(
     detail: str = "",
     run_id: str = "",
 ) -> None:
-    """Append a single check whose outcome the caller already knows."""
+    """Log a single check whose outcome the caller already knows; a repetition replaces it."""
     row = spark.createDataFrame(
         [(layer, table, check, status, detail)], ", ".join(f"{c} string" for c in VERDICT_COLUMNS)
     )
-    log_verdicts(row, settings, run_id)
+    log_verdicts(row, settings, run_id, layer, f"{layer}/{table}/{check}")
 
 
 def _log_rows(log: DataFrame, layer: str | None, run_id: str | None) -> DataFrame:
     if layer is not None:
         log = log.filter(F.col("camada") == layer)
     if run_id is not None:
-        log = log.filter(F.col("run_id") == run_id)
+        log = log.filter(F.col("run_id") == (run_id or NO_RUN))
     return log
 
 

@@ -68,7 +68,7 @@ def run_bronze(
         with Pending(spark, settings, "bronze", run_id) as pending:
             rows = {name: ingest(spark, settings, spec, pending) for name, spec in TABLES.items()}
             pending.publish()
-        log_verdicts(bronze_checks(spark, settings, None if recount_source else rows), settings, run_id)
+        log_verdicts(bronze_checks(spark, settings, None if recount_source else rows), settings, run_id, "bronze")
         if gate:
             enforce(spark.table(settings.log_table), "bronze", run_id)
     return rows
@@ -154,7 +154,7 @@ def run_silver(
         raw = read_tables(spark, settings, "bronze", TABLES)
         with Pending(spark, settings, "silver", run_id) as pending:
             stored = {name: pending.write(name, df) for name, df in clean_all(raw).items()}
-            log_verdicts(silver_checks(stored), settings, run_id)
+            log_verdicts(silver_checks(stored), settings, run_id, "silver")
             report = CleaningReport(_fetched(typing_report(raw)), _fetched(dedup_summary(raw, stored)))
             if gate:
                 enforce(spark.table(settings.log_table), "silver", run_id)
@@ -197,7 +197,7 @@ def run_gold(
                 own = {name: pending.write(name, df) for name, df in tables.items()}
             finally:
                 drop_tables(spark, settings, "gold", ["order_sales"], run_id)
-            log_verdicts(g.gold_checks(own, items, min_orders), settings, run_id)
+            log_verdicts(g.gold_checks(own, items, min_orders), settings, run_id, "gold")
             if gate:
                 enforce(spark.table(settings.log_table), "gold", run_id)
             pending.publish()

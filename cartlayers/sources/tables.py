@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cartlayers.functions.text import literal, quoted
 from cartlayers.settings import Settings
 from cartlayers.sources.releases import Release, ReleaseStore, Stored, expose
 
@@ -117,6 +120,31 @@ def append_table(df: DataFrame, settings: Settings, layer: str, name: str) -> No
     df.write.format(settings.table_format).mode("append").saveAsTable(settings.table(layer, name))
 
 
+def replace_batch(df: DataFrame, settings: Settings, layer: str, name: str, **batch: str) -> None:
+    """Put rows into a table in the place of those of the same batch.
+
+    The table is partitioned by the columns that name the batch, which come last; `df` need not have them.
+    Writing the same batch again, after a failure or on purpose, leaves its rows once.
+    """
+    spark, table = df.sparkSession, settings.table(layer, name)
+    rows = df.drop(*batch).withColumns({c: F.lit(v) for c, v in batch.items()})
+    if transactional(settings):
+        same = " AND ".join(f"{c} = {literal(v)}" for c, v in batch.items())
+        writer = rows.write.format(settings.table_format).mode("overwrite").partitionBy(*batch)
+        writer.option("replaceWhere", same).saveAsTable(table)
+        return
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in rows.schema)
+    names = ", ".join(quoted(c) for c in batch)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {settings.table_format} PARTITIONED BY ({names})")
+    part = ", ".join(f"{quoted(c)} = {literal(v)}" for c, v in batch.items())
+    view = f"batch_{uuid.uuid4().hex}"
+    rows.drop(*batch).createTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({part}) SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def run_name(name: str, run_id: str) -> str:
     """Name of a table that belongs to one run until it is published."""
     return f"{name}__{''.join(c if c.isalnum() else '_' for c in run_id)}"

@@ -290,7 +290,7 @@ def test_gold_schemas(spark, clean_run):
 def test_log_holds_one_batch_per_layer(spark, clean_run):
     settings, run_id = clean_run
     log = spark.table(settings.log_table)
-    assert log.columns == ["camada", "tabela", "checagem", "status", "detalhe", "timestamp", "run_id"]
+    assert log.columns == ["camada", "tabela", "checagem", "status", "detalhe", "timestamp", "run_id", "lote"]
     counts = {r.camada: r["count"] for r in log.filter(F.col("run_id") == run_id).groupBy("camada").count().collect()}
     assert counts == {"bronze": 9, "silver": 13, "gold": 10}
     assert log.filter("status = 'FALHOU'").count() == 0
@@ -300,6 +300,21 @@ def test_log_holds_one_batch_per_layer(spark, clean_run):
     ]
 
 
+def test_a_repeated_run_has_one_set_of_verdicts(spark, tmp_path):
+    write_landing(tmp_path, dirty=False)
+    settings = make_settings(tmp_path, "twice")
+    for _ in range(2):
+        run_all(spark, settings, gate_layers=(), run_id="same id's")
+        for status in ("FALHOU", "PASSOU"):
+            record_check(spark, settings, "silver", "orders", "by hand", status, run_id="same id's")
+            record_check(spark, settings, "silver", "orders", "by hand", status)
+    log = spark.table(settings.log_table)
+    counts = {(r.run_id, r.camada): r["count"] for r in log.groupBy("run_id", "camada").count().collect()}
+    assert counts == {("same id's", "bronze"): 9, ("same id's", "silver"): 14, ("same id's", "gold"): 10, ("-", "silver"): 1}
+    enforce(log, "silver", "same id's")
+    enforce(log, "silver", "")
+
+
 def test_gold_run_replaces_tables_and_presents_them_sorted(spark, clean_run):
     settings, _ = clean_run
     shown = run_gold(spark, settings, "again", review_grain="order")
