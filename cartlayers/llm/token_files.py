@@ -16,10 +16,12 @@ other blocks by the statistics of `first`. What a payload holds is in rans.py.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
+from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -31,13 +33,13 @@ from pyspark.sql import functions as F
 from cartlayers.llm import rans
 from cartlayers.llm.common import SharedArrays, shared_folder, stored, table
 from cartlayers.llm.order import before
-from cartlayers.llm.words import chunks, expand, text_bytes
+from cartlayers.llm.words import chunks, text_bytes
 
 BLOCK_IDS = 1 << 16
 #: Ids that are encoded or decoded side by side.
 TOGETHER_IDS = 1 << 21
-#: Words whose ids a task remembers.
-REMEMBERED = 500_000
+#: Words whose ids a worker process remembers.
+REMEMBERED = 1_000_000
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 BLOCKS = "part int, block int, first long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary, crc long"
 
@@ -50,12 +52,26 @@ class _Numbers(dict):
         return n
 
 
+#: Words of which all letters are plain or Latin-1 ones: they are in normal form as they are.
+SIMPLE = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
+#: How the tokenizer cuts lower-cased text, for the characters of simple words.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+def byte_letters() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: b for b in own} | {b: 256 + i for i, b in enumerate(rest)}
+
+
 class WordIds:
     """Ids of texts by a tokenizer that never joins anything across ASCII white space.
 
     The file's tokenizer drops white space and splits there, after a normalization that no white space
     takes part in, so a text has the ids of its words, one after the other. Each different word goes
-    through the tokenizers library once. A text that is not UTF-8 has replacement characters.
+    through the tokenizers library once: simple ones are cut here and their pieces given to its model, all
+    others go through its whole pipeline. A text that is not UTF-8 has replacement characters.
     """
 
     def __init__(self, path: str):
@@ -65,11 +81,37 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(added) if added else r"(?!)")
+        self.letters = byte_letters()
         self._forget()
 
     def _forget(self) -> None:
         self.numbers, self.ids = _Numbers(), np.zeros(0, np.uint32)
-        self.counts = np.zeros(0, np.int64)
+        self.firsts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pieces: dict[str, list[int]] = {}
+
+    def _piece(self, piece: str) -> list[int]:
+        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        self.pieces[piece] = ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        return ids
+
+    def _words(self, words: list[str]) -> list[list[int]]:
+        found: list[list[int] | None] = [None] * len(words)
+        simple, special, cut, known = SIMPLE.fullmatch, self.special.search, PIECES.findall, self.pieces.get
+        other = []
+        for i, word in enumerate(words):
+            if simple(word) and not special(word):
+                ids: list[int] = []
+                for piece in cut(word.lower()):
+                    ids += known(piece) or self._piece(piece)
+                found[i] = ids
+            else:
+                other.append(i)
+        coded = self.tokenizer.encode_batch_fast([words[i] for i in other], add_special_tokens=False)
+        for i, encoding in zip(other, coded, strict=True):
+            found[i] = encoding.ids
+        return found
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
@@ -78,29 +120,42 @@ class WordIds:
         known = len(self.numbers)
         found = [np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)) for words in map(bytes.split, texts)]
         if len(self.numbers) > known:
-            new = [w.decode("utf-8", "replace") for w in islice(self.numbers, known, None)]
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            self.counts = np.concatenate([self.counts, np.array([len(c) for c in coded], np.int64)])
-            self.ids = np.concatenate([self.ids, np.array([i for c in coded for i in c], np.uint32)])
+            coded = self._words([w.decode("utf-8", "replace") for w in islice(self.numbers, known, None)])
+            self.counts = np.concatenate([self.counts, np.fromiter(map(len, coded), np.int64, len(coded))])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(coded), np.uint32)])
+            self.firsts = np.cumsum(self.counts) - self.counts
         numbers = np.concatenate([*found, np.zeros(0, np.int64)])
         many = self.counts[numbers]
-        word, place = expand(many)
-        ids = self.ids[(np.cumsum(self.counts) - self.counts)[numbers][word] + place]
+        ends = np.cumsum(many)
+        place = np.repeat(self.firsts[numbers] - ends + many, many)
+        place += np.arange(len(place))
         text = np.repeat(np.arange(len(texts)), [len(f) for f in found])
-        return ids, np.bincount(text, weights=many, minlength=len(texts)).astype(np.int64)
+        return self.ids[place], np.bincount(text, weights=many, minlength=len(texts)).astype(np.int64)
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """The encoder of a worker process, whose words later tasks of that process need not encode again."""
+    return WordIds(path)
+
+
+def width(tokenizer: str, end_id: int) -> str:
+    """The smallest type that holds all ids of a vocabulary."""
+    top = max(end_id, WordIds(tokenizer).tokenizer.get_vocab_size(with_added_tokens=True))
+    return "<u2" if top < 1 << 16 else "<u4"
 
 
-def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """doc_id, ids (bytes, four each) and their hash `tie`, from whole texts with the end id; null is empty."""
+def tokenized(docs: DataFrame, path: str, end_id: int, kind: str) -> DataFrame:
+    """doc_id, ids (bytes of the type `kind`) and their hash `tie`, from whole texts with the end id; null is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = WordIds(path), np.array([end_id], "<u4").tobytes()
+        encoder, end = word_ids(path), np.array([end_id], kind).tobytes()
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             for first, last in chunks(offsets, 4 << 20):
                 texts = [data[a:b].tobytes() for a, b in zip(offsets[first:last], offsets[first + 1 : last + 1], strict=True)]
                 ids, counts = encoder.encode(texts)
-                raw, cut = memoryview(ids.astype("<u4").tobytes()), np.concatenate([[0], np.cumsum(counts)]) * 4
+                raw, cut = memoryview(ids.astype(kind).tobytes()), np.concatenate([[0], np.cumsum(counts)]) * np.dtype(kind).itemsize
                 own = [bytes(raw[a:b]) + end for a, b in zip(cut, cut[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(own, pa.binary())], ["doc_id", "ids"])
 
@@ -108,14 +163,14 @@ def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     return kept.mapInArrow(run, "doc_id long, ids binary").withColumn("tie", F.xxhash64("ids"))
 
 
-def id_counts(tokens: DataFrame) -> DataFrame:
+def id_counts(tokens: DataFrame, kind: str) -> DataFrame:
     """id, n: how often each id occurs. A task gives off each id once per so many ids as there are different ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             data, _ = text_bytes(batch.column(0))
-            seen = np.bincount(np.frombuffer(data, "<u4"), minlength=len(total))
+            seen = np.bincount(np.frombuffer(data, kind), minlength=len(total))
             seen[: len(total)] += total
             total = seen
         ids = np.flatnonzero(total)
@@ -124,7 +179,7 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     return tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def _encoded(shared: SharedArrays, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encoded(shared: SharedArrays, kind: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of a part, whose documents come in order."""
     frequencies = rans.Table.of(shared.open()["freq"])
     part, block, first = TaskContext.get().partitionId(), 0, 0
@@ -151,7 +206,7 @@ def _encoded(shared: SharedArrays, batches: Iterator[pa.RecordBatch]) -> Iterato
     for batch in batches:
         data, offsets = text_bytes(batch.column("ids"))
         for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
-            ids = np.frombuffer(data[offsets[i] : offsets[i + 1]].tobytes(), "<u4")
+            ids = np.frombuffer(data[offsets[i] : offsets[i + 1]].tobytes(), kind)
             if not waiting or filled + len(ids) > BLOCK_IDS:
                 if held >= TOGETHER_IDS:
                     yield flush()
@@ -171,15 +226,16 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
     rows are documents each. A null text has the end id only. Other columns are ignored.
     """
     spark = docs.sparkSession
-    tokens = stored(tokenized(docs, tokenizer, end_id))
-    counted = id_counts(tokens).toArrow()
+    kind = width(tokenizer, end_id)
+    tokens = stored(tokenized(docs, tokenizer, end_id, kind))
+    counted = id_counts(tokens, kind).toArrow()
     counts = np.zeros(int(max(counted.column("id").to_pylist(), default=0)) + 1)
     counts[counted.column("id").to_numpy()] = counted.column("n").to_numpy()
     freq = rans.frequencies(counts)
     shared = SharedArrays.send(spark, freq=freq)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = tokens.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    ordered.select("doc_id", "ids").mapInArrow(lambda batches: _encoded(shared, batches), BLOCKS).write.parquet(f"{path}/blocks")
+    ordered.select("doc_id", "ids").mapInArrow(lambda batches: _encoded(shared, kind, batches), BLOCKS).write.parquet(f"{path}/blocks")
     totals = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
     before(totals.withColumn("all", F.lit(0)), "n_ids", ["all"]).drop("all").write.parquet(f"{path}/parts")
     used = np.flatnonzero(freq)

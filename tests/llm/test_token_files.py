@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -22,8 +23,13 @@ STRANGE = [
 ]
 
 
+@lru_cache
+def library() -> Tokenizer:
+    return Tokenizer.from_file(PATH)
+
+
 def library_ids(text) -> list[int]:
-    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids
+    return library().encode(text or "", add_special_tokens=False).ids
 
 
 def blocks_of(sizes, top, seed=3):
@@ -93,6 +99,12 @@ def test_words_have_the_ids_of_the_library():
     assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [library_ids(t) for t in texts]
 
 
+@settings(max_examples=300, deadline=None)
+@hypothetically(strategies.text(strategies.sampled_from(" \t\n'aAsStTlLdDmMrReEvV09.,<|>éÉÿßŸ×÷µªãǺ中ΑΣ\x1c\xa0\x00~"), max_size=25))
+def test_any_text_has_the_ids_of_the_library(text):
+    assert list(m.word_ids(PATH).encode([text.encode()])[0]) == library().encode(text, add_special_tokens=False).ids
+
+
 def test_forgotten_words_are_encoded_again(monkeypatch):
     monkeypatch.setattr(m, "REMEMBERED", 2)
     encoder = m.WordIds(PATH)
