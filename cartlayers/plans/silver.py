@@ -20,19 +20,34 @@ from cartlayers.operators.typing import apply_types
 from cartlayers.registry import TABLES, TableSpec
 
 
+def before_dedup(spec: TableSpec, raw: DataFrame) -> DataFrame:
+    """Typed rows, in the form in which copies are compared."""
+    df = apply_types(raw, spec.types)
+    return normalize_text(df, spec.lower, spec.upper) if spec.text_first else df
+
+
+def after_dedup(spec: TableSpec, kept: DataFrame) -> DataFrame:
+    """The cleaned table from the rows that were kept, row by row."""
+    df = fill_defaults(require(kept, spec.required), spec.defaults)
+    if not spec.text_first:
+        df = normalize_text(df, spec.lower, spec.upper)
+    return flag_inconsistent_dates(df) if spec.dated else df
+
+
+def changes_kept_rows(spec: TableSpec) -> bool:
+    """Whether `after_dedup` does anything for a table."""
+    folded = not spec.text_first and (spec.lower or spec.upper)
+    return bool(spec.required or spec.defaults or spec.dated or folded)
+
+
 def clean(spec: TableSpec, raw: DataFrame) -> DataFrame:
     """The cleaned table of one declaration, from its raw all-text table."""
-    df = apply_types(raw, spec.types)
     if spec.points:
-        return centroids(df)
-    if spec.text_first:
-        df = normalize_text(df, spec.lower, spec.upper)
+        return centroids(apply_types(raw, spec.types))
+    df = before_dedup(spec, raw)
     if spec.dedup_key:
         df = keep_first(df, spec.dedup_key, spec.dedup_order)
-    df = fill_defaults(require(df, spec.required), spec.defaults)
-    if not spec.text_first:
-        df = normalize_text(df, spec.lower, spec.upper)
-    return flag_inconsistent_dates(df) if spec.dated else df
+    return after_dedup(spec, df)
 
 
 def centroids(points: DataFrame) -> DataFrame:
