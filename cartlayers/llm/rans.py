@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-LANES = 32
+LANES = 64
 EVERY = 256
 #: Precision of the frequencies, where the number of different ids does not call for more.
 BITS = 20

@@ -15,13 +15,14 @@ other blocks by the statistics of `first`. What a payload holds is in rans.py.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -33,11 +34,11 @@ from pyspark.sql import functions as F
 from cartlayers.llm import rans
 from cartlayers.llm.common import SharedArrays, shared_folder, stored, table
 from cartlayers.llm.order import before
-from cartlayers.llm.words import chunks, text_bytes
+from cartlayers.llm.words import NOT_SPACE, Words, chunks, slice_hashes, text_bytes
 
 BLOCK_IDS = 1 << 16
 #: Ids that are encoded or decoded side by side.
-TOGETHER_IDS = 1 << 21
+TOGETHER_IDS = 1 << 22
 #: Words whose ids a worker process remembers.
 REMEMBERED = 1_000_000
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
@@ -45,9 +46,9 @@ BLOCKS = "part int, block int, first long, n_ids long, doc_ids array<long>, leng
 
 
 class _Numbers(dict):
-    """Words by their order of appearance."""
+    """Numbers of words, by their hashes, in order of appearance."""
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: int) -> int:
         self[word] = n = len(self)
         return n
 
@@ -69,9 +70,10 @@ class WordIds:
     """Ids of texts by a tokenizer that never joins anything across ASCII white space.
 
     The file's tokenizer drops white space and splits there, after a normalization that no white space
-    takes part in, so a text has the ids of its words, one after the other. Each different word goes
-    through the tokenizers library once: simple ones are cut here and their pieces given to its model, all
-    others go through its whole pipeline. A text that is not UTF-8 has replacement characters.
+    takes part in, so a text has the ids of its words, one after the other. Words are told apart by
+    64-bit hashes, and each different one goes through the tokenizers library once: simple ones are cut here
+    and their pieces given to its model, all others go through its whole pipeline. A text that is not UTF-8
+    has replacement characters.
     """
 
     def __init__(self, path: str):
@@ -83,17 +85,17 @@ class WordIds:
         self.tokenizer.no_padding()
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(added) if added else r"(?!)")
-        self.letters = byte_letters()
+        self.letters, self.model = byte_letters(), self.tokenizer.model
         self._forget()
 
     def _forget(self) -> None:
         self.numbers, self.ids = _Numbers(), np.zeros(0, np.uint32)
         self.firsts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> tuple[int, ...]:
         spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        self.pieces[piece] = ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        self.pieces[piece] = ids = tuple([t.id for t in self.model.tokenize(spelled)])
         return ids
 
     def _words(self, words: list[str]) -> list[list[int]]:
@@ -113,24 +115,36 @@ class WordIds:
             found[i] = encoding.ids
         return found
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and how many each text has."""
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of texts laid end to end, and how many each text has."""
         if len(self.numbers) > REMEMBERED:
             self._forget()
         known = len(self.numbers)
-        found = [np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)) for words in map(bytes.split, texts)]
+        words = Words(data, offsets, NOT_SPACE)
+        hashes, pick, which = np.unique(
+            slice_hashes(data, words.starts, words.ends), return_index=True, return_inverse=True
+        )
+        numbers = np.fromiter(map(self.numbers.__getitem__, hashes.tolist()), np.int64, len(hashes))
         if len(self.numbers) > known:
-            coded = self._words([w.decode("utf-8", "replace") for w in islice(self.numbers, known, None)])
+            first = np.empty(len(self.numbers) - known, dtype=np.int64)
+            new = numbers >= known
+            first[numbers[new] - known] = pick[new]
+            raw = data.tobytes()
+            ends = zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)
+            # there is nothing in a cycle, and looking for some takes longer than the words
+            gc.disable()
+            coded = self._words([raw[a:b].decode("utf-8", "replace") for a, b in ends])
+            gc.enable()
             self.counts = np.concatenate([self.counts, np.fromiter(map(len, coded), np.int64, len(coded))])
             self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(coded), np.uint32)])
             self.firsts = np.cumsum(self.counts) - self.counts
-        numbers = np.concatenate([*found, np.zeros(0, np.int64)])
+        numbers = numbers[which]
         many = self.counts[numbers]
         ends = np.cumsum(many)
         place = np.repeat(self.firsts[numbers] - ends + many, many)
         place += np.arange(len(place))
-        text = np.repeat(np.arange(len(texts)), [len(f) for f in found])
-        return self.ids[place], np.bincount(text, weights=many, minlength=len(texts)).astype(np.int64)
+        cut = np.concatenate([[0], ends])[words.first]
+        return self.ids[place], np.diff(cut)
 
 
 @lru_cache(maxsize=1)
@@ -152,9 +166,8 @@ def tokenized(docs: DataFrame, path: str, end_id: int, kind: str) -> DataFrame:
         encoder, end = word_ids(path), np.array([end_id], kind).tobytes()
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            for first, last in chunks(offsets, 4 << 20):
-                texts = [data[a:b].tobytes() for a, b in zip(offsets[first:last], offsets[first + 1 : last + 1], strict=True)]
-                ids, counts = encoder.encode(texts)
+            for first, last in chunks(offsets, 16 << 20):
+                ids, counts = encoder.encode(data[offsets[first] : offsets[last]], offsets[first : last + 1])
                 raw, cut = memoryview(ids.astype(kind).tobytes()), np.concatenate([[0], np.cumsum(counts)]) * np.dtype(kind).itemsize
                 own = [bytes(raw[a:b]) + end for a, b in zip(cut, cut[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(own, pa.binary())], ["doc_id", "ids"])
