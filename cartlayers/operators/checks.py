@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cartlayers.operators.combine import union_all
 from cartlayers.operators.dedup import key_counts
+from cartlayers.operators.fingerprint import content
 from cartlayers.operators.references import orphan_count
 from cartlayers.settings import LOG_TABLE, Settings
 from cartlayers.sources.tables import replace_batch
@@ -61,22 +63,50 @@ def _beside(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def row_count_match(
-    source: DataFrame | int, stored: DataFrame, layer: str, table: str
+    source: DataFrame | int,
+    stored: DataFrame,
+    layer: str,
+    table: str,
+    written: Decimal | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The stored table has as many rows as its source; the source may be an already known count."""
-    loaded = stored.agg(F.count(F.lit(1)).alias("gravado"))
+    """The stored table has as many rows as its source; the source may be an already known count.
+
+    With `written`, the fingerprint that the rows of the source had while they were written, the stored
+    `columns` must have the same content, so a lost, doubled or changed cell fails as well.
+    """
+    measures = [F.count(F.lit(1)).alias("gravado")]
+    if written is not None:
+        measures.append(content(columns or stored.columns).alias("conteudo"))
+    loaded = stored.agg(*measures)
     if isinstance(source, DataFrame):
         counts = _beside(source.agg(F.count(F.lit(1)).alias("origem")), loaded)
     else:
         counts = loaded.withColumn("origem", F.lit(source).cast("bigint"))
+    same = F.lit(True) if written is None else F.col("conteudo") == F.lit(written).cast("decimal(38,0)")
     return _verdict(
         counts,
         layer,
         table,
         "contagem_linhas_vs_origem",
-        F.col("origem") == F.col("gravado"),
-        F.concat(F.lit("origem="), _text("origem"), F.lit(", gravado="), _text("gravado")),
+        (F.col("origem") == F.col("gravado")) & same,
+        F.concat(
+            F.lit("origem="), _text("origem"), F.lit(", gravado="), _text("gravado"),
+            F.when(same, F.lit("")).otherwise(F.lit(", conteúdo diferente")),
+        ),
+    )
+
+
+def content_match(source: DataFrame, stored: DataFrame, layer: str, table: str) -> DataFrame:
+    """Both frames hold the same rows equally often, compared by fingerprint: each is read once, nothing is joined."""
+    names = source.columns
+    both = _beside(
+        source.agg(content(names).alias("origem"), F.count(F.lit(1)).alias("linhas_origem")),
+        stored.agg(content(names).alias("gravado"), F.count(F.lit(1)).alias("linhas")),
     )
+    same = (F.col("origem") == F.col("gravado")) & (F.col("linhas_origem") == F.col("linhas"))
+    detail = F.concat(_text("linhas"), F.when(same, F.lit(" linhas iguais")).otherwise(F.lit(" linhas, conteúdo diferente")))
+    return _verdict(both, layer, table, "conteudo_vs_origem", same, detail)
 
 
 def unique_key(df: DataFrame, layer: str, table: str, column: str) -> DataFrame:

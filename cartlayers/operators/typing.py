@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,3 +32,20 @@ def cast_failures(df: DataFrame, table: str, types: Mapping[str, str]) -> DataFr
     return df.selectExpr(*lost).selectExpr(
         f"stack({len(types)}, {rows}) AS (tabela, coluna, tipo, falhas)"
     )
+
+
+def lost_values(df: DataFrame, table: str, types: Mapping[str, str], key: Sequence[str]) -> DataFrame:
+    """A row for every value that its cast turns into NULL: table, key (as JSON), column, type and raw value.
+
+    One pass over the rows, nothing is shuffled. Counted per column it is what `cast_failures` says.
+    """
+    lost = [
+        F.when(
+            F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull(),
+            F.struct(F.lit(c).alias("coluna"), F.lit(kind).alias("tipo"), F.col(c).cast("string").alias("valor")),
+        )
+        for c, kind in types.items()
+    ]
+    named = F.to_json(F.struct(*key), {"ignoreNullFields": "false"})
+    found = df.select(named.alias("chave"), F.inline(F.array_compact(F.array(*lost))))
+    return found.select(F.lit(table).alias("tabela"), "chave", "coluna", "tipo", "valor")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 from operator import or_
 
@@ -12,15 +14,16 @@ from pyspark.sql import functions as F
 
 from cartlayers.operators.checks import enforce, log_summary, log_verdicts, row_count_match
 from cartlayers.operators.combine import union_all
+from cartlayers.operators.fingerprint import content
 from cartlayers.operators.profile import null_profile
 from cartlayers.operators.rules import inconsistent_date_count, outside_range_count
-from cartlayers.operators.typing import cast_failures
+from cartlayers.operators.typing import cast_failures, lost_values
 from cartlayers.plans import gold as g
 from cartlayers.plans.silver import clean_all, silver_checks
 from cartlayers.registry import TABLES, TableSpec
 from cartlayers.session import pinned
 from cartlayers.settings import Settings
-from cartlayers.sources.landing import read_landing, with_audit
+from cartlayers.sources.landing import read_landing, with_audit, without_audit
 from cartlayers.sources.tables import (
     Pending,
     create_databases,
@@ -28,9 +31,14 @@ from cartlayers.sources.tables import (
     read_table,
     read_tables,
     stage,
+    table_notes,
 )
 
 
+#: Table of the cleaned layer with the raw values that could not be typed.
+QUARANTINE = "quarentena"
+
+
 def new_run_id() -> str:
     return uuid.uuid4().hex
 
@@ -38,14 +46,15 @@ def new_run_id() -> str:
 def ingest(spark: SparkSession, settings: Settings, spec: TableSpec, pending: Pending) -> int:
     """Store one landing file as a raw table of the run and return how many rows were read from it.
 
-    The count is observed while the rows are written, so the text is parsed once. The write is a
-    single stage without a shuffle, whose tasks report their count once however often they run.
+    Rows and content are observed while the rows are written, so the text is parsed once, and noted with
+    the table. The write is a single stage without a shuffle, whose tasks report once however often they
+    run.
     """
     source = read_landing(spark, settings.landing_path(spec.file), spec.reader)
     seen = Observation()
-    counted = source.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted = source.observe(seen, F.count(F.lit(1)).alias("rows"), content(source.columns).alias("content"))
     audited = with_audit(counted, settings.landing_file(spec.file))
-    pending.write(spec.name, audited)
+    pending.write(spec.name, audited, lambda: {"rows": seen.get["rows"], "content": str(seen.get["content"])})
     return seen.get["rows"]
 
 
@@ -77,14 +86,19 @@ def run_bronze(
 def bronze_checks(
     spark: SparkSession, settings: Settings, observed: dict[str, int] | None = None
 ) -> DataFrame:
-    """Rows of every stored table against its landing file, or against counts already known."""
+    """Rows of every stored table against its landing file, or against counts already known.
+
+    Where the fingerprint of the landed rows was noted when they were written, the stored rows must have it.
+    """
     verdicts = []
     loaded = read_tables(spark, settings, "bronze", TABLES)
     for name, spec in TABLES.items():
         source = observed[name] if observed else None
         if source is None:
             source = read_landing(spark, settings.landing_path(spec.file), spec.reader)
-        verdicts.append(row_count_match(source, loaded[name], "bronze", name))
+        noted = table_notes(spark, settings, "bronze", name).get("content")
+        stored = without_audit(loaded[name])
+        verdicts.append(row_count_match(source, stored, "bronze", name, Decimal(noted) if noted else None))
     return union_all(verdicts)
 
 
@@ -95,6 +109,23 @@ def typing_report(raw: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def quarantine(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Every raw value that typing loses, with its table, key and column."""
+    return union_all(
+        [lost_values(raw[name], name, spec.types, spec.naming) for name, spec in TABLES.items() if spec.types]
+    )
+
+
+def quarantine_report(quarantined: DataFrame) -> DataFrame:
+    """`typing_report` from the quarantined values: few rows to read instead of all raw tables."""
+    declared = [(n, c, k) for n, spec in TABLES.items() for c, k in spec.types.items()]
+    every = quarantined.sparkSession.createDataFrame(declared, "tabela string, coluna string, tipo string")
+    counts = quarantined.groupBy("tabela", "coluna").agg(F.count(F.lit(1)).alias("falhas"))
+    return every.join(counts, ["tabela", "coluna"], "left").select(
+        "tabela", "coluna", "tipo", F.coalesce("falhas", F.lit(0)).alias("falhas")
+    )
+
+
 def dedup_summary(raw: dict[str, DataFrame], stored: dict[str, DataFrame]) -> DataFrame:
     """Rows before and after cleaning of every deduplicated table: removed copies and dropped rows.
 
@@ -146,7 +177,8 @@ def run_silver(
 ) -> CleaningReport:
     """Clean and store every table, log the key and reference checks, report the changes.
 
-    All tables become visible together, once they are checked; a gated run that fails changes none.
+    All tables become visible together, once they are checked; a gated run that fails changes none. The
+    values that typing lost are a table beside them, from which the report counts them.
     """
     run_id = run_id or new_run_id()
     with pinned(spark):
@@ -155,7 +187,8 @@ def run_silver(
         with Pending(spark, settings, "silver", run_id) as pending:
             stored = {name: pending.write(name, df) for name, df in clean_all(raw).items()}
             log_verdicts(silver_checks(stored), settings, run_id, "silver")
-            report = CleaningReport(_fetched(typing_report(raw)), _fetched(dedup_summary(raw, stored)))
+            lost = pending.write(QUARANTINE, quarantine(raw))
+            report = CleaningReport(_fetched(quarantine_report(lost)), _fetched(dedup_summary(raw, stored)))
             if gate:
                 enforce(spark.table(settings.log_table), "silver", run_id)
             pending.publish()

@@ -127,6 +127,50 @@ def refreshed(
     return {n: updated(stored[n], gone[n], come[n], GROUPS[n]) for n in GROUPS}
 
 
+def _months(sums: DataFrame) -> DataFrame:
+    months = sums.select(
+        month_label("month").alias("mes"), cents_total(F.col("products")).alias("receita_produtos"),
+        cents_total(F.col("freight")).alias("receita_frete"), F.col(ORDERS).alias("qtd_pedidos"),
+    )
+    change = percent_change(F.col("receita_produtos"), F.col("previous"))
+    return g.previous_month(months, "receita_produtos", "previous").withColumn("variacao_pct", change).drop("previous")
+
+
+def _states(sums: DataFrame) -> DataFrame:
+    revenue = cents_total(F.col("products"))
+    return sums.select(
+        "estado", revenue.alias("receita_total"), F.col(ORDERS).alias("qtd_pedidos"),
+        money_mean(revenue, F.col("priced")).alias("ticket_medio"),
+    )
+
+
+def _deliveries(sums: DataFrame) -> DataFrame:
+    on_time = F.round(F.try_divide(F.col("on_time").cast("double"), F.col("on_time_n")) * 100, 2)
+    days = F.round(F.try_divide(F.col("days").cast("double"), F.col("days_n")), 1)
+    return sums.select(
+        month_label("month").alias("mes"), days.alias("tempo_medio_entrega_dias"),
+        on_time.alias("pct_entregas_no_prazo"), F.col(ORDERS).alias("qtd_pedidos_entregues"),
+        F.round(100 - on_time, 2).alias("pct_entregas_atrasadas"),
+    )
+
+
+def _mean_score() -> Column:
+    return mean_of_totals(F.col("score").cast("bigint"), F.col("scored").cast("bigint")).alias("nota_media")
+
+
+def _satisfaction(sums: DataFrame) -> DataFrame:
+    return sums.select("status_entrega", _mean_score(), F.col("identified").cast("bigint").alias("qtd_avaliacoes"))
+
+
+def _ranking(sums: DataFrame, sellers: DataFrame, min_orders: int) -> DataFrame:
+    ranked = sums.where(F.col(ORDERS) >= min_orders).select(
+        "seller_id", cents_total(F.col("revenue")).alias("receita_total"), F.col(ORDERS).alias("qtd_pedidos"), _mean_score()
+    )
+    return ranked.join(sellers.select("seller_id", "seller_state"), "seller_id").select(
+        "seller_id", "seller_state", "receita_total", "qtd_pedidos", "nota_media"
+    )
+
+
 def shown(
     sums: Mapping[str, DataFrame], sellers: DataFrame, min_orders: int = g.MIN_ORDERS
 ) -> dict[str, DataFrame]:
@@ -134,36 +178,11 @@ def shown(
 
     The ranking counts prices once per review, as `seller_ranking` does by default.
     """
-    col = F.col
-    months = sums["receita_mensal"].select(
-        month_label("month").alias("mes"), cents_total(col("products")).alias("receita_produtos"),
-        cents_total(col("freight")).alias("receita_frete"), col(ORDERS).alias("qtd_pedidos"),
-    )
-    change = percent_change(col("receita_produtos"), col("previous"))
-    ranked = sums["ranking_vendedores"].where(col(ORDERS) >= min_orders).select(
-        "seller_id", cents_total(col("revenue")).alias("receita_total"), col(ORDERS).alias("qtd_pedidos"),
-        mean_of_totals(col("score").cast("bigint"), col("scored").cast("bigint")).alias("nota_media"),
-    )
-    on_time = F.round(F.try_divide(col("on_time").cast("double"), col("on_time_n")) * 100, 2)
-    return {
-        "receita_mensal": g.previous_month(months, "receita_produtos", "previous")
-        .withColumn("variacao_pct", change)
-        .drop("previous"),
-        "receita_por_estado": sums["receita_por_estado"].select(
-            "estado", cents_total(col("products")).alias("receita_total"), col(ORDERS).alias("qtd_pedidos"),
-            money_mean(cents_total(col("products")), col("priced")).alias("ticket_medio"),
-        ),
-        "performance_entrega_mensal": sums["performance_entrega_mensal"].select(
-            month_label("month").alias("mes"),
-            F.round(F.try_divide(col("days").cast("double"), col("days_n")), 1).alias("tempo_medio_entrega_dias"),
-            on_time.alias("pct_entregas_no_prazo"), col(ORDERS).alias("qtd_pedidos_entregues"),
-            F.round(100 - on_time, 2).alias("pct_entregas_atrasadas"),
-        ),
-        "satisfacao_entrega": sums["satisfacao_entrega"].select(
-            "status_entrega", mean_of_totals(col("score").cast("bigint"), col("scored").cast("bigint")).alias("nota_media"),
-            col("identified").cast("bigint").alias("qtd_avaliacoes"),
-        ),
-        "ranking_vendedores": ranked.join(sellers.select("seller_id", "seller_state"), "seller_id").select(
-            "seller_id", "seller_state", "receita_total", "qtd_pedidos", "nota_media"
-        ),
-    }
+    builders = {
+        "receita_mensal": _months,
+        "receita_por_estado": _states,
+        "performance_entrega_mensal": _deliveries,
+        "satisfacao_entrega": _satisfaction,
+        "ranking_vendedores": lambda df: _ranking(df, sellers, min_orders),
+    }
+    return {name: builders[name](df) for name, df in sums.items()}

@@ -50,6 +50,19 @@ def clean(spec: TableSpec, raw: DataFrame) -> DataFrame:
     return after_dedup(spec, df)
 
 
+def kept_keys(spec: TableSpec, raw: DataFrame) -> DataFrame:
+    """A row for each row of the cleaned table: its key only, for counting.
+
+    Distinct keys combine on the map side and need no order, unlike the rows themselves.
+    """
+    if spec.points:
+        return raw.select("geolocation_zip_code_prefix").distinct()
+    df = before_dedup(spec, raw)
+    if not spec.dedup_key:
+        return df
+    return require(df.select(*spec.dedup_key).distinct(), spec.required)
+
+
 def centroids(points: DataFrame) -> DataFrame:
     """Mean position and one place name per zip code prefix.
 

@@ -44,6 +44,11 @@ class TableSpec:
     unique: str | None = None
     parents: tuple[ForeignKey, ...] = ()
 
+    @property
+    def naming(self) -> tuple[str, ...]:
+        """Columns that tell which row it is: the key, or else the columns that refer to others."""
+        return self.dedup_key or ((self.unique,) if self.unique else tuple(fk.column for fk in self.parents))
+
 
 # Table names, landing file names, reader options, column names, column types, keys
 # and the default category are part of the data set's contract.

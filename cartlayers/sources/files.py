@@ -66,6 +66,14 @@ class Files:
             raise
         return True
 
+    def move(self, path: str, target: str) -> None:
+        """Give a file another name; folders that lack are made."""
+        system, place = self._open(path)
+        end = self._jvm.org.apache.hadoop.fs.Path(target)
+        system.mkdirs(end.getParent())
+        if not system.rename(place, end):
+            raise OSError(f"cannot move '{path}' to '{target}'")
+
     def delete(self, path: str) -> None:
         system, place = self._open(path)
         system.delete(place, True)

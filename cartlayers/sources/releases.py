@@ -19,6 +19,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from cartlayers.functions.text import quoted
 from cartlayers.settings import Settings
 from cartlayers.sources.files import Files
 
@@ -168,27 +169,50 @@ def expose(spark: SparkSession, settings: Settings, layer: str, store: ReleaseSt
 
     A table whose columns stay is moved in one step, so it is never missing. Several tables are moved one
     by one: readers that need one consistent set resolve the release. Repeating it mends what a broken
-    run left behind. Tables in parts have no single folder and are not in the catalog.
+    run left behind. A table in parts is a view over its folders.
     """
     for name, stored in release.tables.items():
         if WHOLE in stored.parts:
             _point(spark, settings.table(layer, name), store.folder(stored), stored)
+        else:
+            _view(spark, settings.table(layer, name), store, stored)
+
+
+def _facts(spark: SparkSession, table: str) -> dict[str, str]:
+    """What the catalog says about a table; nothing if there is none."""
+    if not spark.catalog.tableExists(table):
+        return {}
+    return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
 
 
 def _point(spark: SparkSession, table: str, folder: str, stored: Stored) -> None:
-    place = folder.replace("'", "\\'")
-    if spark.catalog.tableExists(table):
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-        facts = {r.col_name: r.data_type for r in rows}
-        if facts.get("Type") == "EXTERNAL" and facts.get("Location", "").rstrip("/").endswith(folder.split(":", 1)[-1]):
+    facts = _facts(spark, table)
+    if facts.get("Type") == "EXTERNAL":
+        if facts.get("Location", "").rstrip("/").endswith(folder.split(":", 1)[-1]):
             return
-        if facts.get("Type") == "EXTERNAL" and _shape(spark.table(table).schema) == _shape(stored.struct):
+        if _shape(spark.table(table).schema) == _shape(stored.struct):
+            place = folder.replace("'", "\\'")
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
             spark.catalog.refreshTable(table)
             return
-        spark.sql(f"DROP TABLE {table}")
+    if facts:
+        spark.sql(f"DROP {'VIEW' if facts.get('Type') == 'VIEW' else 'TABLE'} {table}")
     spark.catalog.createTable(table, path=folder, source=stored.format, schema=stored.struct)
 
 
+def _view(spark: SparkSession, table: str, store: ReleaseStore, stored: Stored) -> None:
+    facts = _facts(spark, table)
+    if facts and facts.get("Type") != "VIEW":
+        spark.sql(f"DROP TABLE {table}")
+    columns = [f"CAST({quoted(f.name)} AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in stored.struct]
+    if stored.parts:
+        # one scan over all folders, by a pattern that lists them
+        source = f"{stored.format}.{quoted(store.root + '/{' + ','.join(stored.parts.values()) + '}')}"
+    else:
+        empty = ", ".join(f"NULL AS {quoted(f.name)}" for f in stored.struct)
+        source = f"(SELECT {empty}) WHERE false"
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {', '.join(columns)} FROM {source}")
+
+
 def _shape(schema: T.StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]

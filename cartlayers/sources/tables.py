@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,14 @@ def read_tables(spark: SparkSession, settings: Settings, layer: str, names: Iter
     }
 
 
+def table_notes(spark: SparkSession, settings: Settings, layer: str, name: str) -> Mapping[str, object]:
+    """What was noted when the current version of a table was written."""
+    if transactional(settings):
+        return {}
+    found = ReleaseStore.of(spark, settings, layer).current().tables.get(name)
+    return found.notes if found else {}
+
+
 def overwrite_table(
     df: DataFrame, settings: Settings, layer: str, name: str, replace_schema: bool = False
 ) -> None:
@@ -59,12 +68,19 @@ def overwrite_table(
 
 
 def publish(
-    spark: SparkSession, settings: Settings, layer: str, tables: Mapping[str, Stored], run_id: str = "", based_on: Release | None = None
+    spark: SparkSession,
+    settings: Settings,
+    layer: str,
+    tables: Mapping[str, Stored],
+    run_id: str = "",
+    based_on: Release | None = None,
+    exposed: Iterable[str] | None = None,
 ) -> Release:
-    """Release written tables together, then let the catalog follow."""
+    """Release written tables together, then let the catalog follow, for all or the `exposed` ones."""
     store = ReleaseStore.of(spark, settings, layer)
     release = store.commit(tables, run_id, based_on)
-    expose(spark, settings, layer, store, Release(release.version, run_id, {n: release.tables[n] for n in tables}))
+    names = [n for n in tables if exposed is None or n in exposed]
+    expose(spark, settings, layer, store, replace(release, tables={n: release.tables[n] for n in names}))
     return release
 
 
@@ -80,14 +96,16 @@ class Pending:
         self.drafts: dict[str, DataFrame] = {}
         self.store = None if transactional(settings) else ReleaseStore.of(spark, settings, layer)
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Store a table and return its stored rows."""
+    def write(
+        self, name: str, df: DataFrame, notes: Callable[[], Mapping[str, object]] | None = None
+    ) -> DataFrame:
+        """Store a table and return its stored rows; a release keeps the `notes` taken after the write."""
         if self.store is None:
             table = self.settings.table(self.layer, run_name(name, self.run_id))
             df.write.format(self.settings.table_format).mode("overwrite").saveAsTable(table)
             self.drafts[name] = self.spark.table(table)
         else:
-            self.written[name] = self.store.write(df, name)
+            self.written[name] = self.store.write(df, name, notes)
             self.drafts[name] = self.store.open(self.written[name])
         return self.drafts[name]
 
