@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from cartlayers.plans.gold import MIN_ORDERS
+from cartlayers.plans.incremental import run_incremental
 from cartlayers.plans.layers import (
     CleaningReport,
     profile,
@@ -15,6 +16,8 @@ from cartlayers.plans.layers import (
 )
 from cartlayers.session import get_session
 from cartlayers.settings import Settings
+from cartlayers.sources.releases import ReleaseStore
+from cartlayers.sources.tables import repair_catalog
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -31,10 +34,15 @@ def _show_cleaning(report: CleaningReport) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="cartlayers", description=__doc__)
-    parser.add_argument("layer", choices=[*LAYERS, "all", "profile"])
+    parser.add_argument(
+        "layer", choices=[*LAYERS, "all", "incremental", "profile", "repair", "vacuum"],
+        help="a layer or all of them in full, what is new only, diagnostics, the catalog, or old releases",
+    )
     parser.add_argument("--raw-path", default=Settings.raw_path)
     parser.add_argument("--file-prefix", default=Settings.file_prefix)
     parser.add_argument("--catalog", default=None)
+    parser.add_argument("--storage-path", default=None, help="folder of all tables, else that of the databases")
+    parser.add_argument("--keep", type=int, default=10, help="releases that vacuum keeps")
     parser.add_argument("--format", dest="table_format", default=Settings.table_format)
     parser.add_argument("--run-id", default=None, help="one id for layers that run separately")
     parser.add_argument(
@@ -52,6 +60,7 @@ def main(argv: list[str] | None = None) -> None:
         file_prefix=args.file_prefix,
         catalog=args.catalog,
         table_format=args.table_format,
+        storage_path=args.storage_path,
     )
     spark = get_session()
     recount, gated = not args.observed_count, args.layer in gates
@@ -68,6 +77,20 @@ def main(argv: list[str] | None = None) -> None:
         print(f"run {report.run_id}")
         _show_rows(report.rows)
         _show_cleaning(report.cleaning)
+    elif args.layer == "incremental":
+        done = run_incremental(spark, settings, args.run_id, gates, args.min_orders)
+        print(f"run {done.run_id}")
+        for table, parts in done.landed.items():
+            print(f"bronze.{table}: {len(parts)} new batches, silver: {len(done.touched.get(table, ()))} parts replaced")
+        totals = {None: "up to date", True: "rebuilt", False: "updated"}[done.rebuilt]
+        print(f"gold: {totals}")
+    elif args.layer == "repair":
+        for layer in LAYERS:
+            repair_catalog(spark, settings, layer)
+    elif args.layer == "vacuum":
+        for layer in LAYERS:
+            gone = ReleaseStore.of(spark, settings, layer).vacuum(args.keep)
+            print(f"{layer}: {len(gone)} folders deleted")
     else:
         found = profile(spark, settings)
         for nulls in found.nulls.values():

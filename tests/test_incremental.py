@@ -7,6 +7,7 @@ import csv
 import pytest
 from pyspark.sql import functions as F
 
+from cartlayers.__main__ import main
 from cartlayers.plans import incremental as inc
 from cartlayers.plans.layers import run_all
 from cartlayers.plans.maintained import GROUPS
@@ -162,6 +163,20 @@ def test_a_file_with_another_header_is_refused(spark, tmp_path):
     assert read_tables(spark, settings, "bronze", ["sellers"])["sellers"].count() == 2
 
 
+def test_command_line(spark, tmp_path, capsys):
+    write_landing(tmp_path / "landing", dirty=False)
+    options = ["--raw-path", str(tmp_path / "landing"), "--file-prefix", PREFIX, "--storage-path", str(tmp_path / "files")]
+    main(["incremental", *options, "--run-id", "cli"])
+    shown = capsys.readouterr().out
+    assert "run cli" in shown and "gold: rebuilt" in shown and "bronze.orders: 1 new batches" in shown
+    main(["incremental", *options])
+    assert "gold: up to date" in capsys.readouterr().out
+    main(["repair", *options])
+    main(["vacuum", *options, "--keep", "1"])
+    assert "gold: 0 folders deleted" in capsys.readouterr().out
+    assert spark.table("gold.receita_mensal").count() == 4
+
+
 def test_a_lost_checkpoint_is_noticed(spark, tmp_path):
     write_landing(tmp_path, dirty=False)
     settings = make_settings(tmp_path, "lost_checkpoint")
