@@ -12,9 +12,11 @@ it has more parts without an empty pair than differences could spoil; the rare o
 
 Copies (same shingle set) are one class. Signatures are packed per bucket, deduplicated in each
 batch, and give stars: the smallest class of all batches with a signature leads it. Two classes that
-share a signature share its leader, so all candidate pairs meet within the group of a leader. Groups are
-first thinned by sizes and by cell counts, a lower bound of the difference, then compared exactly.
-Large groups are compared block against block. Only a spanning forest leaves a group.
+share a signature share its leader, so all candidate pairs meet within the group of a leader. Every class
+is first compared with one pivot of its group, which joins most copies; then, in groups that are still in
+several components, the classes outside the largest one are compared with those of other components.
+Both times pairs are thinned by sizes and by cell counts, a lower bound of the difference, before texts are
+fetched for the exact comparison, and groups are cut into blocks. Only a spanning forest leaves a block.
 """
 
 from __future__ import annotations
@@ -280,94 +282,145 @@ def star_pairs(docs: DataFrame, likeness: Likeness, buckets: int) -> DataFrame:
     return ordered.groupBy("bucket").applyInArrow(meet, "leader long, member long").distinct()
 
 
-def _grouped(members: DataFrame) -> DataFrame:
-    """Members with the group (leader, i, j) they are compared in; large groups as pairs of blocks."""
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members with the `block` of their group that they reside in, and the group's `blocks`."""
     blocks = members.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("k1", "k2"), F.col("blocks")).cast("int")
-    return (
-        members.join(blocks, "leader")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("i", F.least("own", "other"))
-        .withColumn("j", F.greatest("own", "other"))
-        .drop("other", "blocks")
-    )
+    return members.join(blocks, "leader").withColumn("block", own)
+
+
+#: Rows of a block: its residents, and the visitors that are compared with them. (l1, l2) is what is known
+#: of a class's component; `outside` tells that it is not the one most of the group is in.
+MEETING = "leader long, block int, visits boolean, outside boolean, l1 long, l2 long, k1 long, k2 long"
+PIVOT = "leader long, k1 long, k2 long, n_shingles long, cells binary, distance double"
+
 
+def _cell_counts(rows: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column("cells").to_pylist()), np.uint8).reshape(-1, CELLS)
 
-def _fitting(at: int, sizes: np.ndarray, cells: np.ndarray, own: np.ndarray, likeness: Likeness) -> np.ndarray:
-    """Members after `at` that could be linked to it, by sizes and cell counts.
 
-    In a group of two blocks only members of different blocks meet; each block has its own group.
+def _with_pivots(members: DataFrame) -> DataFrame:
+    """Residents of every block, visited by one class of their group: the pivot.
+
+    The pivot is the class nearest to the mean cell counts of its block, of all blocks the nearest one; in a
+    group of edited copies that is the text they were made from, or nearly. A group has a pivot row per
+    block, so what is compared grows with its members.
     """
-    later = np.arange(at + 1, len(sizes))
-    later = later[likeness.sizes_fit(sizes[later], sizes[at])]
-    if own[0] != own[-1]:
-        later = later[own[later] != own[at]]
-    gap = cells[later] - cells[at]
-    gap = np.minimum(gap, -gap).sum(axis=1, dtype=np.int64)
-    total = sizes[later] + sizes[at]
-    return later[gap * (100 + likeness.percent) <= (100 - likeness.percent) * total]
 
+    def nearest(rows: pa.Table) -> pa.Table:
+        cells = _cell_counts(rows).astype(np.float64)
+        distance = np.abs(cells - cells.mean(axis=0)).sum(axis=1)
+        at = np.lexsort((rows.column("k1").to_numpy(), distance))[:1]
+        best = rows.take(pa.array(at)).select(["leader", "k1", "k2", "n_shingles", "cells"])
+        return best.append_column("distance", pa.array(distance[at]))
+
+    dealt = _dealt(members)
+    near = dealt.groupBy("leader", "block").applyInArrow(nearest, PIVOT)
+    kept = F.struct("k1", "k2", "n_shingles", "cells")
+    pivots = near.groupBy("leader").agg(F.min_by(kept, F.struct("distance", "k1", "k2")).alias("p")).select("leader", "p.*")
+    blocks = dealt.select("leader", "block").distinct()
+    visitors = pivots.join(blocks, "leader").withColumn("visits", F.lit(True))
+    rows = dealt.drop("blocks").withColumn("visits", F.lit(False)).unionByName(visitors)
+    return rows.withColumns({"outside": F.lit(False), "l1": F.col("k1"), "l2": F.col("k2")})
 
-def _members(rows: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
-    rows = rows.sort_by([("own", "ascending"), ("n_shingles", "ascending")])
-    cells = np.frombuffer(b"".join(rows.column("cells").to_pylist()), np.uint8).reshape(-1, CELLS)
-    return rows, rows.column("n_shingles").to_numpy(), cells, rows.column("own").to_numpy()
 
+def _across(members: DataFrame) -> DataFrame:
+    """Residents of every block, visited by those classes of their group that are outside its main component.
 
-def candidates(stars: DataFrame, classes: DataFrame, likeness: Likeness) -> DataFrame:
-    """Members of the leaders' groups that may be linked to another member of the same group."""
+    Members have the components (l1, l2) found so far. Groups within one component are left out; the
+    others are compared across components only, and that of most members is not compared with itself.
+    """
+    sizes = members.groupBy("leader", "l1", "l2").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("leader").agg(
+        F.max_by(F.struct("l1", "l2"), F.struct("n", "l1", "l2")).alias("main"), F.count("*").alias("components")
+    )
+    split = members.join(main.where("components > 1").drop("components"), "leader")
+    rows = split.withColumn("outside", F.struct("l1", "l2") != F.col("main")).drop("main")
+    dealt = _dealt(rows)
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    visitors = dealt.where("outside").withColumn("block", every).withColumn("visits", F.lit(True))
+    return dealt.withColumn("visits", F.lit(False)).unionByName(visitors).drop("blocks")
+
+
+class Meeting:
+    """The visitors and residents of a block, as positions; each knows its component so far."""
+
+    def __init__(self, rows: pa.Table, sizes: np.ndarray, cells: np.ndarray):
+        self.sizes, self.cells = sizes, cells
+        self.keys = np.stack([rows.column(c).to_numpy() for c in ("k1", "k2")], axis=1)
+        self.labels = np.stack([rows.column(c).to_numpy() for c in ("l1", "l2")], axis=1)
+        _, self.root = np.unique(self.labels, axis=0, return_inverse=True)
+        self.root = self.root.reshape(-1)
+        visits = rows.column("visits").to_numpy(zero_copy_only=False)
+        self.outside = rows.column("outside").to_numpy(zero_copy_only=False)
+        self.visitors, self.residents = np.flatnonzero(visits), np.flatnonzero(~visits)
+
+    def fitting(self, at: int, likeness: Likeness) -> np.ndarray:
+        """Residents of other components that could be linked to a visitor, by sizes and cell counts.
+
+        Two classes outside visit each other; the one with the smaller key is compared.
+        """
+        near = self.residents[self.root[self.residents] != self.root[at]]
+        near = near[likeness.sizes_fit(self.sizes[near], self.sizes[at])]
+        if self.outside[at]:
+            own, other = self.keys[at], self.keys[near]
+            later = (other[:, 0] > own[0]) | ((other[:, 0] == own[0]) & (other[:, 1] > own[1]))
+            near = near[~self.outside[near] | later]
+        gap = self.cells[near] - self.cells[at]
+        gap = np.minimum(gap, -gap).sum(axis=1, dtype=np.int64)
+        total = self.sizes[near] + self.sizes[at]
+        return near[gap * (100 + likeness.percent) <= (100 - likeness.percent) * total]
+
+
+def candidates(meetings: DataFrame, likeness: Likeness) -> DataFrame:
+    """Visitors that may be linked to a resident of the block they visit, and those residents."""
 
     def thin(rows: pa.Table) -> pa.Table:
-        rows, sizes, cells, own = _members(rows)
-        use = np.zeros(len(sizes), dtype=bool)
-        for at in range(len(sizes) - 1):
-            fit = _fitting(at, sizes, cells, own, likeness)
+        meeting = Meeting(rows, rows.column("n_shingles").to_numpy(), _cell_counts(rows))
+        use = np.zeros(rows.num_rows, dtype=bool)
+        for at in meeting.visitors:
+            fit = meeting.fitting(at, likeness)
             use[fit] = True
             use[at] |= len(fit) > 0
-        return rows.filter(pa.array(use)).select(["leader", "i", "j", "own", "k1", "k2"])
+        return rows.filter(pa.array(use)).select([f.split()[0] for f in MEETING.split(", ")])
 
-    every = stars.unionByName(stars.select("leader", F.col("leader").alias("member")).distinct())
-    members = every.join(classes, every.member == classes.k1).drop("member", "rep")
-    return (
-        _grouped(members)
-        .groupBy("leader", "i", "j")
-        .applyInArrow(thin, "leader long, i int, j int, own int, k1 long, k2 long")
-    )
+    return meetings.groupBy("leader", "block").applyInArrow(thin, MEETING)
 
 
-def _linked_members(rows: pa.Table, likeness: Likeness) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """The class keys of a group and a spanning forest of their links, as positions, by exact comparison."""
+def _links(rows: pa.Table, likeness: Likeness) -> np.ndarray:
+    """Pairs of components (l1, l2, l1, l2) that a block links, by exact comparison: a spanning forest of them."""
+    texts, back = np.unique(rows.column("text").combine_chunks().dictionary_encode().indices.to_numpy(), return_inverse=True)
+    distinct = rows.column("text").combine_chunks().dictionary_encode().dictionary.take(pa.array(texts))
     shingles, sizes, cells, keys = [], [], [], []
-    for _, _, found in _sets_of(rows.column("text"), likeness):
+    for _, _, found in _sets_of(distinct, likeness):
         order = np.lexsort((found.shingles, found.text))
         shingles += np.split(found.shingles[order], np.cumsum(found.sizes)[:-1])
         sizes.append(found.sizes)
         cells.append(found.cells())
         keys.append(np.stack(found.keys(), axis=1))
     sizes, cells, keys = np.concatenate(sizes), np.concatenate(cells), np.concatenate(keys)
-    wanted = np.stack([rows.column("k1").to_numpy(), rows.column("k2").to_numpy()], axis=1)
-    own = rows.column("own").to_numpy()
     # a repeated doc_id brings several texts; only one with the class's own set counts
-    right = np.flatnonzero((keys == wanted).all(axis=1))
-    right = right[np.unique(keys[right], axis=0, return_index=True)[1]]
-    right = right[np.lexsort((sizes[right], own[right]))]
-    sets, sizes, cells, own = [shingles[i] for i in right], sizes[right], cells[right], own[right]
-    root, edges = np.arange(len(right)), []
-    for at in range(len(right) - 1):
-        fit = _fitting(at, sizes, cells, own, likeness)
-        fit = fit[root[fit] != root[at]]
+    wanted = np.stack([rows.column(c).to_numpy() for c in ("k1", "k2")], axis=1)
+    right = np.flatnonzero((keys[back] == wanted).all(axis=1))
+    roles = np.concatenate([wanted, rows.column("visits").to_numpy(zero_copy_only=False)[:, None]], axis=1)
+    right = right[np.unique(roles[right], axis=0, return_index=True)[1]]
+    own = back[right]
+    meeting = Meeting(rows.take(pa.array(right)), sizes[own], cells[own])
+    edges = []
+    for at in meeting.visitors:
+        fit = meeting.fitting(at, likeness)
         if not len(fit):
             continue
-        others = np.concatenate([sets[j] for j in fit])
-        spot = np.minimum(np.searchsorted(sets[at], others), sizes[at] - 1)
-        begin = np.concatenate([[0], np.cumsum(sizes[fit])[:-1]])
-        shared = np.add.reduceat((sets[at][spot] == others).astype(np.int64), begin)
-        for j in fit[likeness.linked(shared, sizes[at], sizes[fit])]:
-            if root[j] != root[at]:
-                root[root == root[j]] = root[at]
-                edges.append((at, int(j)))
-    return keys[right], edges
+        mine = shingles[own[at]]
+        others = np.concatenate([shingles[own[j]] for j in fit])
+        spot = np.minimum(np.searchsorted(mine, others), len(mine) - 1)
+        begin = np.concatenate([[0], np.cumsum(meeting.sizes[fit])[:-1]])
+        shared = np.add.reduceat((mine[spot] == others).astype(np.int64), begin)
+        for j in fit[likeness.linked(shared, meeting.sizes[at], meeting.sizes[fit])]:
+            if meeting.root[j] != meeting.root[at]:
+                meeting.root[meeting.root == meeting.root[j]] = meeting.root[at]
+                edges.append((*meeting.labels[at], *meeting.labels[j]))
+    return np.array(edges, dtype=np.int64).reshape(-1, 4)
 
 
 def _id_bits(ids: DataFrame) -> np.ndarray:
@@ -386,12 +439,13 @@ def _id_bits(ids: DataFrame) -> np.ndarray:
 
 
 def links(docs: DataFrame, classes: DataFrame, found: DataFrame, likeness: Likeness) -> DataFrame:
-    """Edges (a, b) between classes that span the linked ones of every group.
+    """Edges (a, b) between components so far that span what is linked in every block.
 
     A fixed number of flags tells most of the documents that are not needed, so that only texts of the
-    others are shuffled to their groups; the join on doc_id is exact.
+    others are shuffled to their blocks; the join on doc_id is exact.
     """
-    asked = stored(found.join(classes, ["k1", "k2"]).select("leader", "i", "j", "own", "k1", "k2", "rep"))
+    names = [f.split()[0] for f in MEETING.split(", ")]
+    asked = stored(found.join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select(*names, "rep"))
     flags = _id_bits(asked.select(F.col("rep").alias("doc_id")))
 
     def keep(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -400,15 +454,14 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame, likeness: Liken
         yield batch.filter(pa.array(use))
 
     def compare(rows: pa.Table) -> pa.Table:
-        keys, edges = _linked_members(rows, likeness)
-        ends = np.array(edges, dtype=np.int64).reshape(-1, 2)
-        return pa.table({f"k{k + 1}_{side}": keys[ends[:, x], k] for x, side in enumerate("ab") for k in range(2)})
+        ends = _links(rows, likeness)
+        return pa.table({n: ends[:, i] for i, n in enumerate(("k1_a", "k2_a", "k1_b", "k2_b"))})
 
     texts = map_tables(docs.select("doc_id", "text"), keep, "doc_id long, text string")
     edges = (
         texts.join(asked, F.col("doc_id").eqNullSafe(F.col("rep")))
-        .select("leader", "i", "j", "own", "k1", "k2", "text")
-        .groupBy("leader", "i", "j")
+        .select(*names, "text")
+        .groupBy("leader", "block")
         .applyInArrow(compare, "k1_a long, k2_a long, k1_b long, k2_b long")
     )
     return edges.select(
@@ -417,22 +470,35 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame, likeness: Liken
     )
 
 
+def _labelled(classes: DataFrame, by: DataFrame) -> DataFrame:
+    """Classes with the label of their component after further edges between components."""
+    merged = by.select("node", F.col("label").alias("merged"))
+    return classes.join(merged, F.col("label") == F.col("node"), "left").select(
+        "k1", "k2", "n_shingles", "cells", "rep", F.coalesce("merged", "label").alias("label")
+    )
+
+
 def _components(docs: DataFrame, likeness: Likeness) -> tuple[DataFrame, DataFrame]:
     """Sets of all documents, and of every class its smallest doc_id and the label of its component."""
     sets = stored(shingle_sets(docs, likeness))
     filled = sets.where(F.col("n_shingles") > 0)
     classes = stored(
         filled.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min("cells").alias("cells"))
-    )
+    ).withColumn("label", F.struct("k1", "k2"))
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = 1 + total // SIGNATURES_PER_BUCKET
     stars = stored(star_pairs(docs, likeness, buckets))
-    found = stored(candidates(stars, classes, likeness))
+    every = stars.unionByName(stars.select("leader", F.col("leader").alias("member")).distinct())
+    # first every class with the pivot of its group, which costs as much as there are classes
+    members = every.join(classes.drop("rep", "label"), every.member == classes.k1).drop("member")
+    found = stored(candidates(_with_pivots(members), likeness))
+    classes = stored(_labelled(classes, connected_components(links(docs, classes, found, likeness))))
+    # then what is still apart in a group
+    held = classes.select("k1", "k2", "n_shingles", "cells", F.col("label.k1").alias("l1"), F.col("label.k2").alias("l2"))
+    members = every.join(held, every.member == held.k1).drop("member")
+    found = stored(candidates(_across(members), likeness))
     labels = connected_components(links(docs, classes, found, likeness))
-    node = F.struct("k1", "k2")
-    return sets, classes.join(labels, node == F.col("node"), "left").select(
-        "k1", "k2", "rep", F.coalesce("label", node).alias("label")
-    )
+    return sets, _labelled(classes, labels).select("k1", "k2", "rep", "label")
 
 
 def near_duplicates(docs: DataFrame, likeness: Likeness = Likeness()) -> DataFrame:
