@@ -97,6 +97,17 @@ def row_count_match(
     )
 
 
+def row_count_verdicts(counts: DataFrame, layer: str) -> DataFrame:
+    """Verdicts of `row_count_match` for many tables, from a row with `origem` and `gravado` for each."""
+    return counts.select(
+        F.lit(layer).alias("camada"),
+        "tabela",
+        F.lit("contagem_linhas_vs_origem").alias("checagem"),
+        F.when(F.col("origem") == F.col("gravado"), F.lit(PASSED)).otherwise(F.lit(FAILED)).alias("status"),
+        F.concat(F.lit("origem="), _text("origem"), F.lit(", gravado="), _text("gravado")).alias("detalhe"),
+    )
+
+
 def content_match(source: DataFrame, stored: DataFrame, layer: str, table: str) -> DataFrame:
     """Both frames hold the same rows equally often, compared by fingerprint: each is read once, nothing is joined."""
     names = source.columns

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlayers.functions.text import fold_lower, fold_upper
 from cartlayers.operators.checks import KeyCheck, key_verdicts
+from cartlayers.operators.combine import union_all
 from cartlayers.operators.dedup import keep_first
 from cartlayers.operators.rules import (
     fill_defaults,
@@ -50,17 +53,29 @@ def clean(spec: TableSpec, raw: DataFrame) -> DataFrame:
     return after_dedup(spec, df)
 
 
-def kept_keys(spec: TableSpec, raw: DataFrame) -> DataFrame:
-    """A row for each row of the cleaned table: its key only, for counting.
+def row_counts(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Per raw table its rows (`origem`) and those that its cleaned table has (`gravado`), without cleaning it.
 
-    Distinct keys combine on the map side and need no order, unlike the rows themselves.
+    All tables emit their keys into one grouping, which combines copies on the map side; a key is a row
+    of the cleaned table unless a required column is missing in it. Required columns are part of the key.
     """
-    if spec.points:
-        return raw.select("geolocation_zip_code_prefix").distinct()
-    df = before_dedup(spec, raw)
-    if not spec.dedup_key:
-        return df
-    return require(df.select(*spec.dedup_key).distinct(), spec.required)
+    keys = []
+    for name, df in raw.items():
+        spec = TABLES[name]
+        key = (spec.unique,) if spec.points else spec.dedup_key
+        rows = df if spec.points else before_dedup(spec, df)
+        kept = reduce(and_, [F.col(c).isNotNull() for c in spec.required], F.lit(True))
+        texts = F.array(*[F.col(c).cast("string") for c in key]).cast("array<string>")
+        keys.append(
+            rows.select(F.lit(name).alias("tabela"), texts.alias("key"), kept.alias("kept"), F.lit(bool(key)).alias("once"))
+        )
+    copies = union_all(keys).groupBy("tabela", "key", "kept", "once").agg(F.count(F.lit(1)).alias("copies"))
+    left = F.when(F.col("once"), F.col("kept").cast("bigint")).otherwise(F.col("copies"))
+    counts = copies.groupBy("tabela").agg(F.sum("copies").alias("origem"), F.sum(left).alias("gravado"))
+    # a table without rows has its verdict, too
+    names = next(iter(raw.values())).sparkSession.createDataFrame([(n,) for n in raw], "tabela string")
+    zeros = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("origem", "gravado")}
+    return names.join(counts, "tabela", "left").withColumns(zeros)
 
 
 def centroids(points: DataFrame) -> DataFrame:
