@@ -40,7 +40,9 @@ CELLS = 128
 THIRDS = 3
 SIGNATURES_PER_BUCKET = 1_000_000
 SIGNATURES_PER_PACK = 1_500_000
-BLOCK = 400
+#: A block has at most about so many classes, and about so many shingles in all: a class is 170 bytes when its
+#: cells are compared, and a shingle some 15 when its text is.
+BLOCK, BLOCK_SHINGLES = 4096, 1 << 20
 FILTER_BITS = 1 << 26
 
 
@@ -283,15 +285,17 @@ def star_pairs(docs: DataFrame, likeness: Likeness, buckets: int) -> DataFrame:
 
 
 def _dealt(members: DataFrame) -> DataFrame:
-    """Members with the `block` of their group that they reside in, and the group's `blocks`."""
-    blocks = members.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("k1", "k2"), F.col("blocks")).cast("int")
-    return members.join(blocks, "leader").withColumn("block", own)
+    """Members with their own block (`home`) of their group, the group's `blocks` and its size `n`."""
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
+    groups = members.groupBy("leader").agg(blocks.alias("blocks"), F.count("*").alias("n"))
+    home = F.pmod(F.xxhash64("k1", "k2"), F.col("blocks")).cast("int")
+    return members.join(groups, "leader").withColumn("home", home)
 
 
-#: Rows of a block: its residents, and the visitors that are compared with them. (l1, l2) is what is known
-#: of a class's component; `outside` tells that it is not the one most of the group is in.
-MEETING = "leader long, block int, visits boolean, outside boolean, l1 long, l2 long, k1 long, k2 long"
+#: Rows of a meeting: the residents of `block`, and the visitors from the block `guest` that are compared with
+#: them. (l1, l2) is what is known of a class's component; `outside` tells that it is not the one most of the
+#: group is in.
+MEETING = "leader long, block int, guest int, visits boolean, outside boolean, l1 long, l2 long, k1 long, k2 long"
 PIVOT = "leader long, k1 long, k2 long, n_shingles long, cells binary, distance double"
 
 
@@ -314,20 +318,23 @@ def _with_pivots(members: DataFrame) -> DataFrame:
         best = rows.take(pa.array(at)).select(["leader", "k1", "k2", "n_shingles", "cells"])
         return best.append_column("distance", pa.array(distance[at]))
 
-    dealt = _dealt(members)
-    near = dealt.groupBy("leader", "block").applyInArrow(nearest, PIVOT)
+    dealt = _dealt(members).withColumnRenamed("home", "block")
+    near = dealt.where("n > 2").groupBy("leader", "block").applyInArrow(nearest, PIVOT)
+    # of two classes either will do
+    pairs = dealt.where("n = 2").select("leader", "k1", "k2", "n_shingles", "cells", F.lit(0.0).alias("distance"))
     kept = F.struct("k1", "k2", "n_shingles", "cells")
-    pivots = near.groupBy("leader").agg(F.min_by(kept, F.struct("distance", "k1", "k2")).alias("p")).select("leader", "p.*")
+    least = F.min_by(kept, F.struct("distance", "k1", "k2")).alias("p")
+    pivots = near.unionByName(pairs).groupBy("leader").agg(least).select("leader", "p.*")
     blocks = dealt.select("leader", "block").distinct()
     visitors = pivots.join(blocks, "leader").withColumn("visits", F.lit(True))
-    rows = dealt.drop("blocks").withColumn("visits", F.lit(False)).unionByName(visitors)
-    return rows.withColumns({"outside": F.lit(False), "l1": F.col("k1"), "l2": F.col("k2")})
+    rows = dealt.drop("blocks", "n").withColumn("visits", F.lit(False)).unionByName(visitors)
+    return rows.withColumns({"guest": F.lit(0), "outside": F.lit(False), "l1": F.col("k1"), "l2": F.col("k2")})
 
 
 def _across(members: DataFrame) -> DataFrame:
     """Residents of every block, visited by those classes of their group that are outside its main component.
 
-    Members have the components (l1, l2) found so far. Groups within one component are left out; the
+    A meeting is of two blocks, whatever the size of the group. Members have the components (l1, l2) found so far. Groups within one component are left out; the
     others are compared across components only, and that of most members is not compared with itself.
     """
     sizes = members.groupBy("leader", "l1", "l2").agg(F.count("*").alias("n"))
@@ -336,10 +343,11 @@ def _across(members: DataFrame) -> DataFrame:
     )
     split = members.join(main.where("components > 1").drop("components"), "leader")
     rows = split.withColumn("outside", F.struct("l1", "l2") != F.col("main")).drop("main")
-    dealt = _dealt(rows)
+    dealt = _dealt(rows).drop("n")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    visitors = dealt.where("outside").withColumn("block", every).withColumn("visits", F.lit(True))
-    return dealt.withColumn("visits", F.lit(False)).unionByName(visitors).drop("blocks")
+    visitors = dealt.where("outside").withColumns({"block": every, "guest": F.col("home"), "visits": F.lit(True)})
+    residents = dealt.withColumns({"guest": every, "block": F.col("home"), "visits": F.lit(False)})
+    return residents.unionByName(visitors).drop("blocks", "home")
 
 
 class Meeting:
@@ -384,7 +392,7 @@ def candidates(meetings: DataFrame, likeness: Likeness) -> DataFrame:
             use[at] |= len(fit) > 0
         return rows.filter(pa.array(use)).select([f.split()[0] for f in MEETING.split(", ")])
 
-    return meetings.groupBy("leader", "block").applyInArrow(thin, MEETING)
+    return meetings.groupBy("leader", "block", "guest").applyInArrow(thin, MEETING)
 
 
 def _links(rows: pa.Table, likeness: Likeness) -> np.ndarray:
@@ -461,7 +469,7 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame, likeness: Liken
     edges = (
         texts.join(asked, F.col("doc_id").eqNullSafe(F.col("rep")))
         .select(*names, "text")
-        .groupBy("leader", "block")
+        .groupBy("leader", "block", "guest")
         .applyInArrow(compare, "k1_a long, k2_a long, k1_b long, k2_b long")
     )
     return edges.select(

@@ -145,3 +145,32 @@ def test_classes_of_different_batches_share_the_leader_of_a_signature(spark):
         check(m.near_duplicates(docs), dict(enumerate(texts)))
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+
+
+def test_copies_of_a_hot_template_are_joined_by_their_pivot(spark, monkeypatch):
+    """Copies are linked with the template only, not with each other; what is left to visit blocks must stay small."""
+    rng, base = random.Random(9), prose(78, 300).split()
+    texts = [" ".join(base)]
+    for _ in range(500):
+        copy = list(base)
+        for at in rng.sample(range(5, 295), rng.randint(4, 6)):
+            copy[at] = f"x{rng.random()}"
+        texts.append(" ".join(copy))
+    monkeypatch.setattr(m, "BLOCK", 40)
+    across, left = m._across, []
+
+    def counted(members):
+        found = m.stored(across(members))
+        left.append(found.where("visits").count())
+        return found
+
+    monkeypatch.setattr(m, "_across", counted)
+    check(m.near_duplicates(documents(spark, texts)), dict(enumerate(texts)))
+    assert left[0] < 500
+
+
+def test_a_long_chain_in_blocks(spark, monkeypatch):
+    w = [f"w{i}" for i in range(500)]
+    texts = [" ".join(w[8 * i : 8 * i + 100]) for i in range(50)]
+    monkeypatch.setattr(m, "BLOCK", 4)
+    check(m.near_duplicates(documents(spark, texts)), dict(enumerate(texts)))
