@@ -55,10 +55,29 @@ def share_file(spark: SparkSession, name: str, content: bytes) -> str:
     return system.makeQualified(path).toString()
 
 
+#: Shared folders that this process has named.
+_folders: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, or below the warehouse where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    _folders.append(f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}")
+    return _folders[-1]
+
+
+def remove_shared(spark: SparkSession) -> int:
+    """Delete the shared folders of this process; results that were not stored elsewhere are gone then.
+
+    Call it last, when the results of all queries are written: executors that start later would look for
+    the files in them. Returns how many folders there were.
+    """
+    java, removed = spark.sparkContext._jvm, 0
+    while _folders:
+        path = java.org.apache.hadoop.fs.Path(_folders.pop())
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        removed += bool(system.delete(path, True))
+    return removed
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -31,8 +31,11 @@ def compile_words(words: list[bytes], ids: list[np.ndarray]) -> dict[str, np.nda
     if n > 1:
         fresh[1:] = ~np.logical_and.accumulate(grid[1:] == grid[:-1], axis=1)
     fresh &= grid >= 0
-    number = np.where(fresh, np.cumsum(fresh).reshape(grid.shape), 0)
-    node = np.maximum.accumulate(number, axis=0) if n else number
+    # the only matrix of more than a byte or two per place of a word, so it is made once and in place
+    node = np.cumsum(fresh, dtype=np.int32).reshape(grid.shape)
+    node *= fresh
+    if n:
+        np.maximum.accumulate(node, axis=0, out=node)
     rows, columns = np.nonzero(fresh)
     label = np.concatenate([[0], grid[rows, columns]])
     parent = np.concatenate([[0], np.where(columns > 0, node[rows, columns - 1], 0)])
@@ -40,6 +43,7 @@ def compile_words(words: list[bytes], ids: list[np.ndarray]) -> dict[str, np.nda
     total = len(label)
     final = np.zeros(total, dtype=bool)
     final[node[np.arange(n), lengths - 1]] = True
+    del grid, fresh, node, rows, columns
     below, height = final.astype(np.int64), np.zeros(total, dtype=np.int64)
     by_level = np.argsort(level, kind="stable")
     cuts = np.searchsorted(level[by_level], np.arange(depth + 2))
