@@ -28,12 +28,16 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 #: Other mentions: at least six characters of identifiers, four digits or an @ among them.
 _IDENTIFIER = "[A-Za-z0-9@._+()-]"
-MENTION = rf"(?:(?<!{_IDENTIFIER})|\G)(?=(?:[^0-9@\s]*+[0-9]){{4}}|[^@\s]*+@){_IDENTIFIER}{{6,}}+"
+MENTION = (
+    rf"(?:(?<!{_IDENTIFIER})|\G)(?=(?:[A-Za-z@._+()-]*+[0-9]){{4}}|[A-Za-z0-9._+()-]*+@){_IDENTIFIER}{{6,}}+"
+)
 ROUNDS = 3
 #: A pattern counts from this confidence, and from so many instances of the kind.
 LEAST_CONFIDENCE, LEAST_SUPPORT = 0.8, 4
 LEAST_SCORE = 0.9
 CONTEXT = 64
+#: Values whose sums are told one after another, and code points of a piece of text that is cut.
+RUN, PIECE = 200, 1000
 
 
 def _luhn(digits: Column) -> Column:
@@ -63,26 +67,56 @@ def _valid(kind: str, value: Column) -> Column:
     }[kind]
 
 
-def _matches(text: Column, pattern: str, hint: Column) -> Column:
-    """All matches with first and last-plus-one code point, and the text before and after each."""
-    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string,before:string,after:string>>)")
-
-    def step(seen: Column, i: Column) -> Column:
-        value, before = F.element_at(found, i), F.element_at(gaps, i)
-        start = seen.at + F.length(before)
-        match = F.struct(
-            start.alias("start"),
-            (start + F.length(value)).alias("end"),
-            value.alias("value"),
-            F.right(before, F.lit(CONTEXT)).alias("before"),
-            F.left(F.element_at(gaps, i + 1), F.lit(CONTEXT)).alias("after"),
-        )
-        return F.struct((start + F.length(value)).alias("at"), F.concat(seen.out, F.array(match)).alias("out"))
+def _bound(value: Column, function) -> Column:
+    """function(value), with the value computed once however often the function names it."""
+    return F.element_at(F.transform(F.array(value), function), 1)
+
+
+def _before(values: Column, combine) -> Column:
+    """What `combine` makes of 0 and all integers before each one of `values`.
+
+    An array grows by copying it, so the values are taken in runs of RUN, and the runs are put together.
+    """
+    none = F.expr("cast(array() as array<int>)")
+
+    def scan(own: Column, begin: Column) -> Column:
+        def step(seen: Column, value: Column) -> Column:
+            return F.struct(combine(seen.at, value).alias("at"), F.concat(seen.out, F.array(seen.at)).alias("out"))
+
+        return F.aggregate(own, F.struct(begin.alias("at"), none.alias("out")), step, lambda seen: seen.out)
+
+    last = F.floor((F.size(values) - 1) / RUN).cast("int")
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda r: F.slice(values, r * RUN + 1, F.lit(RUN)))
+
+    def joined(of: Column) -> Column:
+        whole = F.transform(of, lambda run: F.aggregate(run, F.lit(0), combine))
+        return F.flatten(F.zip_with(of, scan(whole, F.lit(0)), scan))
 
-    begin = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    listed = F.aggregate(F.sequence(F.lit(1), F.size(found)), begin, step, lambda seen: seen.out)
-    return F.when(hint & (F.size(found) > 0), listed).otherwise(empty)
+    return _bound(runs, joined)
+
+
+def _matches(text: Column, pattern: str, hint: Column, around: bool = False) -> Column:
+    """All matches with first and last-plus-one code point; `around`: and the text before and after each."""
+    fields = "start:int,end:int,value:string" + (",before:string,after:string" if around else "")
+
+    def placed(parts: Column) -> Column:
+        gaps = F.slice(parts.gaps, F.lit(1), F.size(parts.found))
+        steps = F.zip_with(gaps, parts.found, lambda gap, value: F.length(gap) + F.length(value))
+
+        def match(at: Column, i: Column) -> Column:
+            gap, value = F.get(parts.gaps, i), F.get(parts.found, i)
+            start = at + F.length(gap)
+            columns = [start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value")]
+            if around:
+                columns.append(F.right(gap, F.lit(CONTEXT)).alias("before"))
+                columns.append(F.left(F.get(parts.gaps, i + 1), F.lit(CONTEXT)).alias("after"))
+            return F.struct(*columns)
+
+        return F.transform(_bound(steps, lambda own: _before(own, lambda a, b: a + b)), match)
+
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")
+    parts = F.struct(found, F.split(text, pattern, -1).alias("gaps"))
+    return F.when(hint, _bound(parts, placed)).otherwise(F.expr(f"cast(array() as array<struct<{fields}>>)"))
 
 
 def _spans(text: Column) -> Column:
@@ -98,36 +132,57 @@ def _spans(text: Column) -> Column:
             matches, lambda m: F.struct(m.start.alias("start"), number, m.end.alias("end"), m.value.alias("value"))
         )
 
-    return F.array_sort(F.concat(*[of_kind(kind) for kind in KINDS]))
+    return F.sort_array(F.concat(*[of_kind(kind) for kind in KINDS]))
+
+
+def _first_after(spans: Column, at: Column) -> Column:
+    """Of disjoint spans in order the first that ends after `at`, or null; found by halving."""
+
+    def halve(seen: Column, _: Column) -> Column:
+        middle = F.shiftright(seen.low + seen.high, 1)
+        later = (seen.low < seen.high) & (F.get(spans, middle).end <= at)
+        return F.struct(
+            F.when(later, middle + 1).otherwise(seen.low).alias("low"),
+            F.when(later, seen.high).otherwise(middle).alias("high"),
+        )
+
+    begin = F.struct(F.lit(0).alias("low"), F.size(spans).alias("high"))
+    halvings = F.sequence(F.lit(1), F.length(F.bin(F.size(spans))))
+    return F.get(spans, F.aggregate(halvings, begin, halve, lambda seen: seen.low))
 
 
 def _mentions(text: Column) -> Column:
     """Mentions with the words around them; `kind` is that of the base span it is, or null.
 
-    Needs a column `spans`; mentions that only overlap one are left out.
+    Needs a column `spans`; mentions that only overlap one are left out. Spans of a kind are disjoint, so
+    the first that ends after a mention's start tells whether any of the kind overlaps it.
     """
     either = "|".join((EMAIL, PHONE, IP, CARD, MENTION))
-    spans = F.col("spans")
-    matches = _matches(text, either, text.rlike("[0-9@]"))
-    free = F.filter(
-        matches,
-        lambda m: ~F.exists(
-            spans, lambda s: (s.start < m.end) & (m.start < s.end) & ((s.start != m.start) | (s.end != m.end))
-        ),
-    )
+    matches = _matches(text, either, text.rlike("[0-9@]"), around=True)
 
-    def described(m: Column) -> Column:
-        own = F.filter(spans, lambda s: (s.start == m.start) & (s.end == m.end))
+    def touching(m: Column, by_kind: Column) -> Column:
+        near = [_bound(F.get(by_kind, F.lit(k)), lambda own: _first_after(own, m.start)) for k in range(len(KINDS))]
+        return F.filter(F.array(*near), lambda s: s.start < m.end)
+
+    def described(m: Column, touched: Column) -> Column:
         return F.struct(
             m.start.alias("start"),
             m.end.alias("end"),
             F.lower(m.value).alias("instance"),
-            F.when(F.size(own) > 0, F.element_at(F.transform(own, lambda s: s.kind), 1)).alias("kind"),
+            F.get(F.transform(touched, lambda s: s.kind), F.lit(0)).alias("kind"),
             F.regexp_extract(F.lower(m.before), r"(\S+)\s*$", 1).alias("left"),
             F.regexp_extract(F.lower(m.after), r"^\s*(\S+)", 1).alias("right"),
+            F.exists(touched, lambda s: (s.start != m.start) | (s.end != m.end)).alias("overlaps"),
         )
 
-    return F.transform(free, described)
+    def listed(by_kind: Column) -> Column:
+        return F.transform(matches, lambda m: _bound(touching(m, by_kind), lambda touched: described(m, touched)))
+
+    def of_kind(k: int) -> Column:
+        return F.filter("spans", lambda s: s.kind == k)
+
+    spans = F.array(*[of_kind(k) for k in range(len(KINDS))])
+    return F.filter(_bound(spans, listed), lambda m: ~m.overlaps)
 
 
 def _patterns() -> Column:
@@ -187,40 +242,62 @@ def detect(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     """`docs` with `spans` (base) and `added`: arrays of (start, kind, end, value), in order.
 
     Positions are code points, the end exclusive; kind is a place in KINDS. A null text is empty. The
-    rows of `docs` are all kept, repeated ones too; columns with the names of the new ones are
-    replaced. `keep_text=False` drops the text early, so that it is never stored.
+    rows of `docs` are all kept, repeated ones too; columns named `spans` and `added` are replaced,
+    all others kept. `keep_text=False` drops the text early, so that it is never stored.
     """
-    kept = docs.drop("spans", "added", "_row", "_mentions")
+    kept = docs.drop("spans", "added")
     text = F.coalesce("text", F.lit(""))
-    read = kept.withColumn("spans", _spans(text)).withColumn("_mentions", _mentions(text))
-    read = (read if keep_text else read.drop("text")).withColumn("_row", F.monotonically_increasing_id())
-    first = stored(read)
-    mentions = first.where(F.size("_mentions") > 0).select("_row", F.inline("_mentions"))
+    columns = [c for c in kept.columns if keep_text or c != "text"]
+    # the document's columns are held in one, so that their names meet no other
+    read = kept.select("text", F.struct(*columns).alias("document")).withColumn("spans", _spans(text))
+    read = read.select("document", "spans", _mentions(text).alias("mentions"))
+    first = stored(read.withColumn("row", F.monotonically_increasing_id()))
+    mentions = first.where(F.size("mentions") > 0).select("row", F.inline("mentions"))
     fresh = stored(mentions.where(F.col("kind").isNull()).drop("kind").join(discovered(mentions), "instance"))
     span = F.struct("start", "kind", "end", F.col("instance").alias("value"))
-    per_row = fresh.groupBy("_row").agg(F.array_sort(F.collect_list(span)).alias("added"))
-    columns = [*kept.columns] if keep_text else [c for c in kept.columns if c != "text"]
+    per_row = fresh.groupBy("row").agg(F.sort_array(F.collect_list(span)).alias("added"))
     none = F.expr("cast(array() as array<struct<start:int,kind:int,end:int,value:string>>)")
-    without = first.where(F.size("_mentions") == 0).select(*columns, "spans", none.alias("added"))
-    having = first.where(F.size("_mentions") > 0).join(per_row, "_row", "left")
-    return having.select(*columns, "spans", F.coalesce("added", none).alias("added")).unionByName(without)
+    without = first.where(F.size("mentions") == 0).select("document.*", "spans", none.alias("added"))
+    having = first.where(F.size("mentions") > 0).join(per_row, "row", "left")
+    return having.select("document.*", "spans", F.coalesce("added", none).alias("added")).unionByName(without)
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """`text` with each span replaced by its kind in brackets; overlapping spans by the first one's."""
+    """`text` with each span replaced by its kind in brackets; overlapping spans by the first one's.
+
+    The text is cut into pieces first, so that a span costs a piece and not the whole text.
+    """
     names = F.array(*[F.lit(f"[{kind.upper()}]") for kind in KINDS])
 
-    def step(seen: Column, s: Column) -> Column:
-        fresh = s.start >= seen.at
-        between = F.substring(text, seen.at + 1, s.start - seen.at)
-        return F.struct(
-            F.greatest(seen.at, s.end).alias("at"),
-            F.when(fresh, F.concat(seen.out, between, F.element_at(names, s.kind + 1))).otherwise(seen.out).alias("out"),
-        )
+    def part(pieces: Column, start: Column, end: Column) -> Column:
+        first = F.floor(start / PIECE).cast("int")
+        own = F.slice(pieces, first + 1, F.floor(end / PIECE).cast("int") - first + 1)
+
+        def cut(piece: Column, i: Column) -> Column:
+            begin = F.greatest(start - (first + i) * PIECE, F.lit(0))
+            return F.substring(piece, begin + 1, F.least(end - (first + i) * PIECE, F.lit(PIECE)) - begin)
+
+        return F.array_join(F.transform(own, cut), "")
 
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate(spans, begin, step, lambda seen: F.concat(seen.out, F.substring(text, seen.at + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    def put_together(held: Column) -> Column:
+        def replaced(s: Column, i: Column) -> Column:
+            at = F.get(held.done, i)
+            return F.when(
+                s.start >= at, F.concat(part(held.pieces, at, s.start), F.element_at(names, s.kind + 1))
+            ).otherwise("")
+
+        last = part(held.pieces, F.array_max(held.ends), F.length(text))
+        return F.concat(F.array_join(F.transform(held.spans, replaced), ""), last)
+
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+    ends = F.transform(spans, lambda s: s.end)
+    held = _bound(
+        F.struct(spans.alias("spans"), ends.alias("ends"), pieces.alias("pieces")),
+        lambda h: F.struct(
+            h.spans.alias("spans"), h.ends.alias("ends"), h.pieces.alias("pieces"), _before(h.ends, lambda a, b: F.greatest(a, b)).alias("done")
+        ),
+    )
+    return F.when(F.size(spans) > 0, _bound(held, put_together)).otherwise(text)
 
 
 def listed(spans: Column) -> Column:
@@ -238,7 +315,7 @@ def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         of_kind = F.filter("spans", lambda s: s.kind == KINDS.index(kind))
         return F.size(of_kind).cast("long").alias(f"n_{kind}")
 
-    every = F.array_sort(F.concat("spans", "added"))
+    every = F.sort_array(F.concat("spans", "added"))
     return found.select(
         "doc_id",
         *[count(kind) for kind in KINDS],
