@@ -531,12 +531,17 @@ def one_of_each(docs: DataFrame, likeness: Likeness = Likeness()) -> DataFrame:
 
     Of repeated rows one stays. Texts without words are all kept. Columns of `docs` are kept as they are.
     """
+    mark = "_"
+    while any(name.startswith(mark) for name in docs.columns):
+        mark += "_"  # so that no column of docs bears a name from here
+    size, k1, k2, own1, own2, rep, nth = (mark + name for name in ("size", "k1", "k2", "own1", "own2", "rep", "nth"))
     _, of_class = _components(docs, likeness)
     first = F.min(F.struct(F.col("rep").isNull().alias("no_id"), "rep", "k1", "k2")).alias("first")
     chosen = of_class.groupBy("label").agg(first).select(
-        F.col("first.k1").alias("_own1"), F.col("first.k2").alias("_own2"), F.col("first.rep").alias("_rep")
+        F.col("first.k1").alias(own1), F.col("first.k2").alias(own2), F.col("first.rep").alias(rep)
     )
-    schema = T.StructType(docs.schema.fields + T.StructType.fromDDL("_size long, _k1 long, _k2 long").fields)
+    added_fields = T.StructType().add(size, "long").add(k1, "long").add(k2, "long").fields
+    schema = T.StructType(docs.schema.fields + added_fields)
     names = schema.names
 
     def keyed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -545,11 +550,11 @@ def one_of_each(docs: DataFrame, likeness: Likeness = Likeness()) -> DataFrame:
             yield pa.RecordBatch.from_arrays(batch.slice(first, last - first).columns + added, names)
 
     rows = map_tables(docs, keyed, schema)
-    own = (F.col("_k1") == F.col("_own1")) & (F.col("_k2") == F.col("_own2")) & F.col("doc_id").eqNullSafe(F.col("_rep"))
-    kept = rows.where("_size > 0").join(chosen, own, "left_semi")
-    order = Window.partitionBy("_k1", "_k2").orderBy("doc_id")
-    kept = kept.withColumn("_nth", F.row_number().over(order)).where("_nth = 1")
-    return kept.select(docs.columns).unionByName(rows.where("_size = 0").select(docs.columns))
+    own = (F.col(k1) == F.col(own1)) & (F.col(k2) == F.col(own2)) & F.col("doc_id").eqNullSafe(F.col(rep))
+    kept = rows.where(F.col(size) > 0).join(chosen, own, "left_semi")
+    order = Window.partitionBy(k1, k2).orderBy("doc_id")
+    kept = kept.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1)
+    return kept.select(docs.columns).unionByName(rows.where(F.col(size) == 0).select(docs.columns))
 
 
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -101,7 +101,7 @@ def test_long_and_dense_texts(spark, name):
     began = time.monotonic()
     found = m.detect(documents(spark, [text])).withColumn("clean", m.redacted(F.col("text"), F.col("spans")))
     row = found.withColumn("listed", m.listed(F.col("spans"))).first()
-    assert time.monotonic() - began < 60
+    assert time.monotonic() - began < 120
     # the plain patterns take hours for these two, which hold no span
     assert row.listed == ("" if name in ("digits", "dashes") else base_spans(text))
     assert row.clean == plainly_redacted(text, row.spans)
