@@ -16,11 +16,21 @@ from cartlayers.llm import bpe, contamination, jaccard_join, language_id, person
 from cartlayers.llm.common import prepared, stored, table
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and all other columns in one, so that their names meet none that an operator adds."""
+    return docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")]).alias("document"))
+
+
+def _unpacked(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `docs` again, in their order."""
+    return found.select([c if c in ("doc_id", "text") else F.col("document")[c].alias(c) for c in docs.columns])
+
+
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter; only undetermined ones go, however unlike the learned languages a text is."""
     prepared(spark)
-    found = language_id.identify(docs, language_id.profiles_of(docs))
-    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(docs.columns)
+    found = language_id.identify(_packed(docs), language_id.profiles_of(docs))
+    return _unpacked(found.where(F.col("lang_pred") != language_id.UNDETERMINED), docs)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,20 +41,20 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words repeats benchmark windows."""
-    found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(~F.col("contaminated")).select(docs.columns)
+    found = contamination.contamination(_packed(docs), table(spark, sf_dir, "benchmark"))
+    return _unpacked(found.where(~F.col("contaminated")), docs)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; n_chars follows the text."""
     prepared(spark)
-    found = personal_data.detect(docs)
-    spans = F.array_sort(F.concat("spans", "added"))
-    text = personal_data.redacted(F.col("text"), spans)
-    changed = found.withColumn("text", text)
-    return changed.withColumn(
-        "n_chars", F.when(F.size(spans) > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
-    ).select(docs.columns)
+    found = personal_data.detect(_packed(docs))
+    spans = F.sort_array(F.concat("spans", "added"))
+    hidden = found.select("*", (F.size(spans) > 0).alias("changed")).withColumn(
+        "text", personal_data.redacted(F.col("text"), spans)
+    )
+    n_chars = F.when(F.col("changed"), F.length("text")).otherwise(F.col("document")["n_chars"]).cast("long")
+    return _unpacked(hidden.withColumn("document", F.col("document").withField("n_chars", n_chars)), docs)
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
