@@ -59,6 +59,16 @@ def test_stages_keep_the_columns_and_take_odd_tables(spark, folder):
         assert p.STAGES[-1][1](spark, docs, folder).count() == docs.count()
 
 
+def test_columns_of_any_name_stay_as_they_are(spark, folder):
+    names = ["lang_pred", "spans", "contaminated", "_k1", "_size", "_row", "_mentions", "document", "mentions"]
+    docs = documents(spark, TEXTS[-2:] + TEXTS[:2]).withColumns({name: F.concat(F.lit(name), "doc_id") for name in names})
+    for _, stage in p.STAGES[:-1]:
+        kept = stage(spark, docs, folder)
+        rows = kept.collect()
+        assert kept.columns == docs.columns and rows
+        assert all(r[name] == f"{name}{r.doc_id}" for r in rows for name in names)
+
+
 def test_clean_documents_stay(spark, folder):
     docs = given(spark, "documents")
     assert p.keep_languages(spark, docs, folder).count() == docs.where(F.col("text").rlike(r"\p{L}")).count()
