@@ -6,8 +6,8 @@ away as they were and added as they are now; the sums are whole numbers (cents,
 totals are exactly those of a full rebuild. Beside each sum there is the number of values in it, since a
 sum of nothing is missing and not zero, and a group without orders goes.
 
-Affected are orders with a changed row in orders, items or reviews, and orders of changed customers. Only
-they are read again, by semi-joins with their ids.
+Affected are orders with a changed row in orders, items or reviews, and orders of changed customers, as far
+as totals read the rows. Only they are read again, by semi-joins with their ids.
 """
 
 from __future__ import annotations
@@ -21,10 +21,21 @@ from pyspark.sql import functions as F
 from cartlayers.functions.dates import month_label
 from cartlayers.functions.numbers import cents, cents_total, mean_of_totals, money_mean, percent_change, wide
 from cartlayers.operators.merge import changed_keys
+from cartlayers.operators.rules import FLAG
 from cartlayers.plans import gold as g
 
+#: What totals read of the cleaned tables; rows that differ in nothing else add the same to them.
+READ = {
+    "orders": (
+        "order_id", "customer_id", "order_status = 'delivered' AS delivered", "order_purchase_timestamp",
+        "order_delivered_customer_date", "order_estimated_delivery_date", FLAG,
+    ),
+    "order_items": ("order_id", "seller_id", "price", "freight_value"),
+    "customers": ("customer_id", "customer_state"),
+    "reviews": ("order_id", "review_id IS NOT NULL AS identified", "review_score"),
+}
 #: The cleaned tables that totals come from; sellers only lend their state when a ranking is shown.
-SOURCES = ("orders", "order_items", "customers", "reviews")
+SOURCES = tuple(READ)
 
 #: Group of each business table's totals.
 GROUPS = {
@@ -92,6 +103,7 @@ def changed_orders(
     """
     if differing is None:
         differing = {n: (before[n], after[n]) for n in SOURCES}
+    differing = {n: [t.selectExpr(*READ[n]) for t in sides] for n, sides in differing.items()}
     found = [
         changed_keys(*differing[n], ["order_id"]) for n in ("orders", "order_items", "reviews") if n in differing
     ]

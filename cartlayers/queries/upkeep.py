@@ -52,11 +52,14 @@ def merged(table: str) -> Query:
     return Query(partial(_merged, table), with_views(clean_sql(table), RAW_SQL[table]))
 
 
-def _versions(v: Views) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """The cleaned tables, and an earlier state of them: some orders were missing, some had other rows,
-    some customers lived elsewhere, and some orders were there that have been deleted since."""
+def _versions(v: Views, store: ReleaseStore) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """An earlier state of the cleaned tables and the tables: some orders were missing, some had other rows,
+    some customers lived elsewhere, and some orders were there that have been deleted since.
+
+    Views that shuffle are stored, as cleaned tables are, since both states are read several times."""
+    orders, items = (store.open(store.write(getattr(v, n)(), n)) for n in ("orders", "order_items"))
     after = {
-        "orders": v.orders(), "order_items": v.order_items(), "customers": v.customers(),
+        "orders": orders, "order_items": items, "customers": v.customers(),
         "reviews": v.reviews(), "sellers": v.sellers(),
     }
     key = F.col("order_id")
@@ -76,8 +79,8 @@ def _versions(v: Views) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
 
 def _maintained(table: str, v: Views) -> DataFrame:
     """A business table from the totals of the earlier state and the orders that have changed since."""
-    before, after = _versions(v)
     store = _store(v)
+    before, after = _versions(v, store)
     held = store.open(store.write(m.totals(before)[table], table))
     affected = store.open(store.write(m.changed_orders(before, after), "affected"))
     gone, come = (m.totals(state, affected)[table] for state in (before, after))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from cartlayers.plans import gold as g
 from cartlayers.plans import maintained as m
+from cartlayers.queries import upkeep
+from cartlayers.queries.views import Views
 from cartlayers.sources.releases import ReleaseStore
 
 ORDERS = (
@@ -124,3 +126,42 @@ def test_only_affected_orders_meet(spark):
     plan = m.totals(tables, tables["orders"].select("order_id").where(F.col("order_id") == "o1"))["receita_mensal"]
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Join LeftSemi") == 2 and text.index("Join Inner") < text.index("Join LeftSemi")
+
+
+@pytest.mark.parametrize(
+    "table, column, value, found",
+    [
+        ("order_items", "order_item_id", "F.lit('z')", False),
+        ("orders", "order_status", "F.lit('processing')", False),
+        ("reviews", "review_id", "F.lit('z')", False),
+        ("orders", "order_status", "F.lit('delivered')", True),
+        ("orders", "customer_id", "F.lit('z')", True),
+        ("orders", "order_purchase_timestamp", "F.current_timestamp()", True),
+        ("orders", "order_delivered_customer_date", "F.current_timestamp()", True),
+        ("orders", "order_estimated_delivery_date", "F.current_timestamp()", True),
+        ("orders", "flag_data_inconsistente", "~F.col('flag_data_inconsistente')", True),
+        ("order_items", "seller_id", "F.lit('z')", True),
+        ("order_items", "price", "F.lit(77).cast('decimal(10,2)')", True),
+        ("order_items", "freight_value", "F.lit(77).cast('decimal(10,2)')", True),
+        ("reviews", "review_score", "F.lit(2)", True),
+        ("reviews", "review_id", "F.lit(None).cast('string')", True),
+        ("customers", "customer_state", "F.lit('AM')", True),
+    ],
+)
+def test_only_what_totals_read_affects(spark, table, column, value, found):
+    order = ("o1", "c1", "shipped", None, None, None, False)
+    before = version(spark, {1: (order, [("o1", "0", "s1", None, None)], [("r1", "o1", 1)])}, {"c1": "SP"})
+    after = {**before, table: before[table].withColumn(column, eval(value))}
+    assert content(m.changed_orders(before, after)) == (["Row(order_id='o1')"] if found else [])
+
+
+def test_versions_read_stored_views(spark, tmp_path):
+    """Items are deduplicated, and orders joined with them, once for both states and all that reads them."""
+    views = Views(spark, "/root/testdata/sf0.001")
+    for state in upkeep._versions(views, ReleaseStore(spark, str(tmp_path / "store"))):
+        for name in ("orders", "order_items"):
+            text = state[name]._jdf.queryExecution().optimizedPlan().toString()
+            assert "Window" not in text and "Aggregate" not in text and "Join" not in text
+        assert content(state["order_items"].where("order_id % 13 <> 5 AND order_id % 19 <> 4 AND order_id >= 0")) == content(
+            views.order_items().where("order_id % 13 <> 5 AND order_id % 19 <> 4")
+        )
