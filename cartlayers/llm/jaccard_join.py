@@ -22,6 +22,7 @@ fetched for the exact comparison, and groups are cut into blocks. Only a spannin
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -395,10 +396,19 @@ def candidates(meetings: DataFrame, likeness: Likeness) -> DataFrame:
     return meetings.groupBy("leader", "block", "guest").applyInArrow(thin, MEETING)
 
 
+def _pressed(texts: pa.Array) -> pa.Array:
+    """Texts as they are shuffled: each compressed as a whole, which is smaller than Spark's blocks of rows."""
+    return pa.array([None if t is None else zlib.compress(t, 1) for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
+
+
+def _unpressed(texts: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else zlib.decompress(t) for t in texts.to_pylist()], pa.binary())
+
+
 def _links(rows: pa.Table, likeness: Likeness) -> np.ndarray:
     """Pairs of components (l1, l2, l1, l2) that a block links, by exact comparison: a spanning forest of them."""
     texts, back = np.unique(rows.column("text").combine_chunks().dictionary_encode().indices.to_numpy(), return_inverse=True)
-    distinct = rows.column("text").combine_chunks().dictionary_encode().dictionary.take(pa.array(texts))
+    distinct = _unpressed(rows.column("text").combine_chunks().dictionary_encode().dictionary.take(pa.array(texts)))
     shingles, sizes, cells, keys = [], [], [], []
     for _, _, found in _sets_of(distinct, likeness):
         order = np.lexsort((found.shingles, found.text))
@@ -459,13 +469,14 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame, likeness: Liken
     def keep(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         low = batch.column(0).fill_null(0).to_numpy() & (FILTER_BITS - 1)
         use = (flags[low >> 6] >> (low & 63) & 1).astype(bool) | batch.column(0).is_null().to_numpy(zero_copy_only=False)
-        yield batch.filter(pa.array(use))
+        kept = batch.filter(pa.array(use))
+        yield pa.RecordBatch.from_arrays([kept.column(0), _pressed(kept.column(1))], ["doc_id", "text"])
 
     def compare(rows: pa.Table) -> pa.Table:
         ends = _links(rows, likeness)
         return pa.table({n: ends[:, i] for i, n in enumerate(("k1_a", "k2_a", "k1_b", "k2_b"))})
 
-    texts = map_tables(docs.select("doc_id", "text"), keep, "doc_id long, text string")
+    texts = map_tables(docs.select("doc_id", "text"), keep, "doc_id long, text binary")
     edges = (
         texts.join(asked, F.col("doc_id").eqNullSafe(F.col("rep")))
         .select(*names, "text")

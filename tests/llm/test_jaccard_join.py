@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cartlayers.llm import jaccard_join as m
@@ -174,3 +175,21 @@ def test_a_long_chain_in_blocks(spark, monkeypatch):
     texts = [" ".join(w[8 * i : 8 * i + 100]) for i in range(50)]
     monkeypatch.setattr(m, "BLOCK", 4)
     check(m.near_duplicates(documents(spark, texts)), dict(enumerate(texts)))
+
+
+def test_texts_are_shuffled_compressed(spark, monkeypatch):
+    odd = [None, "", "\u00e9 \u4e2d \U0001f389 \x00 \n", prose(3, 400)]
+    assert m._unpressed(m._pressed(pa.array(odd))).cast(pa.string()).to_pylist() == odd
+    mapped, sent = m.map_tables, []
+
+    def kept(*args):
+        found = mapped(*args)
+        if found.columns == ["doc_id", "text"]:
+            sent.append(found)
+        return found
+
+    monkeypatch.setattr(m, "map_tables", kept)
+    texts = near_copies(4, [300, 200], 6, 4)
+    check(m.near_duplicates(documents(spark, texts)), dict(enumerate(texts)))
+    assert sent and all(len(r.text) < 0.7 * len(texts[r.doc_id]) for found in sent for r in found.collect())
+    assert any(found.count() for found in sent)
