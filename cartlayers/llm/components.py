@@ -30,21 +30,24 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where(F.col("a") != F.col("b")).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller one at most, and then none to it: the stars are done."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    sums = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return sums.agg(F.count_if((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()[0] == 0
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """For edges (a, b): every node that has an edge, with the smallest node it can reach, as (node, label).
 
-    Every round is written to the shared folder. It ends when a round changes nothing, which the count
-    and a sum of hashes of the edges tell.
+    Every round is written to the shared folder. It ends when the edges are stars around their smallest
+    nodes, which further rounds would not change.
     """
-    current = stored(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct())
-    state = None
-    while True:
-        digest = current.agg(
-            F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
-        ).first()
-        if (digest.n, digest.h) == state or digest.n == 0:
-            break
-        state = (digest.n, digest.h)
+    down = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    current = stored(down.distinct())
+    while not _settled(current):
         current = stored(_stars(_stars(current, large=True), large=False))
     labels = current.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
     roots = current.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("label"))

@@ -13,10 +13,11 @@ it has more parts without an empty pair than differences could spoil; the rare o
 Copies (same shingle set) are one class. Signatures are packed per bucket, deduplicated in each
 batch, and give stars: the smallest class of all batches with a signature leads it. Two classes that
 share a signature share its leader, so all candidate pairs meet within the group of a leader. Every class
-is first compared with one pivot of its group, which joins most copies; then, in groups that are still in
-several components, the classes outside the largest one are compared with those of other components.
-Both times pairs are thinned by sizes and by cell counts, a lower bound of the difference, before texts are
-fetched for the exact comparison, and groups are cut into blocks. Only a spanning forest leaves a block.
+is first compared with one pivot among the classes with the same smallest leader, which joins most copies; then,
+in groups that are still in several components, the classes outside the largest one are compared with those of
+other components. Both times pairs are thinned by sizes and by the parities of cells, a lower bound of the
+difference, before texts are fetched for the exact comparison, and groups are cut into blocks. Only a spanning
+forest leaves a block.
 """
 
 from __future__ import annotations
@@ -37,12 +38,11 @@ from cartlayers.llm.common import map_tables, stored, table
 from cartlayers.llm.components import connected_components
 from cartlayers.llm.words import HASH_STEP, NOT_SPACE, Words, chunks, expand, mix, runs, text_bytes
 
-CELLS = 128
 THIRDS = 3
-SIGNATURES_PER_BUCKET = 1_000_000
+SIGNATURES_PER_BUCKET = 4_000_000
 SIGNATURES_PER_PACK = 1_500_000
 #: A block has at most about so many classes, and about so many shingles in all: a class is 170 bytes when its
-#: cells are compared, and a shingle some 15 when its text is.
+#: parities are compared, and a shingle some 15 when its text is.
 BLOCK, BLOCK_SHINGLES = 4096, 1 << 20
 FILTER_BITS = 1 << 26
 
@@ -116,10 +116,22 @@ class ShingleSets:
         np.add.at(sums[1], self.text, mix(self.shingles ^ np.uint64(7)))
         return mix(sums[0]).view(np.int64), mix(sums[1]).view(np.int64)
 
-    def cells(self) -> np.ndarray:
-        """Elements of each set per cell of the domain, modulo 256."""
-        place = self.text * CELLS + (self.shingles >> np.uint64(57)).astype(np.int64)
-        return np.bincount(place, minlength=len(self.sizes) * CELLS).astype(np.uint8).reshape(-1, CELLS)
+    def cells(self) -> pa.Array:
+        """A bit for each cell of the domain, as binary: whether the set has an odd number of elements there.
+
+        A cell in which two sets differ in their bits holds an element of their difference, at least. A set has
+        two to four times as many cells as elements, a power of two; its halves laid over each other are the bits
+        for half as many cells.
+        """
+        cells = np.int64(1) << np.ceil(np.log2(np.maximum(2 * self.sizes, 64))).astype(np.int64)
+        base = np.concatenate([[0], np.cumsum(cells)])
+        counts = np.zeros(base[-1], dtype=np.uint8)
+        place = base[self.text] + ((self.shingles >> np.uint64(24)).astype(np.int64) & (cells[self.text] - 1))
+        np.add.at(counts, place, np.uint8(1))
+        bits = np.packbits(counts & 1)
+        return pa.Array.from_buffers(
+            pa.binary(), len(cells), [None, pa.py_buffer((base // 8).astype(np.int32)), pa.py_buffer(bits)]
+        )
 
     def signatures(self, likeness: Likeness) -> tuple[np.ndarray, np.ndarray]:
         """Signatures of all sets, and the text of each."""
@@ -162,23 +174,15 @@ def _sets_of(column: pa.Array, likeness: Likeness) -> Iterator[tuple[int, int, S
         yield first, last, ShingleSets(data[offsets[first] : offsets[last]], offsets[first : last + 1], likeness)
 
 
-def _binary(rows: np.ndarray) -> pa.Array:
-    """A binary value per row of a two-dimensional array."""
-    width = rows.shape[1] * rows.itemsize
-    return pa.FixedSizeBinaryArray.from_buffers(
-        pa.binary(width), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows))]
-    ).cast(pa.binary())
-
-
 def shingle_sets(docs: DataFrame, likeness: Likeness) -> DataFrame:
-    """doc_id, n_shingles, the two keys of the set and its cell counts, for every document."""
+    """doc_id, n_shingles, the two keys of the set and the parities of its cells, for every document."""
 
     def measure(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0)
         for first, last, sets in _sets_of(batch.column(1), likeness):
             k1, k2 = sets.keys()
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(first, last - first), pa.array(sets.sizes), pa.array(k1), pa.array(k2), _binary(sets.cells())],
+                [ids.slice(first, last - first), pa.array(sets.sizes), pa.array(k1), pa.array(k2), sets.cells()],
                 ["doc_id", "n_shingles", "k1", "k2", "cells"],
             )
 
@@ -206,8 +210,8 @@ def star_pairs(docs: DataFrame, likeness: Likeness, buckets: int) -> DataFrame:
     the other classes as a follower row. A bucket reads its leader rows first and takes the smallest class
     of each signature; follower rows then pass one by one and get that leader. So a signature that very
     many classes share adds one entry a batch to what a bucket holds, and all its classes one leader. The
-    entries of a batch are packed, and 32 bits of a signature are enough: a bucket has about a million,
-    and a false pair only costs a comparison.
+    entries of a batch are packed by class, so the fewer the buckets, the fewer classes are sent. 32 bits of
+    a signature are enough: a bucket has some millions, and a false pair only costs a comparison.
     """
     columns = ["bucket", "follows", "signatures", "counts", "classes"]
 
@@ -218,7 +222,12 @@ def star_pairs(docs: DataFrame, likeness: Likeness, buckets: int) -> DataFrame:
         for a, b in zip(begin, np.append(begin[1:], len(bucket)), strict=True):
             order = np.argsort(keys[a:b])
             classes, counts = np.unique(keys[a:b], return_counts=True)
-            packed = (short[a:b][order], counts.astype(np.uint32), classes)
+            most = 255  # of a byte; a class with more stands there again
+            again = -(-counts // most)
+            last = np.cumsum(again) - 1
+            classes, sent = np.repeat(classes, again), np.full(last[-1] + 1, most)
+            sent[last] = counts - most * (again - 1)
+            packed = (short[a:b][order], sent.astype(np.uint8), classes)
             yield int(bucket[a]), follows, *(x.tobytes() for x in packed)
 
     def pack(signatures: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
@@ -258,7 +267,7 @@ def star_pairs(docs: DataFrame, likeness: Likeness, buckets: int) -> DataFrame:
             for i in range(batch.num_rows):
                 follows, signatures, counts, classes = (batch.column(c)[i].as_py() for c in columns[1:])
                 signatures = np.frombuffer(signatures, np.uint32)
-                classes = np.repeat(np.frombuffer(classes, np.int64), np.frombuffer(counts, np.uint32))
+                classes = np.repeat(np.frombuffer(classes, np.int64), np.frombuffer(counts, np.uint8))
                 if not follows:
                     if held is not None:
                         raise RuntimeError("a leader row came after a follower row")
@@ -297,41 +306,53 @@ def _dealt(members: DataFrame) -> DataFrame:
 #: them. (l1, l2) is what is known of a class's component; `outside` tells that it is not the one most of the
 #: group is in.
 MEETING = "leader long, block int, guest int, visits boolean, outside boolean, l1 long, l2 long, k1 long, k2 long"
-PIVOT = "leader long, k1 long, k2 long, n_shingles long, cells binary, distance double"
+PIVOT = "leader long, blocks int, k1 long, k2 long, n_shingles long, cells binary, distance double"
 
 
-def _cell_counts(rows: pa.Table) -> np.ndarray:
-    return np.frombuffer(b"".join(rows.column("cells").to_pylist()), np.uint8).reshape(-1, CELLS)
+def _parities(cells: pa.Array) -> np.ndarray:
+    """Parities of sets in rows of 64 bits, over the cells of the set that has the fewest."""
+    values = cells.to_pylist()
+    width = min(map(len, values), default=8) // 8
+    folded = [np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, width), axis=0) for x in values]
+    return np.array(folded, dtype=np.uint64).reshape(-1, width)
 
 
 def _with_pivots(members: DataFrame) -> DataFrame:
-    """Residents of every block, visited by one class of their group: the pivot.
+    """Residents of every block, visited by one class of their group: the pivot. A class is in one group only.
 
-    The pivot is the class nearest to the mean cell counts of its block, of all blocks the nearest one; in a
+    The pivot is the class nearest to the mean parities of its block, of all blocks the nearest one; in a
     group of edited copies that is the text they were made from, or nearly. A group has a pivot row per
     block, so what is compared grows with its members.
     """
 
     def nearest(rows: pa.Table) -> pa.Table:
-        cells = _cell_counts(rows).astype(np.float64)
-        distance = np.abs(cells - cells.mean(axis=0)).sum(axis=1)
-        at = np.lexsort((rows.column("k1").to_numpy(), distance))[:1]
-        best = rows.take(pa.array(at)).select(["leader", "k1", "k2", "n_shingles", "cells"])
+        bits = np.unpackbits(_parities(rows.column("cells")).view(np.uint8), axis=1)
+        odd = bits.sum(axis=0, dtype=np.int64)  # whole numbers up to the division, the same in any order of rows
+        distance = (odd.sum() + bits.astype(np.float64) @ (len(bits) - 2 * odd)) / len(bits)
+        at = np.lexsort((rows.column("k2").to_numpy(), rows.column("k1").to_numpy(), distance))[:1]
+        best = rows.take(pa.array(at)).select(["leader", "blocks", "k1", "k2", "n_shingles", "cells"])
         return best.append_column("distance", pa.array(distance[at]))
 
-    dealt = _dealt(members).withColumnRenamed("home", "block")
+    dealt = stored(_dealt(members).where("n > 1").withColumnRenamed("home", "block"))
     near = dealt.where("n > 2").groupBy("leader", "block").applyInArrow(nearest, PIVOT)
     # of two classes either will do
-    pairs = dealt.where("n = 2").select("leader", "k1", "k2", "n_shingles", "cells", F.lit(0.0).alias("distance"))
-    kept = F.struct("k1", "k2", "n_shingles", "cells")
+    pairs = dealt.where("n = 2").select("leader", "blocks", "k1", "k2", "n_shingles", "cells", F.lit(0.0).alias("distance"))
+    kept = F.struct("blocks", "k1", "k2", "n_shingles", "cells")
     least = F.min_by(kept, F.struct("distance", "k1", "k2")).alias("p")
     pivots = near.unionByName(pairs).groupBy("leader").agg(least).select("leader", "p.*")
-    blocks = dealt.select("leader", "block").distinct()
-    visitors = pivots.join(blocks, "leader").withColumn("visits", F.lit(True))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    visitors = pivots.withColumns({"block": every, "visits": F.lit(True)}).drop("blocks")
     rows = dealt.drop("blocks", "n").withColumn("visits", F.lit(False)).unionByName(visitors)
     return rows.withColumns({"guest": F.lit(0), "outside": F.lit(False), "l1": F.col("k1"), "l2": F.col("k2")})
 
 
+def _apart(members: DataFrame) -> DataFrame:
+    """Members of the groups that are in several components (l1, l2)."""
+    own = F.struct("l1", "l2")
+    split = members.groupBy("leader").agg(F.min(own).alias("least"), F.max(own).alias("most")).where("least != most")
+    return members.join(split.select("leader"), "leader", "left_semi")
+
+
 def _across(members: DataFrame) -> DataFrame:
     """Residents of every block, visited by those classes of their group that are outside its main component.
 
@@ -365,7 +386,7 @@ class Meeting:
         self.visitors, self.residents = np.flatnonzero(visits), np.flatnonzero(~visits)
 
     def fitting(self, at: int, likeness: Likeness) -> np.ndarray:
-        """Residents of other components that could be linked to a visitor, by sizes and cell counts.
+        """Residents of other components that could be linked to a visitor, by sizes and parities.
 
         Two classes outside visit each other; the one with the smaller key is compared.
         """
@@ -375,8 +396,7 @@ class Meeting:
             own, other = self.keys[at], self.keys[near]
             later = (other[:, 0] > own[0]) | ((other[:, 0] == own[0]) & (other[:, 1] > own[1]))
             near = near[~self.outside[near] | later]
-        gap = self.cells[near] - self.cells[at]
-        gap = np.minimum(gap, -gap).sum(axis=1, dtype=np.int64)
+        gap = np.bitwise_count(self.cells[near] ^ self.cells[at]).sum(axis=1, dtype=np.int64)
         total = self.sizes[near] + self.sizes[at]
         return near[gap * (100 + likeness.percent) <= (100 - likeness.percent) * total]
 
@@ -385,7 +405,7 @@ def candidates(meetings: DataFrame, likeness: Likeness) -> DataFrame:
     """Visitors that may be linked to a resident of the block they visit, and those residents."""
 
     def thin(rows: pa.Table) -> pa.Table:
-        meeting = Meeting(rows, rows.column("n_shingles").to_numpy(), _cell_counts(rows))
+        meeting = Meeting(rows, rows.column("n_shingles").to_numpy(), _parities(rows.column("cells")))
         use = np.zeros(rows.num_rows, dtype=bool)
         for at in meeting.visitors:
             fit = meeting.fitting(at, likeness)
@@ -416,14 +436,14 @@ def _links(rows: pa.Table, likeness: Likeness) -> np.ndarray:
         sizes.append(found.sizes)
         cells.append(found.cells())
         keys.append(np.stack(found.keys(), axis=1))
-    sizes, cells, keys = np.concatenate(sizes), np.concatenate(cells), np.concatenate(keys)
+    sizes, cells, keys = np.concatenate(sizes), pa.concat_arrays(cells), np.concatenate(keys)
     # a repeated doc_id brings several texts; only one with the class's own set counts
     wanted = np.stack([rows.column(c).to_numpy() for c in ("k1", "k2")], axis=1)
     right = np.flatnonzero((keys[back] == wanted).all(axis=1))
     roles = np.concatenate([wanted, rows.column("visits").to_numpy(zero_copy_only=False)[:, None]], axis=1)
     right = right[np.unique(roles[right], axis=0, return_index=True)[1]]
     own = back[right]
-    meeting = Meeting(rows.take(pa.array(right)), sizes[own], cells[own])
+    meeting = Meeting(rows.take(pa.array(right)), sizes[own], _parities(cells.take(pa.array(own))))
     edges = []
     for at in meeting.visitors:
         fit = meeting.fitting(at, likeness)
@@ -493,7 +513,7 @@ def _labelled(classes: DataFrame, by: DataFrame) -> DataFrame:
     """Classes with the label of their component after further edges between components."""
     merged = by.select("node", F.col("label").alias("merged"))
     return classes.join(merged, F.col("label") == F.col("node"), "left").select(
-        "k1", "k2", "n_shingles", "cells", "rep", F.coalesce("merged", "label").alias("label")
+        "k1", "k2", "n_shingles", "rep", F.coalesce("merged", "label").alias("label")
     )
 
 
@@ -507,17 +527,21 @@ def _components(docs: DataFrame, likeness: Likeness) -> tuple[DataFrame, DataFra
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = 1 + total // SIGNATURES_PER_BUCKET
     stars = stored(star_pairs(docs, likeness, buckets))
-    every = stars.unionByName(stars.select("leader", F.col("leader").alias("member")).distinct())
-    # first every class with the pivot of its group, which costs as much as there are classes
-    members = every.join(classes.drop("rep", "label"), every.member == classes.k1).drop("member")
+    own = stars.select("leader", F.col("leader").alias("member"))
+    # first every class with the pivot of one group, that of its smallest leader: it costs as much as there are classes,
+    # and as a class is linked with one pivot at most, the pivot names its component
+    members = stars.unionByName(own).groupBy("member").agg(F.min("leader").alias("leader"))
+    members = members.join(classes.drop("rep", "label"), F.col("member") == F.col("k1")).drop("member")
     found = stored(candidates(_with_pivots(members), likeness))
-    classes = stored(_labelled(classes, connected_components(links(docs, classes, found, likeness))))
-    # then what is still apart in a group
-    held = classes.select("k1", "k2", "n_shingles", "cells", F.col("label.k1").alias("l1"), F.col("label.k2").alias("l2"))
-    members = every.join(held, every.member == held.k1).drop("member")
-    found = stored(candidates(_across(members), likeness))
+    pivots = links(docs, classes, found, likeness).select(F.col("b").alias("node"), F.col("a").alias("label"))
+    joined = stored(_labelled(classes, pivots))
+    # then what is still apart in a group; parities follow when the groups within one component are gone
+    held = joined.select("k1", "k2", "n_shingles", F.col("label.k1").alias("l1"), F.col("label.k2").alias("l2"))
+    members = stars.unionByName(own.distinct()).join(held, F.col("member") == F.col("k1")).drop("member")
+    meetings = _across(stored(_apart(members))).join(classes.select("k1", "k2", "cells"), ["k1", "k2"])
+    found = stored(candidates(meetings, likeness))
     labels = connected_components(links(docs, classes, found, likeness))
-    return sets, _labelled(classes, labels).select("k1", "k2", "rep", "label")
+    return sets, _labelled(joined, labels).select("k1", "k2", "rep", "label")
 
 
 def near_duplicates(docs: DataFrame, likeness: Likeness = Likeness()) -> DataFrame:

@@ -193,3 +193,46 @@ def test_texts_are_shuffled_compressed(spark, monkeypatch):
     check(m.near_duplicates(documents(spark, texts)), dict(enumerate(texts)))
     assert sent and all(len(r.text) < 0.7 * len(texts[r.doc_id]) for found in sent for r in found.collect())
     assert any(found.count() for found in sent)
+
+
+def test_parities_rule_out_sets_that_are_not_linked():
+    """Also of long texts, and of texts whose sets have different numbers of cells."""
+    rng, likeness, texts = random.Random(11), m.Likeness(), []
+    for n in (30, 120, 500, 1100, 4000):
+        base = [f"w{rng.random()}" for _ in range(n)]
+        for change in (0, 0.01, 0.045, 0.06, 0.08):  # of the words; a word is in five shingles
+            copy = list(base)
+            for at in rng.sample(range(n), int(change * n)):
+                copy[at] = f"x{rng.random()}"
+            texts += [" ".join(copy), " ".join(copy[: n - n // 10])]
+    data, offsets = text_bytes(pa.array(texts))
+    sets = m.ShingleSets(data, offsets, likeness)
+    cells, own = sets.cells(), [shingles(t) for t in texts]
+    assert [len(s) for s in own] == sets.sizes.tolist()
+    for i in range(len(texts)):
+        for j in range(i - i % 10, i):
+            one, other = m._parities(cells.take(pa.array([i, j])))
+            gap = int(np.bitwise_count(one ^ other).sum())
+            total, shared = len(own[i]) + len(own[j]), len(own[i] & own[j])
+            assert gap <= total - 2 * shared
+            if shared < 0.7 * (total - shared) and min(len(own[i]), len(own[j])) > 100:
+                assert gap > likeness.most_different(total), (i, j)
+
+
+def test_a_class_meets_one_pivot(spark, monkeypatch):
+    thin, compared = m.candidates, []
+
+    def counted(meetings, likeness):
+        kept = m.stored(meetings)
+        compared.append(kept.where("not visits").count())
+        return thin(kept, likeness)
+
+    monkeypatch.setattr(m, "candidates", counted)
+    texts = near_copies(12, [120] * 6 + [300] * 6, 10, 4)
+    check(m.near_duplicates(documents(spark, texts)), dict(enumerate(texts)))
+    assert compared[0] <= len(set(texts))
+
+
+def test_many_signatures_of_a_class_are_packed(spark):
+    texts = [prose(90, 3000), prose(90, 3000) + " more", prose(91, 50)]
+    check(m.near_duplicates(documents(spark, texts)), dict(enumerate(texts)))
