@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartlayers.llm.common import SharedArrays, map_tables, table
+from cartlayers.llm.common import SharedArrays, give_back, map_tables, table
 from cartlayers.llm.pretokens import pieces
 from cartlayers.llm.tables import hash_table, look_up
-from cartlayers.llm.transducer import compile_words, find
+from cartlayers.llm.transducer import compile_arrays, find
 from cartlayers.llm.words import chunks, expand, slice_hashes, text_bytes
 
 LEXICON = 300_000
@@ -237,6 +237,14 @@ def piece_counts(docs: DataFrame, special: bytes) -> DataFrame:
     return found.groupBy("piece").agg(F.sum("n").alias("n"))
 
 
+def compiled(rows: pa.Table) -> dict[str, np.ndarray]:
+    """The transducer of a table of distinct pieces and their packed ids; no object is made for a row."""
+    rows = rows.sort_by("piece")
+    data, offsets = text_bytes(rows.column("piece"))
+    ids, ends = text_bytes(rows.column("ids"))
+    return compile_arrays(data, np.diff(offsets), ids.copy().view(np.uint32), np.diff(ends) // 4)
+
+
 def prepare(docs: DataFrame, path: str, lexicon: int = LEXICON) -> SharedEncoder:
     """An encoder for the tokenizer file, with the `lexicon` most frequent pieces of `docs` compiled."""
     spark = docs.sparkSession
@@ -254,12 +262,12 @@ def prepare(docs: DataFrame, path: str, lexicon: int = LEXICON) -> SharedEncoder
 
     frequent = piece_counts(docs, vocabulary.special).where(F.col("piece") != F.lit(vocabulary.special))
     frequent = frequent.orderBy(F.desc("n"), "piece").limit(lexicon).select("piece")
-    rows = frequent.repartition(16).mapInArrow(encode, "piece binary, ids binary").toArrow().sort_by("piece")
-    words = rows.column("piece").to_pylist()
-    if not words:
+    rows = frequent.repartition(16).mapInArrow(encode, "piece binary, ids binary").toArrow()
+    if not rows.num_rows:
         return plain
-    ids = [np.frombuffer(x, np.uint32) for x in rows.column("ids").to_pylist()]
-    lexical = SharedArrays.send(spark, **compile_words(words, ids))
+    lexical = SharedArrays.send(spark, **compiled(rows))
+    del rows, vocabulary
+    give_back()
     return SharedEncoder(SharedArrays(base.files | lexical.files), plain.special, plain.special_id)
 
 

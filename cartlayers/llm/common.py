@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import uuid
 import zipfile
@@ -20,6 +21,8 @@ from cartlayers.session import pin_semantics
 
 #: Rows of a batch that Python workers get; texts are long, and a batch is held several times.
 BATCH_ROWS = 2000
+#: Bytes of a file that go to the JVM at once; they are held several times on the way.
+SENT_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,8 +51,8 @@ def share_file(spark: SparkSession, name: str, content: bytes) -> str:
     system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     out = system.create(path)
     try:
-        for start in range(0, len(content), 8 << 20):
-            out.write(bytearray(content[start : start + (8 << 20)]))
+        for start in range(0, len(content), SENT_BYTES):
+            out.write(bytearray(content[start : start + SENT_BYTES]))
     finally:
         out.close()
     return system.makeQualified(path).toString()
@@ -108,6 +111,17 @@ class SharedArrays:
         return {name: np.load(SparkFiles.get(file), mmap_mode="r") for name, file in self.files.items()}
 
 
+def give_back() -> None:
+    """Hand the memory that this process has freed back to the system, where the C library can.
+
+    The driver lives as long as the session; what it freed after a step would count through all later ones.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_tables(df: DataFrame, function: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply `function` to each Arrow batch; it yields batches of `schema`."""
 

@@ -9,86 +9,109 @@ from __future__ import annotations
 import numpy as np
 
 from cartlayers.llm.tables import hash_table, look_up
-from cartlayers.llm.words import HASH_STEP, expand, mix
+from cartlayers.llm.words import HASH_STEP, mix
 
 _BYTE = np.uint64(8)
 
 
-def _padded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.array([len(w) for w in words], dtype=np.int64)
-    grid = np.full((len(words), int(lengths.max(initial=0))), -1, dtype=np.int16)
-    word, place = expand(lengths)
-    grid[word, place] = np.frombuffer(b"".join(words), np.uint8)
-    return grid, lengths
+def _shared(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """How many leading bytes each word has in common with the word before it."""
+    shared = np.zeros(len(lengths), dtype=np.int32)
+    alive, step = np.arange(1, len(lengths), dtype=np.int32), 0
+    while len(alive):
+        alive = alive[np.minimum(lengths[alive], lengths[alive - 1]) > step]
+        alive = alive[data[starts[alive] + step] == data[starts[alive - 1] + step]]
+        step += 1
+        shared[alive] = step
+    return shared
 
 
 def compile_words(words: list[bytes], ids: list[np.ndarray]) -> dict[str, np.ndarray]:
     """Arrays of the transducer of distinct, sorted, non-empty words and their ids."""
-    grid, lengths = _padded(words)
-    n, depth = grid.shape
+    lengths = np.array([len(w) for w in words], dtype=np.int32)
+    counts = np.array([len(x) for x in ids], dtype=np.int64)
+    data = np.frombuffer(b"".join(words), np.uint8)
+    return compile_arrays(data, lengths, np.concatenate([*ids, np.zeros(0, np.uint32)]).astype(np.uint32), counts)
+
+
+def compile_arrays(data: np.ndarray, lengths: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
+    """The same of words laid end to end and their ids laid end to end, with the length of each.
+
+    Nothing is made for each word or for each place of each word, only arrays with a few bytes a node: the
+    driver compiles, and what it once had in small pieces it would not give back.
+    """
+    n, lengths = len(lengths), lengths.astype(np.int32)
+    starts = (np.cumsum(lengths) - lengths).astype(np.int32)
+    shared = _shared(data, starts, lengths)
+    other = np.flatnonzero(shared[1:] < lengths[:-1]) + 1  # words that do not go on from the word before
+    if (shared >= lengths).any() or (data[starts[other] + shared[other]] < data[starts[other - 1] + shared[other]]).any():
+        raise ValueError("words must be distinct, sorted and not empty")
     # the tree of prefixes: node 0 is the root, others are numbered in order of the words
-    fresh = np.ones(grid.shape, dtype=bool)
-    if n > 1:
-        fresh[1:] = ~np.logical_and.accumulate(grid[1:] == grid[:-1], axis=1)
-    fresh &= grid >= 0
-    # the only matrix of more than a byte or two per place of a word, so it is made once and in place
-    node = np.cumsum(fresh, dtype=np.int32).reshape(grid.shape)
-    node *= fresh
-    if n:
-        np.maximum.accumulate(node, axis=0, out=node)
-    rows, columns = np.nonzero(fresh)
-    label = np.concatenate([[0], grid[rows, columns]])
-    parent = np.concatenate([[0], np.where(columns > 0, node[rows, columns - 1], 0)])
-    level = np.concatenate([[0], columns + 1])
-    total = len(label)
+    own = lengths - shared
+    last = np.cumsum(own, dtype=np.int32)
+    total = int(own.sum()) + 1
+    begin = last - own + 1
+    level = np.arange(total, dtype=np.int32)
+    level[1:] += np.repeat(shared + 1 - begin, own)
+    label = np.zeros(total, dtype=np.uint8)
+    label[1:] = data[level[1:] - 1 + np.repeat(starts, own)]
+    parent = np.arange(-1, total - 1, dtype=np.int32)
+    parent[0] = 0
+    depth = int(lengths.max(initial=0))
+    for d in range(depth):
+        # a word that begins its own nodes below level d hangs from the latest node of that level
+        hung = np.flatnonzero(shared == d)
+        if d == 0:
+            parent[begin[hung]] = 0
+        elif len(hung):
+            nodes = np.flatnonzero(level == d).astype(np.int32)
+            parent[begin[hung]] = nodes[np.searchsorted(nodes, begin[hung]) - 1]
     final = np.zeros(total, dtype=bool)
-    final[node[np.arange(n), lengths - 1]] = True
-    del grid, fresh, node, rows, columns
-    below, height = final.astype(np.int64), np.zeros(total, dtype=np.int64)
-    by_level = np.argsort(level, kind="stable")
-    cuts = np.searchsorted(level[by_level], np.arange(depth + 2))
+    final[last] = True
+    below, height = final.astype(np.int32), np.zeros(total, dtype=np.int32)
     for d in range(depth, 0, -1):
-        nodes = by_level[cuts[d] : cuts[d + 1]]
+        nodes = np.flatnonzero(level == d)
         np.add.at(below, parent[nodes], below[nodes])
         np.maximum.at(height, parent[nodes], height[nodes] + 1)
-    # words before a child: the parent itself, and the children left of it
-    before = np.zeros(total, dtype=np.int64)
-    order = np.lexsort((label, parent))[np.searchsorted(np.sort(parent), 0) :]
-    order = order[order > 0]
-    running = np.cumsum(below[order]) - below[order]
-    head = np.append(True, parent[order][1:] != parent[order][:-1]) if len(order) else np.zeros(0, bool)
-    before[order] = running - running[np.flatnonzero(head)][np.cumsum(head) - 1] + final[parent[order]] if len(order) else 0
+    del level, starts, shared, other, own, last, begin
+    # words before a child: the parent itself, and the children left of it, whose nodes have smaller numbers
+    before = np.zeros(total, dtype=np.int32)
+    order = np.argsort(parent[1:], kind="stable").astype(np.int32) + 1
+    if len(order):
+        running = np.cumsum(below[order]) - below[order]
+        head = np.append(True, parent[order][1:] != parent[order][:-1])
+        before[order] = running - running[np.flatnonzero(head)][np.cumsum(head) - 1] + final[parent[order]]
+        del running, head
+    del order, below
     # states: nodes of one height with the same endings, from the leaves up
     ending = final.astype(np.uint64)
-    state = np.zeros(total, dtype=np.int64)
-    chosen, states = [], 0
+    state = np.zeros(total, dtype=np.int32)
+    kept, states = np.zeros(total, dtype=bool), 0
     for h in range(int(height.max(initial=0)) + 1):
         nodes = np.flatnonzero(height == h)
         _, first, which = np.unique(mix(ending[nodes]), return_index=True, return_inverse=True)
         state[nodes] = states + which
-        chosen.append(nodes[first])
+        kept[nodes[first]] = True
         states += len(first)
         with np.errstate(over="ignore"):
             sign = mix((state[nodes].astype(np.uint64) << _BYTE | label[nodes].astype(np.uint64)) + HASH_STEP)
             inner = nodes > 0
             np.add.at(ending, parent[nodes[inner]], mix(sign[inner]) << np.uint64(1))
-    kept = np.zeros(total, dtype=bool)
-    kept[np.concatenate(chosen)] = True
+    del ending, height
     edge = np.flatnonzero(kept[parent] & (np.arange(total) > 0))
     keys = state[parent[edge]].astype(np.uint64) << _BYTE | label[edge].astype(np.uint64)
-    places, values = hash_table(keys, state[edge] << 32 | before[edge])
+    places, values = hash_table(keys, state[edge].astype(np.int64) << 32 | before[edge])
     accepts = np.zeros(states, dtype=bool)
     accepts[state[final]] = True
-    counts = np.array([len(x) for x in ids], dtype=np.int64)
     arrays = {
         "places": places,
         "values": values,
         "accepts": accepts,
-        "start": np.array([state[0]]),
+        "start": np.array([state[0]], dtype=np.int64),
         "id_ends": np.concatenate([[0], np.cumsum(counts)]),
-        "ids": np.concatenate([*ids, np.zeros(0, np.uint32)]).astype(np.uint32),
+        "ids": ids,
     }
-    rank, known = find(arrays, np.frombuffer(b"".join(words), np.uint8), np.cumsum(lengths) - lengths, lengths)
+    rank, known = find(arrays, data, np.cumsum(lengths, dtype=np.int64) - lengths, lengths)
     if not (known.all() and (rank == np.arange(n)).all()):
         raise ValueError("words must be distinct, sorted and not empty")
     return arrays

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -91,6 +92,23 @@ def test_the_transducer_is_minimal_and_exact():
         assert arrays["ids"][arrays["id_ends"][i] : arrays["id_ends"][i + 1]].tolist() == ids[i].tolist()
 
 
+def test_compiling_holds_a_few_bytes_a_node():
+    words = sorted({b"%d" % (i * 7919) for i in range(20_000)} | {b"x" * 1000})
+    ids = [np.array([i], dtype=np.uint32) for i in range(len(words))]
+    tracemalloc.start()
+    arrays = compile_words(words, ids)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(arrays["ids"]) == len(words) and most < 20e6
+
+
+def test_words_out_of_order_are_refused():
+    for words in ([b"b", b"a"], [b"a", b"a"], [b"ab", b"a"], [b"", b"a"]):
+        with pytest.raises(ValueError):
+            compile_words(words, [np.zeros(1, np.uint32)] * len(words))
+    assert len(compile_words([], [])["ids"]) == 0
+
+
 def test_pieces_of_every_character(library):
     vocabulary = m.Vocabulary.read(PATH)
     encoder = m.Encoder(vocabulary.arrays, vocabulary.special, vocabulary.special_id)
