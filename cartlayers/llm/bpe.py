@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartlayers.llm.common import SharedArrays, give_back, map_tables, table
+from cartlayers.llm.common import SharedArrays, give_back, giving_back, map_tables, table
 from cartlayers.llm.pretokens import pieces
 from cartlayers.llm.tables import hash_table, look_up
 from cartlayers.llm.transducer import compile_arrays, find
@@ -262,7 +262,7 @@ def prepare(docs: DataFrame, path: str, lexicon: int = LEXICON) -> SharedEncoder
 
     frequent = piece_counts(docs, vocabulary.special).where(F.col("piece") != F.lit(vocabulary.special))
     frequent = frequent.orderBy(F.desc("n"), "piece").limit(lexicon).select("piece")
-    rows = frequent.repartition(16).mapInArrow(encode, "piece binary, ids binary").toArrow()
+    rows = frequent.repartition(16).mapInArrow(giving_back(encode), "piece binary, ids binary").toArrow()
     if not rows.num_rows:
         return plain
     lexical = SharedArrays.send(spark, **compiled(rows))
@@ -303,7 +303,7 @@ def encode(docs: DataFrame, encoder: SharedEncoder, tokens: bool = True) -> Data
                     added.insert(0, pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids.view(np.int32))))
                 yield pa.RecordBatch.from_arrays(part.columns + added, names)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(giving_back(run), schema)
 
 
 def decode(encoded: DataFrame, encoder: SharedEncoder) -> DataFrame:
@@ -320,7 +320,7 @@ def decode(encoded: DataFrame, encoder: SharedEncoder) -> DataFrame:
             ]
             yield batch.append_column("text", pa.array(texts, pa.string()))
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(giving_back(run), schema)
 
 
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:

@@ -114,7 +114,8 @@ class SharedArrays:
 def give_back() -> None:
     """Hand the memory that this process has freed back to the system, where the C library can.
 
-    The driver lives as long as the session; what it freed after a step would count through all later ones.
+    The driver lives as long as the session, and a worker runs many tasks: what one step or task has freed
+    would count through all later ones.
     """
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -122,6 +123,16 @@ def give_back() -> None:
         trim(0)
 
 
+def giving_back(run: Callable) -> Callable:
+    """`run`, a function that yields batches, with its worker's memory given back at the end of a task or group."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def map_tables(df: DataFrame, function: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply `function` to each Arrow batch; it yields batches of `schema`."""
 
@@ -131,7 +142,7 @@ def map_tables(df: DataFrame, function: Callable[[pa.Table], Iterator[pa.RecordB
                 yield from function(batch)
                 pa.default_memory_pool().release_unused()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(giving_back(run), schema)
 
 
 def key_text(column) -> F.Column:

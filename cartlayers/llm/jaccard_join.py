@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartlayers.llm.common import map_tables, stored, table
+from cartlayers.llm.common import giving_back, map_tables, stored, table
 from cartlayers.llm.components import connected_components
 from cartlayers.llm.words import HASH_STEP, NOT_SPACE, Words, chunks, expand, mix, runs, text_bytes
 
@@ -291,7 +291,7 @@ def star_pairs(docs: DataFrame, likeness: Likeness, buckets: int) -> DataFrame:
         docs.select("text"), emit, "bucket long, follows boolean, signatures binary, counts binary, classes binary"
     )
     ordered = packed.repartition("bucket").sortWithinPartitions("bucket", "follows")
-    return ordered.groupBy("bucket").applyInArrow(meet, "leader long, member long").distinct()
+    return ordered.groupBy("bucket").applyInArrow(giving_back(meet), "leader long, member long").distinct()
 
 
 def _dealt(members: DataFrame) -> DataFrame:

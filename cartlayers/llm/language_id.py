@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartlayers.llm.common import key_text, table
+from cartlayers.llm.common import giving_back, key_text, table
 from cartlayers.llm.words import chunks, randoms, text_bytes
 
 DIMENSIONS = 1024
@@ -156,7 +156,7 @@ def learn(labelled: DataFrame) -> Profiles:
     Tasks send one vector per language; these are added in two steps, so no task gets all of them.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    parts = rows.mapInArrow(_training_part, "lang string, vector binary")
+    parts = rows.mapInArrow(giving_back(_training_part), "lang string, vector binary")
     parts = parts.withColumn("salt", F.spark_partition_id() % 64)
     halfway = parts.groupBy("lang", "salt").applyInArrow(_add, "lang string, vector binary")
     found = halfway.groupBy("lang").applyInArrow(_add, "lang string, vector binary").limit(MOST_LANGUAGES + 1).collect()
@@ -200,7 +200,7 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
                 )
 
     schema = T.StructType(kept.schema.fields + T.StructType.fromDDL("lang_pred string, score double").fields)
-    return kept.mapInArrow(predict, schema)
+    return kept.mapInArrow(giving_back(predict), schema)
 
 
 def held_out(doc_id) -> F.Column:

@@ -37,3 +37,26 @@ def test_freed_memory_is_given_back():
     before, last = held(), fragments()
     m.give_back()
     assert last.size and held() < before + 30
+
+
+class Batches:
+    """Stands for a DataFrame whose one task runs here."""
+
+    def __init__(self, *batches: pa.RecordBatch):
+        self.batches = batches
+
+    def mapInArrow(self, run, schema):
+        return list(run(iter(self.batches)))
+
+
+def test_tasks_give_back_what_they_freed():
+    batch, last = pa.RecordBatch.from_pydict({"n": [1, 2]}), []
+
+    def work(given):
+        last.append(fragments())
+        yield given
+
+    m.give_back()
+    before = held()
+    assert m.map_tables(Batches(batch, batch), work, "n long") == [batch, batch]
+    assert len(last) == 2 and held() < before + 30
