@@ -34,29 +34,31 @@ from pyspark.sql import functions as F
 from cartlayers.llm import rans
 from cartlayers.llm.common import SharedArrays, shared_folder, stored, table
 from cartlayers.llm.order import before
-from cartlayers.llm.words import NOT_SPACE, Words, chunks, slice_hashes, text_bytes
+from cartlayers.llm.words import LOWER, NOT_SPACE, Words, byte_set, chunks, slice_hashes, text_bytes
 
 BLOCK_IDS = 1 << 16
 #: Ids that are encoded or decoded side by side.
 TOGETHER_IDS = 1 << 22
-#: Words whose ids a worker process remembers.
+#: Words, and pieces of words, whose ids a worker process remembers.
 REMEMBERED = 500_000
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 BLOCKS = "part int, block int, first long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary, crc long"
 
 
-class _Numbers(dict):
-    """Numbers of words, by their hashes, in order of appearance."""
+#: Pieces that the library's model gets in one call.
+TOGETHER_PIECES = 1 << 13
 
-    def __missing__(self, word: int) -> int:
-        self[word] = n = len(self)
-        return n
-
-
-#: Words of which all letters are plain or Latin-1 ones: they are in normal form as they are.
-SIMPLE = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
-#: How the tokenizer cuts lower-cased text, for the characters of simple words.
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: Bytes of words that are in normal form as they are, of plain letters and Latin-1 ones, which are C3 and another byte.
+PLAIN, LATIN = byte_set((0x21, 0x7E)), byte_set((0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF))
+LEAD = 0xC3
+#: How the tokenizer cuts lower-cased text, for the bytes of such words: letters, single digits, others, and
+#: a quote with what follows it, where nothing but a letter or a digit is before it.
+BLANK, LETTER, DIGIT, OTHER = range(4)
+KINDS = np.full(256, OTHER, dtype=np.uint8)
+KINDS[0x20] = BLANK
+KINDS[byte_set((0x61, 0x7A), (0x80, 0xFF))] = LETTER
+KINDS[byte_set((0x30, 0x39))] = DIGIT
+QUOTE, AFTER_QUOTE = ord("'"), [b"s", b"t", b"m", b"d", b"re", b"ve", b"ll"]
 
 
 def byte_letters() -> dict[int, int]:
@@ -66,85 +68,180 @@ def byte_letters() -> dict[int, int]:
     return {b: b for b in own} | {b: 256 + i for i, b in enumerate(rest)}
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different ones in order, a place of each, and which one stands at every place."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    head = np.ones(len(hashes), dtype=bool)
+    head[1:] = ordered[1:] != ordered[:-1]
+    which = np.empty(len(hashes), dtype=np.int64)
+    which[order] = np.cumsum(head) - 1
+    return ordered[head], order[head], which
+
+
+def _spans(firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """All places of slices, one after the other."""
+    ends = np.cumsum(counts)
+    places = np.repeat(firsts - ends + counts, counts)
+    places += np.arange(len(places))
+    return places
+
+
+class _Memory:
+    """Ids of words or pieces by their hashes, which are kept in order."""
+
+    def __init__(self) -> None:
+        self.hashes, self.again = np.zeros(0, np.uint64), np.zeros(0, bool)
+        self.firsts, self.counts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def unknown(self, hashes: np.ndarray) -> np.ndarray:
+        """Which of some ordered hashes are not there; the others count as met again."""
+        if not len(self.hashes):
+            return np.ones(len(hashes), dtype=bool)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        unknown = self.hashes[at] != hashes
+        self.again[at[~unknown]] = True
+        return unknown
+
+    def learn(self, hashes: np.ndarray, firsts: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        """Take in ordered hashes that are not there; `firsts` are places in `ids`."""
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.again = np.insert(self.hashes, at, hashes), np.insert(self.again, at, False)
+        self.firsts, self.counts = np.insert(self.firsts, at, firsts + len(self.ids)), np.insert(self.counts, at, counts)
+        self.ids = np.concatenate([self.ids, ids])
+
+    def slices(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in `ids` those of each hash begin, and how many there are."""
+        at = np.searchsorted(self.hashes, hashes)
+        return self.firsts[at], self.counts[at]
+
+    def shrink(self) -> None:
+        """Beyond REMEMBERED, keep only what was met again since it came or was kept, or nothing if that is more than half of it."""
+        if len(self.hashes) <= REMEMBERED:
+            return
+        kept = self.again & (2 * int(self.again.sum()) <= REMEMBERED)
+        self.ids = self.ids[_spans(self.firsts[kept], self.counts[kept])]
+        self.hashes, self.counts = self.hashes[kept], self.counts[kept]
+        self.firsts, self.again = np.cumsum(self.counts) - self.counts, np.zeros(len(self.hashes), dtype=bool)
+
+
 class WordIds:
     """Ids of texts by a tokenizer that never joins anything across ASCII white space.
 
     The file's tokenizer drops white space and splits there, after a normalization that no white space
     takes part in, so a text has the ids of its words, one after the other. Words are told apart by
-    64-bit hashes, and each different one goes through the tokenizers library once: simple ones are cut here
-    and their pieces given to its model, all others go through its whole pipeline. A text that is not UTF-8
-    has replacement characters.
+    64-bit hashes, and each different one goes through the tokenizers library once: simple ones are cut here,
+    all together, and their different pieces given to its model, many in one call; all others go through
+    its whole pipeline. A text that is not UTF-8 has replacement characters.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(added) if added else r"(?!)")
-        self.letters, self.model = byte_letters(), self.tokenizer.model
-        self._forget()
-
-    def _forget(self) -> None:
-        self.numbers, self.ids = _Numbers(), np.zeros(0, np.uint32)
-        self.firsts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pieces: dict[str, tuple[int, ...]] = {}
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        self.pieces[piece] = ids = tuple([t.id for t in self.model.tokenize(spelled)])
-        return ids
-
-    def _words(self, words: list[str]) -> list[list[int]]:
-        found: list[list[int] | None] = [None] * len(words)
-        simple, special, cut, known = SIMPLE.fullmatch, self.special.search, PIECES.findall, self.pieces.get
-        other = []
-        for i, word in enumerate(words):
-            if simple(word) and not special(word):
-                ids: list[int] = []
-                for piece in cut(word.lower()):
-                    ids += known(piece) or self._piece(piece)
-                found[i] = ids
-            else:
-                other.append(i)
-        coded = self.tokenizer.encode_batch_fast([words[i] for i in other], add_special_tokens=False)
-        for i, encoding in zip(other, coded, strict=True):
-            found[i] = encoding.ids
-        return found
+        added = [re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(added) if added else rb"(?!)")
+        # no byte's letter is white space, so blanks tell pieces apart
+        self.letters = np.array([code for _, code in sorted((byte_letters() | {0x20: 0x20}).items())], dtype="<u4")
+        self.model = self.tokenizer.model
+        self.pieces_only = Tokenizer(self.model)
+        self.pieces_only.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary, suffix = self.tokenizer.get_vocab(with_added_tokens=False), self.model.end_of_word_suffix
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self.words, self.pieces = _Memory(), _Memory()
+
+    def _model_ids(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one after the other, and how many each has."""
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for a in range(0, len(raw), TOGETHER_PIECES):
+            some = raw[a : a + TOGETHER_PIECES]
+            spelled = self.letters[np.frombuffer(b" ".join(some), np.uint8)].tobytes().decode("utf-32-le")
+            coded = self.pieces_only.encode_batch_fast([spelled], add_special_tokens=False)[0].ids
+            found = np.array(coded, dtype=np.uint32)
+            ends = np.flatnonzero(self.last[found]) + 1
+            # a piece has at most one id that ends words, its last; if some have none, each is asked for alone
+            if len(ends) != len(some) or ends[-1] != len(found):
+                alone = [[t.id for t in self.model.tokenize(piece)] for piece in spelled.split(" ")]
+                found = np.fromiter(chain.from_iterable(alone), np.uint32)
+                ends = np.cumsum(np.fromiter(map(len, alone), np.int64, len(alone)))
+            ids.append(found)
+            counts.append(np.diff(ends, prepend=0))
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _simple(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of simple words, each with a blank after it, and how many each has; `sizes` count the blanks."""
+        if not len(sizes):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        low = LOWER[data]
+        latin = np.flatnonzero(data[:-1] == LEAD) + 1
+        low[latin] |= 0x20 * (data[latin] < 0x9F).astype(np.uint8)
+        kind = KINDS[low]
+        start = kind == DIGIT
+        start[0] = True
+        start[1:] |= kind[1:] != kind[:-1]
+        quote = np.flatnonzero((low == QUOTE) & start)
+        after, then = low[quote + 1], low[np.minimum(quote + 2, len(low) - 1)]
+        size = np.zeros(len(quote), dtype=np.int64)
+        for letters in AFTER_QUOTE:
+            size[(after == letters[0]) & ((len(letters) == 1) | (then == letters[-1]))] = len(letters)
+        quote, size = quote[size > 0], size[size > 0]
+        start[quote + 1] = False
+        rest = quote + 1 + size
+        start[rest] |= kind[rest] == LETTER
+        start &= kind != BLANK
+        starts = np.flatnonzero(start)
+        ends = np.append(starts[1:], len(low))
+        ends -= kind[ends - 1] == BLANK
+        hashes, pick, which = _distinct(slice_hashes(low, starts, ends))
+        new = self.pieces.unknown(hashes)
+        if new.any():
+            raw, at = low.tobytes(), pick[new]
+            ids, counts = self._model_ids([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+            self.pieces.learn(hashes[new], np.cumsum(counts) - counts, counts, ids)
+        firsts, counts = (x[which] for x in self.pieces.slices(hashes))
+        of_words = np.searchsorted(starts, np.cumsum(sizes) - sizes)
+        return self.pieces.ids[_spans(firsts, counts)], np.add.reduceat(counts, of_words)
+
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words; where those of each word begin, and how many there are."""
+        raw = b" ".join([*words, b""])
+        data, sizes = np.frombuffer(raw, np.uint8), np.fromiter(map(len, words), np.int64, len(words)) + 1
+        lead = data == LEAD
+        sound = PLAIN[data] | lead | (data == 0x20)
+        sound[1:] = np.where(lead[:-1], LATIN[data[1:]], sound[1:])
+        strange = np.concatenate([np.flatnonzero(~sound), np.array([m.start() for m in self.special.finditer(raw)], np.int64)])
+        simple = np.ones(len(words), dtype=bool)
+        simple[np.searchsorted(np.cumsum(sizes), strange, side="right")] = False
+        other = np.flatnonzero(~simple)
+        ids, many = self._simple(data[np.repeat(simple, sizes)], sizes[simple])
+        # there is nothing in a cycle, and looking for some takes longer than the words
+        gc.disable()
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast([words[i].decode("utf-8", "replace") for i in other], add_special_tokens=False)]
+        gc.enable()
+        firsts, counts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        counts[simple], counts[other] = many, np.fromiter(map(len, coded), np.int64, len(coded))
+        firsts[simple] = np.cumsum(many) - many
+        firsts[other] = len(ids) + np.cumsum(counts[other]) - counts[other]
+        return np.concatenate([ids, np.fromiter(chain.from_iterable(coded), np.uint32)]), firsts, counts
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of texts laid end to end, and how many each text has."""
-        if len(self.numbers) > REMEMBERED:
-            self._forget()
-        known = len(self.numbers)
+        self.words.shrink()
+        self.pieces.shrink()
         words = Words(data, offsets, NOT_SPACE)
-        hashes, pick, which = np.unique(
-            slice_hashes(data, words.starts, words.ends), return_index=True, return_inverse=True
-        )
-        numbers = np.fromiter(map(self.numbers.__getitem__, hashes.tolist()), np.int64, len(hashes))
-        if len(self.numbers) > known:
-            first = np.empty(len(self.numbers) - known, dtype=np.int64)
-            new = numbers >= known
-            first[numbers[new] - known] = pick[new]
-            raw = data.tobytes()
-            ends = zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)
-            # there is nothing in a cycle, and looking for some takes longer than the words
-            gc.disable()
-            coded = self._words([raw[a:b].decode("utf-8", "replace") for a, b in ends])
-            gc.enable()
-            self.counts = np.concatenate([self.counts, np.fromiter(map(len, coded), np.int64, len(coded))])
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(coded), np.uint32)])
-            self.firsts = np.cumsum(self.counts) - self.counts
-        numbers = numbers[which]
-        many = self.counts[numbers]
-        ends = np.cumsum(many)
-        place = np.repeat(self.firsts[numbers] - ends + many, many)
-        place += np.arange(len(place))
-        cut = np.concatenate([[0], ends])[words.first]
-        return self.ids[place], np.diff(cut)
+        hashes, pick, which = _distinct(slice_hashes(data, words.starts, words.ends))
+        new = self.words.unknown(hashes)
+        if new.any():
+            raw, at = data.tobytes(), pick[new]
+            ids, firsts, counts = self._words([raw[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)])
+            self.words.learn(hashes[new], firsts, counts, ids)
+        firsts, many = (x[which] for x in self.words.slices(hashes))
+        cut = np.concatenate([[0], np.cumsum(many)])[words.first]
+        return self.words.ids[_spans(firsts, many)], np.diff(cut)
 
 
 @lru_cache(maxsize=1)

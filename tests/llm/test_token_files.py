@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
 from functools import lru_cache
@@ -117,6 +118,62 @@ def test_forgotten_words_are_encoded_again(monkeypatch):
         assert list(encoded(encoder, text)[0]) == library_ids(text)
 
 
+class Counted:
+    """The library's model or tokenizer, with the number of calls that encode something."""
+
+    def __init__(self, inner):
+        self.inner, self.calls = inner, 0
+
+    def __getattr__(self, name):
+        self.calls += name in ("tokenize", "encode", "encode_batch", "encode_batch_fast")
+        return getattr(self.inner, name)
+
+
+def watched_encoder():
+    encoder = m.WordIds(PATH)
+    seen = [name for name, value in vars(encoder).items() if type(value).__module__.startswith("tokenizers")]
+    for name in seen:
+        setattr(encoder, name, Counted(getattr(encoder, name)))
+    return encoder, lambda: sum(getattr(encoder, name).calls for name in seen)
+
+
+def test_new_words_take_few_calls_of_the_library():
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choices("abcdeéÉS'.7", k=12)) for _ in range(4000))
+    encoder, calls = watched_encoder()
+    assert list(encoded(encoder, text)[0]) == library_ids(text)
+    assert calls() < 40
+
+
+def test_words_met_again_are_kept_when_others_are_forgotten(monkeypatch):
+    monkeypatch.setattr(m, "REMEMBERED", 40)
+    encoder, calls = watched_encoder()
+    often = "the often met words, don't forget"
+    for i in range(4):
+        text = often + "".join(f" w{chr(97 + i)}{chr(97 + j)}" for j in range(20))
+        assert list(encoded(encoder, text)[0]) == library_ids(text)
+    before = calls()
+    assert list(encoded(encoder, often)[0]) == library_ids(often)
+    assert calls() == before
+
+
+def test_bytes_that_are_no_text_are_replaced():
+    raw = [b"\xc3", b"\xc3\xa9\xa9 a\xc3", b"\xc3\xc3\xa9 \xa9\xc3\x97 x\xc3\xb7", b"don't \xff'S \xc3\x89'S'tx 5'd"]
+    ids, counts = m.WordIds(PATH).encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [library_ids(t.decode("utf-8", "replace")) for t in raw]
+
+
+def test_a_vocabulary_without_some_letters(tmp_path):
+    content = json.loads(library().to_str())
+    content["model"] |= {"vocab": {"a": 0, "b": 1, "b</w>": 2, "'": 3, "s</w>": 4}, "merges": []}
+    path = tmp_path / "few.json"
+    path.write_text(json.dumps(content))
+    texts = ["ab ba", "a", "b's aab's c bcb", "b " * 9000 + "a"]
+    ids, counts = encoded(m.WordIds(str(path)), *texts)
+    few = Tokenizer.from_file(str(path))
+    assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [few.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def expected(rows) -> list[tuple]:
     found, start = [], 0
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
