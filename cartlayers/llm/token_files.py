@@ -45,8 +45,8 @@ TOKENIZER, END_ID = "word_bpe_49k.json", 2
 BLOCKS = "part int, block int, first long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary, crc long"
 
 
-#: Pieces that the library's model gets in one call.
-TOGETHER_PIECES = 1 << 13
+#: Pieces that the library's model gets in one call, and bytes of words that are cut together.
+TOGETHER_PIECES, TOGETHER_BYTES = 1 << 13, 1 << 22
 
 #: Bytes of words that are in normal form as they are, of plain letters and Latin-1 ones, which are C3 and another byte.
 PLAIN, LATIN = byte_set((0x21, 0x7E)), byte_set((0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF))
@@ -74,15 +74,21 @@ def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ordered = hashes[order]
     head = np.ones(len(hashes), dtype=bool)
     head[1:] = ordered[1:] != ordered[:-1]
+    kept, picked = ordered[head], order[head]
+    del ordered
+    place = np.cumsum(head)
+    place -= 1
     which = np.empty(len(hashes), dtype=np.int64)
-    which[order] = np.cumsum(head) - 1
-    return ordered[head], order[head], which
+    which[order] = place
+    return kept, picked, which
 
 
 def _spans(firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """All places of slices, one after the other."""
-    ends = np.cumsum(counts)
-    places = np.repeat(firsts - ends + counts, counts)
+    begin = np.cumsum(counts)
+    np.subtract(firsts, begin, out=begin)
+    begin += counts
+    places = np.repeat(begin, counts)
     places += np.arange(len(places))
     return places
 
@@ -174,8 +180,6 @@ class WordIds:
 
     def _simple(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of simple words, each with a blank after it, and how many each has; `sizes` count the blanks."""
-        if not len(sizes):
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         low = LOWER[data]
         latin = np.flatnonzero(data[:-1] == LEAD) + 1
         low[latin] |= 0x20 * (data[latin] < 0x9F).astype(np.uint8)
@@ -202,8 +206,11 @@ class WordIds:
             raw, at = low.tobytes(), pick[new]
             ids, counts = self._model_ids([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
             self.pieces.learn(hashes[new], np.cumsum(counts) - counts, counts, ids)
-        firsts, counts = (x[which] for x in self.pieces.slices(hashes))
         of_words = np.searchsorted(starts, np.cumsum(sizes) - sizes)
+        # a long word of digits has a piece a byte
+        del low, kind, start, starts, ends
+        firsts, counts = (x[which] for x in self.pieces.slices(hashes))
+        del which
         return self.pieces.ids[_spans(firsts, counts)], np.add.reduceat(counts, of_words)
 
     def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -217,7 +224,11 @@ class WordIds:
         simple = np.ones(len(words), dtype=bool)
         simple[np.searchsorted(np.cumsum(sizes), strange, side="right")] = False
         other = np.flatnonzero(~simple)
-        ids, many = self._simple(data[np.repeat(simple, sizes)], sizes[simple])
+        plain, sizes = data[np.repeat(simple, sizes)], sizes[simple]
+        places = np.concatenate([[0], np.cumsum(sizes)])
+        found = [self._simple(plain[places[a] : places[b]], sizes[a:b]) for a, b in chunks(places, TOGETHER_BYTES)]
+        ids = np.concatenate([np.zeros(0, np.uint32), *[x for x, _ in found]])
+        many = np.concatenate([np.zeros(0, np.int64), *[x for _, x in found]])
         # there is nothing in a cycle, and looking for some takes longer than the words
         gc.disable()
         coded = [e.ids for e in self.tokenizer.encode_batch_fast([words[i].decode("utf-8", "replace") for i in other], add_special_tokens=False)]
